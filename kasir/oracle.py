@@ -374,3 +374,157 @@ def final(name: str, cols: list[str], money: set[str] = frozenset()) -> str:
 
 
 __all__ = ["CTES", "with_ctes", "final", "TRACKER_STORE_ATTRS"]
+
+
+# --- single operators ----------------------------------------------------------------
+
+cte("op_map_visit_purpose", f"""
+SELECT "Sales Date", Branch, "Bill Number", "Visit Purpose",
+  {_map('"Visit Purpose"', CFG.visit_purpose_channels, CFG.unknown_channel)} AS Order_Type
+FROM fx_bills""", ("fx_bills",))
+
+cte("op_channel_group", """
+SELECT Order_Type, Order_Type_Group, COUNT(*) AS n_rows FROM combined GROUP BY 1, 2""", ("combined",))
+
+
+cte("op_same_year_filter", """
+SELECT Date, RESTO, Order_Type, OPEN_STORE, total_sales_net FROM daily1
+WHERE year(Date) = year(OPEN_STORE)""", ("daily1",))
+
+cte("op_days_open", """
+SELECT Date, RESTO, OPEN_STORE, CAST(date_diff('day', OPEN_STORE, Date) + 1 AS INTEGER) AS days_opened
+FROM daily3""", ("daily3",))
+
+cte("op_sunday_week", """
+SELECT d AS Date, CAST(strftime(d, '%U') AS INTEGER) AS week_number
+FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)""")
+
+cte("op_year_bucket", f"""
+SELECT NEW_CODE_STORE, OPEN_STORE, CAST(year(OPEN_STORE) AS INTEGER) AS year_open_store,
+  CAST(CASE WHEN OPEN_STORE IS NULL THEN {CFG.year_when_null}
+            ELSE greatest(year(OPEN_STORE), {CFG.year_floor}) END AS INTEGER) AS year_open_store2
+FROM fx_store""", ("fx_store",))
+
+cte("op_to_date_mask", f"""
+SELECT code, date_daily, target_sales_nett,
+  CASE WHEN date_daily >= {_d(CFG.as_of)} THEN NULL ELSE target_sales_nett END AS ytd_target_sales
+FROM fx_targets""", ("fx_targets",))
+
+cte("op_menu_cutover", f"""
+SELECT Date, Code, Product, QTY FROM fx_productmix WHERE Date <= {_d(CFG.legacy_menu_until)}""",
+    ("fx_productmix",))
+
+cte("op_product_key_join_modern", f"""
+SELECT p."Sales Date" AS Date, p.Branch, p."Menu Name", p.Qty, k.product_cleaned, k.category, k.product_cleaned_2
+FROM fx_menu_report p LEFT JOIN fx_lookup k ON {_key('p."Menu Name"')} = {_key('k.product')}""",
+    ("fx_menu_report", "fx_lookup"))
+
+# raw report strings (same dirt as fixtures.raw_sales_report)
+
+
+def _p2(x: str) -> str:
+    return f"lpad(CAST({x} AS VARCHAR), 2, '0')"
+
+
+cte("fx_raw_sales", f"""
+SELECT CAST(l_linenumber AS VARCHAR) AS "No",
+  CASE WHEN l_orderkey % 23 = 0 THEN NULL WHEN l_orderkey % 11 = 0 THEN '  '
+       ELSE CAST(l_orderkey AS VARCHAR) END AS "Bill Number",
+  CASE WHEN l_orderkey % 13 = 0 THEN 'n/a'
+       WHEN l_orderkey % 13 = 1 THEN strftime(CAST(l_shipdate AS DATE), '%m/%d/%Y')
+       ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END AS "Sales Date",
+  CASE WHEN l_orderkey % 17 = 0 THEN '25:61:00'
+       ELSE CAST(l_linenumber + 8 AS VARCHAR) || ':' || {_p2('l_partkey % 60')} || ':' || {_p2('l_suppkey % 60')}
+  END AS "Sales In Time",
+  CASE WHEN l_orderkey % 19 = 0 THEN '26:00:00'
+       WHEN l_orderkey % 19 = 1 THEN '-00:00:30'
+       WHEN l_orderkey % 19 = 2 THEN '1 days 02:03:04'
+       WHEN l_orderkey % 19 = 3 THEN 'soon'
+       WHEN l_orderkey % 19 = 4 THEN '00:00:0' || CAST(l_linenumber AS VARCHAR) || '.5'
+       ELSE '00:' || {_p2('l_partkey % 60')} || ':' || {_p2('l_linenumber')} END AS "Kitchen Process",
+  CASE WHEN l_orderkey % 29 = 0 THEN '' ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS "Net Sales",
+  CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) AS "Pax Total",
+  CAST(CAST(l_shipdate AS DATE) AS VARCHAR) || ' ' || {_p2('l_linenumber + 8')} || ':' || {_p2('l_partkey % 60')} || ':00' AS "Sales Date In",
+  CAST(l_suppkey AS VARCHAR) AS Branch
+FROM lineitem""")
+
+_NOT_BLANK = f"""("Bill Number" IS NOT NULL AND regexp_replace("Bill Number",
+  '^{UNICODE_SPACE_CLASS}+|{UNICODE_SPACE_CLASS}+$', '', 'g') <> '')"""
+
+cte("op_drop_blank_key", f'SELECT * FROM fx_raw_sales WHERE {_NOT_BLANK}', ("fx_raw_sales",))
+
+
+def _num(c: str) -> str:
+    return f"""CASE WHEN isnan(TRY_CAST(NULLIF("{c}", '') AS DOUBLE)) THEN NULL
+  ELSE CAST(NULLIF("{c}", '') AS DOUBLE) END"""
+
+
+def _date(c: str) -> str:
+    fmts = ["%m/%d/%Y %H:%M:%S", "%m/%d/%Y %H:%M", "%m/%d/%Y", "%d-%b-%Y", "%Y/%m/%d"]
+    tries = ", ".join(f"try_strptime(trim(\"{c}\"), '{f}')" for f in fmts)
+    return f"CAST(COALESCE(TRY_CAST(trim(\"{c}\") AS TIMESTAMP), {tries}) AS DATE)"
+
+
+def _time(c: str) -> str:
+    return f"strftime(try_strptime(trim(\"{c}\"), '%H:%M:%S'), '%H:%M:%S')"
+
+
+_DUR = r"^\s*([+-])?\s*(?:(\d+)\s*days?\s*,?\s*)?(\d+):(\d+):(\d+)(?:\.(\d{1,9}))?\s*$"
+_BARE = r"^\s*([+-]?\d+)\s*$"
+_NS_DAY = 86_400_000_000_000
+
+
+def _duration(c: str) -> str:
+    x = f'"{c}"'
+
+    def g(i: int) -> str:
+        return f"regexp_extract({x}, '{_DUR}', {i})"
+
+    ns = f"""(CASE WHEN regexp_matches({x}, '{_DUR}') THEN
+    (CASE WHEN {g(1)} = '-' THEN -1 ELSE 1 END) * (
+      CAST(COALESCE(NULLIF({g(2)}, ''), '0') AS BIGINT) * {_NS_DAY}
+      + CAST({g(3)} AS BIGINT) * 3600000000000 + CAST({g(4)} AS BIGINT) * 60000000000
+      + CAST({g(5)} AS BIGINT) * 1000000000 + CAST(rpad({g(6)}, 9, '0') AS BIGINT))
+  WHEN regexp_matches({x}, '{_BARE}') THEN CAST(regexp_extract({x}, '{_BARE}', 1) AS BIGINT)
+  END)"""
+    tod = f"((({ns}) % {_NS_DAY}) + {_NS_DAY}) % {_NS_DAY}"
+    secs = f"(({tod}) // 1000000000)"
+    sub = f"(({tod}) % 1000000000)"
+    return f"""CASE WHEN {ns} IS NULL THEN NULL ELSE
+  (CASE WHEN {ns} < 0 THEN '+' ELSE '' END)
+  || {_p2(f'{secs} // 3600')} || ':' || {_p2(f'({secs} // 60) % 60')} || ':' || {_p2(f'{secs} % 60')}
+  || (CASE WHEN {sub} = 0 THEN '' WHEN {sub} % 1000 = 0 THEN '.' || lpad(CAST({sub} // 1000 AS VARCHAR), 6, '0')
+           ELSE '.' || lpad(CAST({sub} AS VARCHAR), 9, '0') END) END"""
+
+
+cte("op_typed_numeric", f"""
+SELECT "No", "Bill Number", {_num('Net Sales')} AS "Net Sales", {_num('Pax Total')} AS "Pax Total"
+FROM fx_raw_sales""", ("fx_raw_sales",))
+cte("op_typed_date", f'SELECT "No", "Bill Number", {_date("Sales Date")} AS "Sales Date" FROM fx_raw_sales',
+    ("fx_raw_sales",))
+cte("op_typed_time", f'SELECT "No", "Bill Number", {_time("Sales In Time")} AS "Sales In Time" FROM fx_raw_sales',
+    ("fx_raw_sales",))
+cte("op_typed_timestamp", """
+SELECT "No", "Bill Number", TRY_CAST("Sales Date In" AS TIMESTAMP) AS "Sales Date In" FROM fx_raw_sales""",
+    ("fx_raw_sales",))
+cte("op_clean_duration", f"""
+SELECT "No", "Bill Number", "Kitchen Process" AS raw_duration, {_duration('Kitchen Process')} AS "Kitchen Process"
+FROM fx_raw_sales""", ("fx_raw_sales",))
+
+cte("op_typed_report", f"""
+SELECT "No", "Bill Number", {_date("Sales Date")} AS "Sales Date", {_time("Sales In Time")} AS "Sales In Time",
+  {_duration('Kitchen Process')} AS "Kitchen Process", {_num('Net Sales')} AS "Net Sales",
+  {_num('Pax Total')} AS "Pax Total", TRY_CAST("Sales Date In" AS TIMESTAMP) AS "Sales Date In", Branch
+FROM fx_raw_sales WHERE {_NOT_BLANK}""", ("fx_raw_sales",))
+
+_REPORT_COLS = ["No", "Bill Number", "Sales Date", "Sales In Time", "Kitchen Process", "Net Sales",
+                "Pax Total", "Sales Date In", "Branch"]
+cte("op_null_profile", "SELECT COUNT(*) AS rows, " + ", ".join(
+    f'COUNT(*) FILTER (WHERE "{c}" IS NULL) AS "{c}"' for c in _REPORT_COLS) + " FROM op_typed_report",
+    ("op_typed_report",))
+
+cte("op_stack_files", """
+SELECT "No", "Bill Number", "Net Sales", NULL::VARCHAR AS "Pax Total" FROM fx_raw_sales WHERE CAST("No" AS INTEGER) % 2 = 1
+UNION ALL
+SELECT "No", "Bill Number", NULL::VARCHAR AS "Net Sales", "Pax Total" FROM fx_raw_sales WHERE CAST("No" AS INTEGER) % 2 = 0""",
+    ("fx_raw_sales",))

@@ -67,8 +67,15 @@ def clean_durations(df: DataFrame, cols: Sequence[str], seconds: bool = False) -
     """IN6: durations as their clock text (days dropped, as the loaded tables
     have them) or, with ``seconds=True``, as total seconds."""
     _require(df, cols, "duration")
-    f = casts.duration_seconds if seconds else casts.clean_duration
-    return _retype(df, {c: f(c) for c in cols})
+    # Parse once into hidden columns; the text is then built from them, so
+    # the regex is not repeated inside every piece of the formatted output.
+    tmp = {c: f"__ns_{i}" for i, c in enumerate(cols)}
+    df = df.select("*", *[casts.duration_nanos(c).alias(t) for c, t in tmp.items()])
+    if seconds:
+        out = {c: F.col(t).cast("double") / F.lit(float(casts.NS_PER_SEC)) for c, t in tmp.items()}
+    else:
+        out = {c: casts.clock_text(F.col(t)) for c, t in tmp.items()}
+    return _retype(df, out).drop(*tmp.values())
 
 
 def cleanse(df: DataFrame, kind: str | ReportSpec) -> DataFrame:

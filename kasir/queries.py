@@ -8,12 +8,16 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kasir import oracle as O
 from kasir.config import MENU_STORE_ATTRS, SAME_YEAR_ATTRS, STORE_ATTRS, TRACKER_STORE_ATTRS
-from kasir.plans import cohorts, menu, monthly, sales, tracker
+from kasir.functions.expr import date_lit, days_since, map_labels, sunday_week, year_bucket
+from kasir.operators.quality import null_profile
+from kasir.plans import cohorts, ingest, menu, monthly, sales, tracker
 from kasir.plans.sales import reported
 from kasir.sources import fixtures as fx
+from kasir.sources.reports import stack
 
 CFG = fx.FIXTURE_CONFIG
 
@@ -166,4 +170,232 @@ def q_menu_category(spark, sf):
     return menu.menu_category(m.combined, m.i.store, CFG)
 
 
+# --- single operators (each over whole fixture tables) -----------------------------
+
+def _op(name: str, cols: list[str] | None = None, money: set[str] = frozenset(),
+        cte: str | None = None):
+    """Register an operator query whose oracle is the CTE ``op_<name>`` (or
+    the stage CTE ``cte``)."""
+    cte = cte or f"op_{name}"
+    sql = O.with_ctes([cte], f"SELECT {O._money(cols, set(money)) if cols else '*'} FROM {cte}")
+    return register(name, sql)
+
+
+@_op("map_visit_purpose")
+def q_map_visit_purpose(spark, sf):
+    """PR3: visit purpose -> channel, per bill line."""
+    b = fx.bills(spark, sf)
+    return b.select("Sales Date", "Branch", "Bill Number", "Visit Purpose",
+                    map_labels("Visit Purpose", CFG.visit_purpose_channels,
+                               CFG.unknown_channel).alias("Order_Type"))
+
+
+@_op("map_tender", ["Date", "RESTO", "Order_Type", "total_sales_net"], {"total_sales_net"}, cte="legacy_money")
+def q_map_tender(spark, sf):
+    """PR4 + A02 + PR6: tender -> channel derived before grouping (two
+    tenders of one channel form one group), summed, tax stripped."""
+    return sales.legacy_money(fx.sales_value(spark, sf), CFG)
+
+
+@_op("tc_by_channel", ["Date", "RESTO", "Order_Type", "total_tc"], cte="legacy_count")
+def q_legacy_count(spark, sf):
+    """PR4 + A03."""
+    return sales.legacy_count(fx.sales_tc(spark, sf), CFG)
+
+
+@_op("channel_group")
+def q_channel_group(spark, sf):
+    """PR5: channel -> group, with row counts over the combined feed."""
+    return Sales(spark, sf).combined.groupBy("Order_Type", "Order_Type_Group").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+@_op("bill_count", ["Date", "RESTO", "Order_Type", "total_tc", "total_sales_net"], {"total_sales_net"},
+     cte="modern_daily")
+def q_bill_count(spark, sf):
+    """J01 + A01: distinct bills and net per (Date, store, channel)."""
+    return sales.modern_daily(fx.bills(spark, sf), fx.store(spark, sf), CFG)
+
+
+@_op("legacy_join", ["Date", "RESTO", "Order_Type", "total_tc", "total_sales_net"], {"total_sales_net"},
+     cte="legacy_daily")
+def q_legacy_join(spark, sf):
+    """Inner join of legacy money and count."""
+    return sales.legacy_daily(fx.sales_value(spark, sf), fx.sales_tc(spark, sf), CFG)
+
+
+@_op("feed_union", ["Date", "RESTO", "Order_Type", "total_tc", "total_sales_net"], {"total_sales_net"},
+     cte="feed_union")
+def q_feed_union(spark, sf):
+    """Both feeds stacked, duplicates kept."""
+    i = fx.sales_inputs(spark, sf)
+    cols = ["Date", "RESTO", "Order_Type", "total_tc", "total_sales_net"]
+    return sales.modern_daily(i.bills, i.store, CFG).select(*cols).unionByName(
+        sales.legacy_daily(i.sales_value, i.sales_tc, CFG).select(*cols))
+
+
+@_op("store_attrs_left", ["Date", "RESTO", "Order_Type", "Order_Type_Group", "total_sales_net",
+                        "total_tc", *STORE_ATTRS], {"total_sales_net"}, cte="combined_store")
+def q_store_attrs_left(spark, sf):
+    """Combined rows with store attributes (left: unmatched keep NULLs)."""
+    s = Sales(spark, sf)
+    return sales.with_store(s.combined, s.i.store, CFG).select(
+        "Date", "RESTO", "Order_Type", "Order_Type_Group", "total_sales_net", "total_tc", *STORE_ATTRS)
+
+
+@_op("product_key_join", ["Date", "Code", "Product", "QTY", "product_cleaned", "category",
+                             "product_cleaned_2"], cte="menu_legacy_matched")
+def q_product_key_join(spark, sf):
+    """J15 + FI5: legacy menu rows up to the cut-over, matched on the
+    normalised product key."""
+    i = fx.menu_inputs(spark, sf)
+    return menu.legacy_menu_matched(i.productmix, i.lookup_legacy, CFG)
+
+
+@_op("product_key_join_modern")
+def q_product_key_join_modern(spark, sf):
+    """Modern menu rows matched on the normalised menu-name key."""
+    i = fx.menu_inputs(spark, sf)
+    return menu.modern_menu_matched(i.menu_report, i.lookup_modern, CFG)
+
+
+@_op("month_average", ["month", "RESTO", "Order_Type_Group", "avg_sales_net", "avg_tc"], cte="monthly2_avg")
+def q_month_average(spark, sf):
+    """Mean of the daily rows present per (month, store, group)."""
+    return monthly.month_average(Sales(spark, sf).daily2, monthly.GRAINS["group"])
+
+
+@_op("distinct_daily", ["Date", "RESTO", "OPEN_STORE", "total_sales_net", "days_opened"],
+     {"total_sales_net"}, cte="distinct_daily")
+def q_distinct_daily(spark, sf):
+    """DISTINCT over the cohort columns (no day-count filter)."""
+    return cohorts.distinct_daily(Sales(spark, sf).daily3, CFG)
+
+
+@_op("same_year_filter", ["Date", "RESTO", "Order_Type", "OPEN_STORE", "total_sales_net"],
+     {"total_sales_net"})
+def q_same_year_filter(spark, sf):
+    """FI3: rows in the store's opening year."""
+    return (Sales(spark, sf).daily1.where(F.year("Date") == F.year("OPEN_STORE"))
+            .select("Date", "RESTO", "Order_Type", "OPEN_STORE", "total_sales_net"))
+
+
+@_op("days_open")
+def q_days_open(spark, sf):
+    """PR10: 1-based days since opening for every store-day."""
+    return Sales(spark, sf).daily3.select("Date", "RESTO", "OPEN_STORE",
+                                          days_since("Date", "OPEN_STORE").alias("days_opened"))
+
+
+@_op("sunday_week")
+def q_sunday_week(spark, sf):
+    """Sunday-based week of year for every ship date."""
+    d = fx.bills(spark, sf).select(F.col("Sales Date").alias("Date")).distinct()
+    return d.select("Date", sunday_week("Date").alias("week_number"))
+
+
+@_op("year_bucket")
+def q_year_bucket(spark, sf):
+    """PR11 + F07: opening-year bucket with NULL-propagating GREATEST."""
+    st = fx.store(spark, sf)
+    return st.select("NEW_CODE_STORE", "OPEN_STORE", F.year("OPEN_STORE").alias("year_open_store"),
+                     year_bucket("OPEN_STORE", CFG.year_floor, CFG.year_when_null)
+                     .alias("year_open_store2"))
+
+
+@_op("gap_adjust", ["code", "date_daily", "month", "target_sales_nett", "actual_sales_nett",
+                "actual_sales_nett_2"], {"actual_sales_nett"}, cte="tr_gap")
+def q_gap_adjust(spark, sf):
+    """J12 + J13 + PR7: targets with actuals and the monthly adjustment."""
+    s = Sales(spark, sf)
+    return tracker.gap_adjust(tracker.with_actuals(s.i.targets, s.daily1, CFG), s.i.adjustments, CFG)
+
+
+@_op("to_date_mask")
+def q_to_date_mask(spark, sf):
+    """PR8: target masked from the as-of day on."""
+    t = fx.targets(spark, sf)
+    return t.select("code", "date_daily", "target_sales_nett",
+                    F.when(F.col("date_daily") >= date_lit(CFG.as_of), F.lit(None))
+                    .otherwise(F.col("target_sales_nett")).alias("ytd_target_sales"))
+
+
+@_op("menu_cutover")
+def q_menu_cutover(spark, sf):
+    """FI5: legacy menu rows up to the cut-over date (pushed to the scan)."""
+    return fx.productmix(spark, sf).where(F.col("Date") <= date_lit(CFG.legacy_menu_until))
+
+
+@_op("drop_blank_key")
+def q_drop_blank_key(spark, sf):
+    """IN1: rows without a bill number (NULL or whitespace) dropped."""
+    return ingest.drop_blank(fx.raw_sales_report(spark, sf), "Bill Number")
+
+
+@_op("typed_numeric")
+def q_typed_numeric(spark, sf):
+    """IN2: strict numeric typing; empty cells are NULL."""
+    r = ingest.cast_strict(fx.raw_sales_report(spark, sf), ["Net Sales", "Pax Total"])
+    return r.select("No", "Bill Number", "Net Sales", "Pax Total")
+
+
+@_op("typed_date")
+def q_typed_date(spark, sf):
+    """IN3: lenient dates (ISO and month-first slashes); junk -> NULL."""
+    r = ingest.cast_date(fx.raw_sales_report(spark, sf), ["Sales Date"])
+    return r.select("No", "Bill Number", "Sales Date")
+
+
+@_op("typed_time")
+def q_typed_time(spark, sf):
+    """IN4: exact H:M:S times of day; hour 25 -> NULL."""
+    r = ingest.cast_time(fx.raw_sales_report(spark, sf), ["Sales In Time"])
+    return r.select("No", "Bill Number", "Sales In Time")
+
+
+@_op("typed_timestamp")
+def q_typed_timestamp(spark, sf):
+    """IN5: lenient timestamps."""
+    r = ingest.cast_timestamp(fx.raw_sales_report(spark, sf), ["Sales Date In"])
+    return r.select("No", "Bill Number", "Sales Date In")
+
+
+@_op("clean_duration")
+def q_clean_duration(spark, sf):
+    """IN6: durations printed as their clock tail."""
+    r = fx.raw_sales_report(spark, sf).withColumn("raw_duration", F.col("Kitchen Process"))
+    r = ingest.clean_durations(r, ["Kitchen Process"])
+    return r.select("No", "Bill Number", "raw_duration", "Kitchen Process")
+
+
+def _typed_report(spark, sf):
+    r = ingest.drop_blank(fx.raw_sales_report(spark, sf), "Bill Number")
+    r = ingest.cast_strict(r, ["Net Sales", "Pax Total"])
+    r = ingest.cast_date(r, ["Sales Date"])
+    r = ingest.cast_time(r, ["Sales In Time"])
+    r = ingest.clean_durations(r, ["Kitchen Process"])
+    return ingest.cast_timestamp(r, ["Sales Date In"])
+
+
+@_op("typed_report")
+def q_typed_report(spark, sf):
+    """IN1-IN6 composed: one report typed end to end."""
+    return _typed_report(spark, sf)
+
+
+@_op("null_profile")
+def q_null_profile(spark, sf):
+    """IN10: NULL count of every column of the typed report, one pass."""
+    return null_profile(_typed_report(spark, sf))
+
+
+@_op("stack_files")
+def q_stack_files(spark, sf):
+    """IN8: two exports with different column sets stacked by name."""
+    r = fx.raw_sales_report(spark, sf)
+    odd = r.where(F.col("No").cast("int") % 2 == 1).select("No", "Bill Number", "Net Sales")
+    even = r.where(F.col("No").cast("int") % 2 == 0).select("No", "Bill Number", "Pax Total")
+    return stack([odd, even])
+
+
 __all__ = ["QUERIES", "ORACLES", "Sales", "Menu", "TRACKER_STORE_ATTRS"]
