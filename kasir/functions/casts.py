@@ -24,8 +24,11 @@ DATE_FORMATS: tuple[str, ...] = (
     "yyyy/M/d",
 )
 
-# [sign][N day(s)] H:M:S[.fraction]
-DURATION_RE = r"^\s*([+-])?\s*(?:(\d+)\s*days?\s*,?\s*)?(\d+):(\d+):(\d+)(?:\.(\d{1,9}))?\s*$"
+# [sign][N day(s)[,]] [+]H:M:S[.fraction] -- days, time or both. With a day
+# part the sign belongs to the days only ("-1 days 02:00:00" is -22 hours);
+# without one it belongs to the time.
+DURATION_RE = (r"^\s*([+-])?\s*(?:(\d+)\s*days?\s*,?\s*)?"
+               r"(?:\+?(\d+):(\d+):(\d+)(?:\.(\d{1,9}))?)?\s*$")
 BARE_INT_RE = r"^\s*([+-]?\d+)\s*$"
 NS_PER_SEC = 1_000_000_000
 NS_PER_DAY = 86_400 * NS_PER_SEC
@@ -69,15 +72,17 @@ def duration_nanos(c: str | Column) -> Column:
     def g(i: int) -> Column:
         return F.get(parts, i - 1)
 
-    frac = F.rpad(g(6), 9, "0")
-    mag = (F.coalesce(F.nullif(g(2), F.lit("")), F.lit("0")).cast("long") * F.lit(NS_PER_DAY)
-           + g(3).cast("long") * F.lit(3600 * NS_PER_SEC)
-           + g(4).cast("long") * F.lit(60 * NS_PER_SEC)
-           + g(5).cast("long") * F.lit(NS_PER_SEC)
-           + frac.cast("long"))
-    signed = F.when(g(1) == F.lit("-"), -mag).otherwise(mag)
+    has_days, has_time = g(2) != F.lit(""), g(3) != F.lit("")
+    days = F.when(has_days, g(2).cast("long") * F.lit(NS_PER_DAY)).otherwise(F.lit(0))
+    clock = F.when(has_time, g(3).cast("long") * F.lit(3600 * NS_PER_SEC)
+                   + g(4).cast("long") * F.lit(60 * NS_PER_SEC)
+                   + g(5).cast("long") * F.lit(NS_PER_SEC)
+                   + F.rpad(g(6), 9, "0").cast("long")).otherwise(F.lit(0))
+    neg = g(1) == F.lit("-")
+    signed = (F.when(has_days, F.when(neg, -days).otherwise(days) + clock)
+              .otherwise(F.when(neg, -clock).otherwise(clock)))
     bare = F.regexp_extract(s, BARE_INT_RE, 1)
-    return (F.when(s.rlike(DURATION_RE), signed)
+    return (F.when(s.rlike(DURATION_RE) & (has_days | has_time), signed)
             .when(bare != F.lit(""), bare.try_cast("long"))
             .otherwise(F.lit(None).cast("long")))
 
@@ -85,6 +90,8 @@ def duration_nanos(c: str | Column) -> Column:
 def clock_text(nanos: Column) -> Column:
     """Time-of-day tail of a printed duration: the day part is dropped,
     a negative duration wraps into the day before and is prefixed '+'.
+    ``nanos`` should be a column reference (see ingest.clean_durations):
+    it is used several times below.
     Fractions print 6 digits, or 9 when there are nanoseconds."""
     tod = F.pmod(nanos, F.lit(NS_PER_DAY))
     secs = F.floor(tod / F.lit(NS_PER_SEC)).cast("long")
@@ -101,15 +108,6 @@ def clock_text(nanos: Column) -> Column:
     return F.when(nanos.isNull(), F.lit(None).cast("string")).otherwise(text)
 
 
-def clean_duration(c: str | Column) -> Column:
-    return clock_text(duration_nanos(c))
-
-
-def duration_seconds(c: str | Column) -> Column:
-    """Total seconds (days kept), for callers that need the real length."""
-    return duration_nanos(c).cast("double") / F.lit(float(NS_PER_SEC))
-
-
 def not_blank(c: str | Column) -> Column:
     """Not NULL and not only whitespace."""
     from kasir.functions.expr import unicode_trim

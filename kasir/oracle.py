@@ -469,7 +469,8 @@ def _time(c: str) -> str:
     return f"strftime(try_strptime(trim(\"{c}\"), '%H:%M:%S'), '%H:%M:%S')"
 
 
-_DUR = r"^\s*([+-])?\s*(?:(\d+)\s*days?\s*,?\s*)?(\d+):(\d+):(\d+)(?:\.(\d{1,9}))?\s*$"
+_DUR = (r"^\s*([+-])?\s*(?:(\d+)\s*days?\s*,?\s*)?"
+        r"(?:\+?(\d+):(\d+):(\d+)(?:\.(\d{1,9}))?)?\s*$")
 _BARE = r"^\s*([+-]?\d+)\s*$"
 _NS_DAY = 86_400_000_000_000
 
@@ -480,11 +481,13 @@ def _duration(c: str) -> str:
     def g(i: int) -> str:
         return f"regexp_extract({x}, '{_DUR}', {i})"
 
-    ns = f"""(CASE WHEN regexp_matches({x}, '{_DUR}') THEN
-    (CASE WHEN {g(1)} = '-' THEN -1 ELSE 1 END) * (
-      CAST(COALESCE(NULLIF({g(2)}, ''), '0') AS BIGINT) * {_NS_DAY}
-      + CAST({g(3)} AS BIGINT) * 3600000000000 + CAST({g(4)} AS BIGINT) * 60000000000
-      + CAST({g(5)} AS BIGINT) * 1000000000 + CAST(rpad({g(6)}, 9, '0') AS BIGINT))
+    days = f"CAST({g(2)} AS BIGINT) * {_NS_DAY}"
+    clock = (f"(CAST({g(3)} AS BIGINT) * 3600000000000 + CAST({g(4)} AS BIGINT) * 60000000000"
+             f" + CAST({g(5)} AS BIGINT) * 1000000000 + CAST(rpad({g(6)}, 9, '0') AS BIGINT))")
+    sign = f"(CASE WHEN {g(1)} = '-' THEN -1 ELSE 1 END)"
+    ns = f"""(CASE WHEN regexp_matches({x}, '{_DUR}') AND {g(2)} <> '' THEN
+    {sign} * {days} + (CASE WHEN {g(3)} <> '' THEN {clock} ELSE 0 END)
+  WHEN regexp_matches({x}, '{_DUR}') AND {g(3)} <> '' THEN {sign} * {clock}
   WHEN regexp_matches({x}, '{_BARE}') THEN CAST(regexp_extract({x}, '{_BARE}', 1) AS BIGINT)
   END)"""
     tod = f"((({ns}) % {_NS_DAY}) + {_NS_DAY}) % {_NS_DAY}"

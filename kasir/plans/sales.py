@@ -90,6 +90,17 @@ def combine_sales(bills: DataFrame, value: DataFrame, tc: DataFrame, store: Data
         "total_tc", F.col("total_sales_net").cast(cfg.net_type).alias("total_sales_net"))
 
 
+def by_store(df: DataFrame) -> DataFrame:
+    """Hash-partition on RESTO. Every store-level job (daily and monthly
+    marts, cohorts, tracker actuals) groups or windows by keys that start
+    with RESTO, so one partitioning serves them all; it is also the bucketing
+    of the published daily marts, and Spark drops this exchange when the
+    input is already partitioned that way. One store's rows are bounded
+    (days x channels), and so are the unmatched (NULL RESTO) rows, which the
+    combined feed has already summed per day and channel."""
+    return df.repartition("RESTO")
+
+
 def store_attrs(store: DataFrame, attrs: Sequence[str] = STORE_ATTRS) -> DataFrame:
     """Store key + attributes, with the key renamed so it cannot clash."""
     return store.select(F.col("NEW_CODE_STORE").alias("_store_key"), *attrs)
@@ -107,7 +118,7 @@ def with_store(df: DataFrame, store: DataFrame, cfg: Config = DEFAULT,
 def daily_channel(combined: DataFrame, store: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Q02 (daily1): every combined row with store attributes and the previous
     row of its (RESTO, channel) series."""
-    j = with_store(combined, store, cfg)
+    j = with_store(by_store(combined), store, cfg)
     base = j.select("Date", "RESTO", CHANNEL, GROUP, "total_sales_net", "total_tc", *STORE_ATTRS)
     out = with_previous(
         base, ["RESTO", CHANNEL], "Date",
@@ -120,17 +131,17 @@ def daily_channel(combined: DataFrame, store: DataFrame, cfg: Config = DEFAULT)
 
 
 def _grouped_with_store(combined: DataFrame, store: DataFrame, keys: Sequence[str],
-                        series: Sequence[str], cfg: Config) -> DataFrame:
+                        cfg: Config) -> DataFrame:
     """Sum net and tc of ``combined ⋈ store`` grouped by ``keys`` + attributes.
 
     Exact rewrite of "join, then group by keys and all attributes":
     rows are first summed per ``keys`` (at most a few channel rows per key),
     then joined, then summed again per keys + attributes, which reproduces the
     multiplication by duplicate store rows. The input is hash-partitioned once
-    on ``series`` (the later LAG partition), which every following aggregate
-    and the window reuse, so the whole mart costs one exchange.
+    on RESTO, which every following aggregate and the LAG window reuse, so the
+    whole mart costs one exchange.
     """
-    pre = (combined.repartition(*series)
+    pre = (by_store(combined)
            .groupBy(*keys)
            .agg(F.sum("total_sales_net").alias("total_sales_net"),
                 F.sum("total_tc").alias("total_tc")))
@@ -142,7 +153,7 @@ def _grouped_with_store(combined: DataFrame, store: DataFrame, keys: Sequence[st
 
 def daily_group(combined: DataFrame, store: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Q03 (daily2): per (Date, RESTO, channel group)."""
-    g = _grouped_with_store(combined, store, ["Date", "RESTO", GROUP], ["RESTO", GROUP], cfg)
+    g = _grouped_with_store(combined, store, ["Date", "RESTO", GROUP], cfg)
     out = with_previous(
         g, ["RESTO", GROUP], "Date",
         {"previous_sales_net": F.col("total_sales_net"), "previous_tc": F.col("total_tc")},
@@ -153,7 +164,7 @@ def daily_group(combined: DataFrame, store: DataFrame, cfg: Config = DEFAULT) ->
 
 def daily_store(combined: DataFrame, store: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Q04 (daily3): per (Date, RESTO)."""
-    g = _grouped_with_store(combined, store, ["Date", "RESTO"], ["RESTO"], cfg)
+    g = _grouped_with_store(combined, store, ["Date", "RESTO"], cfg)
     out = with_previous(
         g, ["RESTO"], "Date",
         {"previous_sales_net": F.col("total_sales_net"), "previous_tc": F.col("total_tc")},

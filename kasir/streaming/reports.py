@@ -40,3 +40,17 @@ def start(spark: SparkSession, source_dir: str, kind: str, table: str | None = N
                  checkpoint or f"{checkpoint_dir(spark)}/report-stream-{sp.kind}"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def run_available(spark: SparkSession, source_dir: str, kind: str, table: str | None = None,
+                  checkpoint: str | None = None, timeout_s: int = 3600) -> int:
+    """Load every file not loaded yet, wait, and return the table's row count.
+    Micro-batches write through their own session, so the caller's view of
+    the table is refreshed afterwards."""
+    target = table or spec(kind).table
+    q = start(spark, source_dir, kind, target, checkpoint)
+    q.awaitTermination(timeout_s)
+    if q.exception() is not None:
+        raise q.exception()
+    spark.catalog.refreshTable(target)
+    return spark.table(target).count()
