@@ -170,6 +170,9 @@ def q_menu_category(spark, sf):
     return menu.menu_category(m.combined, m.i.store, CFG)
 
 
+PIPELINES = tuple(QUERIES)   # the 13 published tables, registered above
+
+
 # --- single operators (each over whole fixture tables) -----------------------------
 
 def _op(name: str, cols: list[str] | None = None, money: set[str] = frozenset(),

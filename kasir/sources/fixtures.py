@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kasir.config import DEFAULT, Config
-from kasir.sources.tables import MenuInputs, SalesInputs
+from kasir.sources.tables import MenuInputs, SalesInputs, spread
 
 # Fixed values of the fixture mapping (shared with the SQL oracle).
 VISIT_PURPOSE_BY_FLAGS = (
@@ -59,8 +59,14 @@ FIXTURE_CONFIG: Config = DEFAULT.with_(
 )
 
 
-def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+FACT_TABLES = ("lineitem", "orders")
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...] = ()) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
+    return spread(df) if name in FACT_TABLES else df
 
 
 def _s(c: Column) -> Column:

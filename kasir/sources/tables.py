@@ -44,7 +44,22 @@ TABLES: dict[str, str] = {
 }
 
 
-def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+FACTS = ("bills", "sales_value", "sales_tc", "productmix", "menu_report")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    cores (few large files, or files with a single row group), so the per-row
+    work after it runs in parallel. A large input already has more splits
+    than cores and is returned unchanged, with no shuffle added."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = None,
+               fact: bool = False) -> DataFrame:
     """A catalog table (``db.table``) or a parquet path, pruned to ``columns``.
     A missing column fails here, at analysis time, before any job runs."""
     df = spark.read.parquet(name) if "/" in name else spark.table(name)
@@ -53,7 +68,7 @@ def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = N
         if missing:
             raise ValueError(f"{name}: missing columns {missing}")
         df = df.select(*[F.col(f"`{c}`") for c in columns])
-    return df
+    return spread(df) if fact else df
 
 
 @dataclass
@@ -77,11 +92,11 @@ class MenuInputs:
 
 def load_sales(spark: SparkSession, tables: dict[str, str] | None = None) -> SalesInputs:
     t = {**TABLES, **(tables or {})}
-    return SalesInputs(**{k: read_table(spark, t[k], NEEDED[k]) for k in
+    return SalesInputs(**{k: read_table(spark, t[k], NEEDED[k], fact=k in FACTS) for k in
                           ("bills", "sales_value", "sales_tc", "store", "targets", "adjustments")})
 
 
 def load_menu(spark: SparkSession, tables: dict[str, str] | None = None) -> MenuInputs:
     t = {**TABLES, **(tables or {})}
-    return MenuInputs(**{k: read_table(spark, t[k], NEEDED[k]) for k in
+    return MenuInputs(**{k: read_table(spark, t[k], NEEDED[k], fact=k in FACTS) for k in
                          ("productmix", "menu_report", "lookup_legacy", "lookup_modern", "store")})
