@@ -531,3 +531,11 @@ SELECT "No", "Bill Number", "Net Sales", NULL::VARCHAR AS "Pax Total" FROM fx_ra
 UNION ALL
 SELECT "No", "Bill Number", NULL::VARCHAR AS "Net Sales", "Pax Total" FROM fx_raw_sales WHERE CAST("No" AS INTEGER) % 2 = 0""",
     ("fx_raw_sales",))
+
+cte("op_unmatched_branches", """
+SELECT b.Branch AS key, COUNT(*) AS n_rows
+FROM fx_bills b WHERE NOT EXISTS (SELECT 1 FROM fx_store s WHERE s.CODE_GIS = b.Branch)
+GROUP BY b.Branch""", ("fx_bills", "fx_store"))
+
+cte("op_duplicate_store_keys", """
+SELECT NEW_CODE_STORE, COUNT(*) AS count FROM fx_store GROUP BY 1 HAVING COUNT(*) > 1""", ("fx_store",))

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from kasir import oracle as O
 from kasir.config import MENU_STORE_ATTRS, SAME_YEAR_ATTRS, STORE_ATTRS, TRACKER_STORE_ATTRS
 from kasir.functions.expr import date_lit, days_since, map_labels, sunday_week, year_bucket
-from kasir.operators.quality import null_profile
+from kasir.operators.dims import check_unique
+from kasir.operators.quality import null_profile, preview, unmatched_keys
 from kasir.plans import cohorts, ingest, menu, monthly, sales, tracker
 from kasir.plans.sales import reported
 from kasir.sources import fixtures as fx
@@ -23,9 +24,20 @@ CFG = fx.FIXTURE_CONFIG
 
 
 class Sales:
-    """The sales jobs chained over the fixture inputs of one scale factor."""
+    """The sales jobs chained over the fixture inputs of one scale factor.
+    Plans are built once per (session, folder, config) and reused."""
+
+    _cache: dict = {}
+
+    def __new__(cls, spark: SparkSession, sf_dir: str, cfg=CFG):
+        key = (cls.__name__, id(spark), sf_dir, cfg)
+        if key not in cls._cache:
+            cls._cache[key] = super().__new__(cls)
+        return cls._cache[key]
 
     def __init__(self, spark: SparkSession, sf_dir: str, cfg=CFG):
+        if getattr(self, "i", None) is not None:
+            return
         self.cfg = cfg
         self.i = fx.sales_inputs(spark, sf_dir)
 
@@ -47,8 +59,10 @@ class Sales:
         return sales.daily_store(self.combined, self.i.store, self.cfg)
 
 
-class Menu:
+class Menu(Sales):
     def __init__(self, spark: SparkSession, sf_dir: str, cfg=CFG):
+        if getattr(self, "i", None) is not None:
+            return
         self.cfg = cfg
         self.i = fx.menu_inputs(spark, sf_dir)
 
@@ -401,4 +415,23 @@ def q_stack_files(spark, sf):
     return stack([odd, even])
 
 
+@_op("unmatched_branches")
+def q_unmatched_branches(spark, sf):
+    """Bill rows whose branch has no store row (they publish under a NULL store)."""
+    return unmatched_keys(fx.bills(spark, sf), "Branch", fx.store(spark, sf), "CODE_GIS")
+
+
+@_op("duplicate_store_keys")
+def q_duplicate_store_keys(spark, sf):
+    """Store codes held by more than one store row (these multiply fact rows)."""
+    return check_unique(fx.store(spark, sf), "NEW_CODE_STORE")
+
+
+@register("preview")
+def q_preview(spark, sf):
+    """IN11: the first rows of the typed report, as shown after an upload.
+    Which rows is unspecified, so there is no SQL twin (row count only)."""
+    return preview(_typed_report(spark, sf), 5)
+
+
 __all__ = ["QUERIES", "ORACLES", "Sales", "Menu", "TRACKER_STORE_ATTRS"]

@@ -63,7 +63,7 @@ FACT_TABLES = ("lineitem", "orders")
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...] = ()) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = _memo(f"read:{name}", spark, sf_dir, lambda: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
     if columns:
         df = df.select(*columns)
     return spread(df) if name in FACT_TABLES else df
@@ -204,13 +204,33 @@ def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "category", "product_cleaned_2")
 
 
+# Fixture plans are immutable and lazy; one set per (session, folder) is
+# reused by every query (each execution still reads the parquet files).
+_MEMO: dict[tuple, object] = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
+    key = (kind, id(spark), sf_dir)
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
 def sales_inputs(spark: SparkSession, sf_dir: str) -> SalesInputs:
+    return _memo("sales", spark, sf_dir, lambda: _sales_inputs(spark, sf_dir))
+
+
+def menu_inputs(spark: SparkSession, sf_dir: str) -> MenuInputs:
+    return _memo("menu", spark, sf_dir, lambda: _menu_inputs(spark, sf_dir))
+
+
+def _sales_inputs(spark: SparkSession, sf_dir: str) -> SalesInputs:
     return SalesInputs(bills=bills(spark, sf_dir), sales_value=sales_value(spark, sf_dir),
                        sales_tc=sales_tc(spark, sf_dir), store=store(spark, sf_dir),
                        targets=targets(spark, sf_dir), adjustments=adjustments(spark, sf_dir))
 
 
-def menu_inputs(spark: SparkSession, sf_dir: str) -> MenuInputs:
+def _menu_inputs(spark: SparkSession, sf_dir: str) -> MenuInputs:
     lk = lookup(spark, sf_dir)
     return MenuInputs(productmix=productmix(spark, sf_dir), menu_report=menu_report(spark, sf_dir),
                       lookup_legacy=lk, lookup_modern=lk, store=store(spark, sf_dir))
