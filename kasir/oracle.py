@@ -539,3 +539,49 @@ GROUP BY b.Branch""", ("fx_bills", "fx_store"))
 
 cte("op_duplicate_store_keys", """
 SELECT NEW_CODE_STORE, COUNT(*) AS count FROM fx_store GROUP BY 1 HAVING COUNT(*) > 1""", ("fx_store",))
+
+# full Sales export derived from lineitem, typed as the ingest types it
+_P = "CAST(l_extendedprice AS DECIMAL(18,2))"
+_DI = "CAST(l_discount AS DECIMAL(4,2))"
+_TX = "CAST(l_tax AS DECIMAL(4,2))"
+_ONE = "CAST(1 AS DECIMAL(4,2))"
+_NETX = f"({_P} * ({_ONE} - {_DI}))"
+
+
+def _m(x: str) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(18,2)) AS DOUBLE)"
+
+
+_DATE_TXT = """CASE WHEN l_orderkey % 13 = 0 THEN 'n/a'
+       WHEN l_orderkey % 13 = 1 THEN strftime(CAST(l_shipdate AS DATE), '%m/%d/%Y')
+       ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END"""
+
+cte("fx_sales_export", f"""
+SELECT CAST(l_linenumber AS VARCHAR) AS "No",
+  CASE WHEN l_orderkey % 23 = 0 THEN NULL WHEN l_orderkey % 11 = 0 THEN '  '
+       ELSE CAST(l_orderkey AS VARCHAR) END AS "Bill Number",
+  {_DATE_TXT} AS "Sales Date", {_DATE_TXT} AS "Sales In Date",
+  CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS "Sales Out Date",
+  CASE WHEN l_orderkey % 17 = 0 THEN '25:61:00'
+       ELSE CAST(l_linenumber + 8 AS VARCHAR) || ':' || {_p2('l_partkey % 60')} || ':' || {_p2('l_suppkey % 60')}
+  END AS "Sales In Time",
+  CAST(l_linenumber + 9 AS VARCHAR) || ':' || {_p2('l_partkey % 60')} || ':00' AS "Sales Out Time",
+  CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS "Pax Total",
+  {_m(_P)} AS "Subtotal", {_m(f"{_P} * {_DI}")} AS "Menu Discount",
+  0.0::DOUBLE AS "Bill Discount", 0.0::DOUBLE AS "Voucher Discount",
+  CASE WHEN l_orderkey % 29 = 0 THEN NULL ELSE {_m(_NETX)} END AS "Net Sales",
+  0.0::DOUBLE AS "Service Charge Total", {_m(f"{_NETX} * {_TX}")} AS "Tax Total",
+  0.0::DOUBLE AS "VAT Total", 0.0::DOUBLE AS "Delivery Cost", 0.0::DOUBLE AS "Order Fee",
+  0.0::DOUBLE AS "Platform Fee", 0.0::DOUBLE AS "Voucher Sales Total", 0.0::DOUBLE AS "Rounding Total",
+  {_m(f"{_NETX} * ({_ONE} + {_TX})")} AS "Grand Total",
+  CAST(l_suppkey AS VARCHAR) AS Branch
+FROM lineitem""")
+
+cte("op_read_report", f"""
+SELECT "No", "Bill Number", {_date("Sales Date")} AS "Sales Date", {_date("Sales In Date")} AS "Sales In Date",
+  {_date("Sales Out Date")} AS "Sales Out Date", {_time("Sales In Time")} AS "Sales In Time",
+  {_time("Sales Out Time")} AS "Sales Out Time",
+  "Pax Total", "Subtotal", "Menu Discount", "Bill Discount", "Voucher Discount", "Net Sales",
+  "Service Charge Total", "Tax Total", "VAT Total", "Delivery Cost", "Order Fee", "Platform Fee",
+  "Voucher Sales Total", "Rounding Total", "Grand Total", Branch
+FROM fx_sales_export WHERE {_NOT_BLANK}""", ("fx_sales_export",))

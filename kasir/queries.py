@@ -427,6 +427,15 @@ def q_duplicate_store_keys(spark, sf):
     return check_unique(fx.store(spark, sf), "NEW_CODE_STORE")
 
 
+@_op("read_report")
+def q_read_report(spark, sf):
+    """SC3-SC5 + I1: per-branch Sales exports (title and branch lines above
+    the header) written from lineitem, then read back, header located per
+    file, stacked and typed."""
+    files = fx.sales_report_files(spark, sf)
+    return ingest.prepare(spark, f"{files}/export_branch=*/*.csv", "sales")
+
+
 @register("preview")
 def q_preview(spark, sf):
     """IN11: the first rows of the typed report, as shown after an upload.

@@ -277,3 +277,98 @@ def raw_sales_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("Sales Date In"),
         _s(sk).alias("Branch"),
     )
+
+
+# --- report export files (for the file reader) -------------------------------
+
+REPORT_TITLE = "Sales Recapitulation Report"
+
+
+def _money_text(c: Column) -> Column:
+    return _s(c.cast("decimal(18,2)"))
+
+
+def sales_report_columns(li: DataFrame) -> list[Column]:
+    """A full Sales export row per lineitem row, every cell as text, in the
+    order of the export. Money follows price/discount/tax; the same dirt as
+    ``raw_sales_report`` on bill number, dates and times."""
+    ok, pk, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
+    day = F.col("l_shipdate").cast("date")
+    # decimal arithmetic, rounded half-up to cents (no binary rounding ties)
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    disc = F.col("l_discount").cast("decimal(4,2)")
+    tax = F.col("l_tax").cast("decimal(4,2)")
+    one = F.lit(1).cast("decimal(4,2)")
+    net = price * (one - disc)
+    zero = F.lit("0.00")
+    date_txt = (F.when(ok % 13 == 0, F.lit("n/a"))
+                .when(ok % 13 == 1, F.date_format(day, "MM/dd/yyyy")).otherwise(_s(day)))
+    time_in = F.when(ok % 17 == 0, F.lit("25:61:00")).otherwise(
+        F.concat(_s(ln + 8), F.lit(":"), _pad2(pk % 60), F.lit(":"), _pad2(sk % 60)))
+    time_out = F.concat(_s(ln + 9), F.lit(":"), _pad2(pk % 60), F.lit(":00"))
+    cols = {
+        "No": _s(ln),
+        "Bill Number": F.when(ok % 23 == 0, F.lit(None).cast("string"))
+        .when(ok % 11 == 0, F.lit("  ")).otherwise(_s(ok)),
+        "Sales Date": date_txt, "Sales In Date": date_txt, "Sales Out Date": _s(day),
+        "Sales In Time": time_in, "Sales Out Time": time_out,
+        "Pax Total": _s(F.col("l_quantity").cast("int")),
+        "Subtotal": _money_text(price),
+        "Menu Discount": _money_text(price * disc),
+        "Bill Discount": zero, "Voucher Discount": zero,
+        "Net Sales": F.when(ok % 29 == 0, F.lit(None).cast("string")).otherwise(_money_text(net)),
+        "Service Charge Total": zero,
+        "Tax Total": _money_text(net * tax),
+        "VAT Total": zero, "Delivery Cost": zero, "Order Fee": zero, "Platform Fee": zero,
+        "Voucher Sales Total": zero, "Rounding Total": zero,
+        "Grand Total": _money_text(net * (one + tax)),
+        "Branch": _s(sk),
+    }
+    return [v.alias(k) for k, v in cols.items()]
+
+
+def write_sales_reports(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
+    """Write one CSV export per branch under ``out_dir/export_branch=<id>/``: a title
+    line, a branch line, the header row, then the branch's rows. Rows are
+    clustered by branch and sorted within partitions, so every file is
+    written by one task in export order; no single task sees all branches."""
+    li = _t(spark, sf_dir, "lineitem")
+    body = li.select(F.col("l_suppkey").alias("export_branch"), F.lit(3).alias("_part"),
+                     F.col("l_orderkey").alias("_o1"), F.col("l_linenumber").alias("_o2"),
+                     *sales_report_columns(li))
+    names = [c for c in body.columns if not c.startswith("_") and c != "export_branch"]
+    width = len(names)
+    branches = body.select("export_branch").distinct()
+
+    def line(part: int, first: Column, rest: list[Column] | None = None) -> DataFrame:
+        cells = [first] + (rest or [F.lit(None).cast("string")] * (width - 1))
+        return branches.select("export_branch", F.lit(part).alias("_part"), F.lit(0).cast("bigint").alias("_o1"),
+                               F.lit(0).alias("_o2"), *[c.alias(n) for c, n in zip(cells, names)])
+
+    head = [
+        line(0, F.lit(REPORT_TITLE)),
+        line(1, F.concat(F.lit("Branch: "), _s(F.col("export_branch")))),
+        line(2, F.lit(names[0]), [F.lit(n) for n in names[1:]]),
+    ]
+    allrows = body
+    for h in head:
+        allrows = allrows.unionByName(h)
+    (allrows.repartition("export_branch")
+     .sortWithinPartitions("export_branch", "_part", "_o1", "_o2")
+     .drop("_part", "_o1", "_o2")
+     .write.mode("overwrite").partitionBy("export_branch").option("header", False).csv(out_dir))
+    return out_dir
+
+
+def sales_report_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of per-branch Sales exports for ``sf_dir``, written once per
+    session under the session's checkpoint folder."""
+    import uuid
+
+    from kasir.session import checkpoint_dir
+
+    def build() -> str:
+        out = f"{checkpoint_dir(spark).rstrip('/')}/report-exports/{uuid.uuid4().hex}"
+        return write_sales_reports(spark, sf_dir, out)
+
+    return _memo("report-files", spark, sf_dir, build)

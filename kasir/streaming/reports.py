@@ -21,7 +21,7 @@ from kasir.sources.reports import named_frame, spec, wide_schema
 
 
 def start(spark: SparkSession, source_dir: str, kind: str, table: str | None = None,
-          checkpoint: str | None = None, max_columns: int = 128,
+          checkpoint: str | None = None, max_columns: int = 64,
           available_now: bool = True) -> StreamingQuery:
     sp = spec(kind)
     target = table or sp.table
