@@ -27,10 +27,12 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
-def unmatched_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:
+def unmatched_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
+                   max_dim_rows: int = 2_000_000) -> DataFrame:
     """Fact keys with no dimension row, with how many fact rows carry each
     (these rows end up under a NULL store downstream). Left-anti join, then a
     partial + final count per key."""
     f = fact.select(F.col(f"`{fact_key}`").alias("key"))
-    d = dim.select(F.col(f"`{dim_key}`").alias("key"))
+    from kasir.operators.dims import bounded
+    d = bounded(dim.select(F.col(f"`{dim_key}`").alias("key")), max_dim_rows)
     return f.join(d, "key", "left_anti").groupBy("key").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -115,6 +115,17 @@ def test_read_report_finds_header_below_preamble(spark, scratch):
     assert rows["B3"]["Sales Date"] == dt.date(2025, 1, 2)
 
 
+def test_too_narrow_reader_fails_loudly(spark, scratch):
+    d = tempfile.mkdtemp(dir=scratch)
+    _write(os.path.join(d, "a.csv"), SALES_HEADER + "\n" + _sales_line("B1", "2025-01-01", "1:1:1", "1") + "\n")
+    with pytest.raises(ValueError, match="max_columns"):
+        reports.read_report(spark, os.path.join(d, "a.csv"), "sales",
+                            max_columns=len(SALES_HEADER.split(",")))
+    df = reports.read_report(spark, os.path.join(d, "a.csv"), "sales",
+                             max_columns=len(SALES_HEADER.split(",")) + 1)
+    assert df.count() == 1
+
+
 def test_missing_header_fails_before_write(spark, scratch):
     d = tempfile.mkdtemp(dir=scratch)
     _write(os.path.join(d, "a.csv"), "x,y\n1,2\n")
