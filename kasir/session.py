@@ -46,8 +46,15 @@ def ensure_job_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder from ``spark.checkpoint.dir``; a scratch
     folder is created only when the setting is absent (local runs)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:          # sessions without a local SparkContext (e.g. Connect)
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="kasir-ckpt-", dir=os.environ.get("KASIR_SCRATCH", "/tmp"))
-        spark.sparkContext.setCheckpointDir(d)
+        if sc is not None:
+            sc.setCheckpointDir(d)
     return d

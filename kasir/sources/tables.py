@@ -52,10 +52,12 @@ def spread(df: DataFrame) -> DataFrame:
     cores (few large files, or files with a single row group), so the per-row
     work after it runs in parallel. A large input already has more splits
     than cores and is returned unchanged, with no shuffle added."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:          # sessions without a local SparkContext (e.g. Connect)
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = None,
