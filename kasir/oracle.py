@@ -16,7 +16,6 @@ from kasir.config import (
     MENU_STORE_ATTRS,
     SAME_YEAR_ATTRS,
     STORE_ATTRS,
-    TRACKER_STORE_ATTRS,
 )
 from kasir.functions.expr import ASCII_SPACE_RUN, UNICODE_SPACE_CLASS
 from kasir.sources import fixtures as fx
@@ -373,7 +372,7 @@ def final(name: str, cols: list[str], money: set[str] = frozenset()) -> str:
     return with_ctes([name], f"SELECT {_money(cols, set(money))} FROM {name}")
 
 
-__all__ = ["CTES", "with_ctes", "final", "TRACKER_STORE_ATTRS"]
+__all__ = ["CTES", "with_ctes", "final"]
 
 
 # --- single operators ----------------------------------------------------------------

@@ -19,7 +19,7 @@ from pyspark.sql.types import DecimalType
 
 from kasir.config import DEFAULT, STORE_ATTRS, Config
 from kasir.functions.expr import channel_group, map_labels
-from kasir.operators.dims import bounded, join_dim
+from kasir.operators.dims import join_dim
 from kasir.operators.previous import with_previous
 
 GROUP = "Order_Type_Group"
@@ -194,6 +194,6 @@ def reported(df: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "bounded", "combine_sales", "daily_channel", "daily_group", "daily_store",
+    "by_store", "combine_sales", "daily_channel", "daily_group", "daily_store",
     "legacy_count", "legacy_daily", "legacy_money", "modern_daily", "reported", "with_store",
 ]

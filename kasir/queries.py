@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kasir import oracle as O
-from kasir.config import MENU_STORE_ATTRS, SAME_YEAR_ATTRS, STORE_ATTRS, TRACKER_STORE_ATTRS
+from kasir.config import MENU_STORE_ATTRS, SAME_YEAR_ATTRS, STORE_ATTRS
 from kasir.functions.expr import date_lit, days_since, map_labels, sunday_week, year_bucket
 from kasir.operators.dims import check_unique
 from kasir.operators.quality import null_profile, preview, unmatched_keys
@@ -443,4 +443,4 @@ def q_preview(spark, sf):
     return preview(_typed_report(spark, sf), 5)
 
 
-__all__ = ["QUERIES", "ORACLES", "Sales", "Menu", "TRACKER_STORE_ATTRS"]
+__all__ = ["QUERIES", "ORACLES", "PIPELINES", "Sales", "Menu"]
