@@ -106,6 +106,10 @@ class Config:
     # A dimension (store, lookup, adjustment) is broadcast only when it has at
     # most this many rows; above it the join is planned as a shuffle join.
     broadcast_max_rows: int = 2_000_000
+    # Partitions of the store-clustered stage (hash of RESTO) and buckets of
+    # the published daily marts; the two must agree for later jobs to skip
+    # the shuffle. None = spark.sql.shuffle.partitions.
+    store_partitions: int | None = None
 
     def with_(self, **kw) -> "Config":
         for k in ("cohort_open_from", "same_year_from", "legacy_menu_until", "as_of"):

@@ -103,7 +103,7 @@ def combine_sales(bills: DataFrame, value: DataFrame, tc: DataFrame, store: Data
         "total_tc", F.col("total_sales_net").cast(cfg.net_type).alias("total_sales_net"))
 
 
-def by_store(df: DataFrame) -> DataFrame:
+def by_store(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Hash-partition on RESTO. Every store-level job (daily and monthly
     marts, cohorts, tracker actuals) groups or windows by keys that start
     with RESTO, so one partitioning serves them all; it is also the bucketing
@@ -111,6 +111,8 @@ def by_store(df: DataFrame) -> DataFrame:
     input is already partitioned that way. One store's rows are bounded
     (days x channels), and so are the unmatched (NULL RESTO) rows, which the
     combined feed has already summed per day and channel."""
+    if cfg.store_partitions:
+        return df.repartition(cfg.store_partitions, "RESTO")
     return df.repartition("RESTO")
 
 
@@ -131,7 +133,7 @@ def with_store(df: DataFrame, store: DataFrame, cfg: Config = DEFAULT,
 def daily_channel(combined: DataFrame, store: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Q02 (daily1): every combined row with store attributes and the previous
     row of its (RESTO, channel) series."""
-    j = with_store(by_store(combined), store, cfg)
+    j = with_store(by_store(combined, cfg), store, cfg)
     base = j.select("Date", "RESTO", CHANNEL, GROUP, "total_sales_net", "total_tc", *STORE_ATTRS)
     out = with_previous(
         base, ["RESTO", CHANNEL], "Date",
@@ -154,7 +156,7 @@ def _grouped_with_store(combined: DataFrame, store: DataFrame, keys: Sequence[st
     on RESTO, which every following aggregate and the LAG window reuse, so the
     whole mart costs one exchange.
     """
-    pre = (by_store(combined)
+    pre = (by_store(combined, cfg)
            .groupBy(*keys)
            .agg(F.sum("total_sales_net").alias("total_sales_net"),
                 F.sum("total_tc").alias("total_tc")))

@@ -91,3 +91,13 @@ def test_pipeline_publishes_all_tables(spark, scratch):
     assert m.count() == spark.table(out["monthly1"]).count()
     pipeline.run_sales(spark, fx.sales_inputs(spark, SF_SMALL), CFG, outputs=out)
     assert spark.table(out["daily2"]).count() == s.daily2.count()   # replace, not append
+
+
+def test_bucket_count_follows_config(spark, scratch):
+    cfg = CFG.with_(store_partitions=4)
+    wh = tempfile.mkdtemp(dir=scratch)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS kasir_b LOCATION '{os.path.join(wh, 'kasir_b')}'")
+    out = {k: f"kasir_b.{k}" for k in pipeline.SALES_OUTPUTS}
+    pipeline.run_sales(spark, fx.sales_inputs(spark, SF_SMALL), cfg, outputs=out)
+    m = monthly.monthly_store(spark.table(out["daily3"]), cfg)
+    assert _exchanges(m) == 0
