@@ -458,10 +458,14 @@ def _num(c: str) -> str:
   ELSE CAST(NULLIF("{c}", '') AS DOUBLE) END"""
 
 
-def _date(c: str) -> str:
+def _date_sql(x: str) -> str:
     fmts = ["%m/%d/%Y %H:%M:%S", "%m/%d/%Y %H:%M", "%m/%d/%Y", "%d-%b-%Y", "%Y/%m/%d"]
-    tries = ", ".join(f"try_strptime(trim(\"{c}\"), '{f}')" for f in fmts)
-    return f"CAST(COALESCE(TRY_CAST(trim(\"{c}\") AS TIMESTAMP), {tries}) AS DATE)"
+    tries = ", ".join(f"try_strptime(trim({x}), '{f}')" for f in fmts)
+    return f"CAST(COALESCE(TRY_CAST(trim({x}) AS TIMESTAMP), {tries}) AS DATE)"
+
+
+def _date(c: str) -> str:
+    return _date_sql(f'"{c}"')
 
 
 def _time(c: str) -> str:
@@ -584,3 +588,32 @@ SELECT "No", "Bill Number", {_date("Sales Date")} AS "Sales Date", {_date("Sales
   "Service Charge Total", "Tax Total", "VAT Total", "Delivery Cost", "Order Fee", "Platform Fee",
   "Voucher Sales Total", "Rounding Total", "Grand Total", Branch
 FROM fx_sales_export WHERE {_NOT_BLANK}""", ("fx_sales_export",))
+
+cte("op_read_menu_report", f"""
+SELECT CAST(l_linenumber AS VARCHAR) AS "No",
+  {_date_sql("CASE WHEN l_orderkey % 13 = 0 THEN 'n/a' ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END")} AS "Sales Date",
+  CAST(l_suppkey AS VARCHAR) AS Branch, 'MENU ' || CAST(l_partkey % 97 AS VARCHAR) AS "Menu Name",
+  CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS Qty, {_m(_P)} AS Subtotal,
+  0.0::DOUBLE AS "Service Charge", {_m(f"{_P} * {_TX}")} AS "Tax Total", 0.0::DOUBLE AS "VAT Total",
+  CASE WHEN l_orderkey % 29 = 0 THEN NULL ELSE {_m(f"{_P} + {_P} * {_TX}")} END AS Total
+FROM lineitem""")
+
+_KITCHEN = f"""CASE WHEN l_orderkey % 19 = 0 THEN '26:00:00' WHEN l_orderkey % 19 = 1 THEN '-00:00:30'
+  WHEN l_orderkey % 19 = 2 THEN '1 days 02:03:04' WHEN l_orderkey % 19 = 3 THEN 'soon'
+  ELSE '00:' || {_p2('l_partkey % 60')} || ':' || {_p2('l_linenumber')} END"""
+
+cte("fx_service_export", f"""
+SELECT CAST(l_linenumber AS VARCHAR) AS "No", CAST(l_orderkey AS VARCHAR) AS "Bill Number",
+  CAST(CAST(l_shipdate AS DATE) AS VARCHAR) || ' ' || {_p2('l_linenumber + 8')} || ':' || {_p2('l_partkey % 60')} || ':00' AS "Sales Date In",
+  {_KITCHEN} AS "Kitchen Process",
+  '00:00:' || {_p2('l_partkey % 60')} || '.25' AS "Checker Process",
+  '00:' || {_p2('l_partkey % 60')} || ':' || {_p2('l_linenumber + 10')} AS "Total Process",
+  CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) AS "Kitchen Qty",
+  CAST(l_linenumber AS DOUBLE) AS "Checker Qty", CAST(l_suppkey AS VARCHAR) AS Branch
+FROM lineitem""")
+
+cte("op_read_service_report", f"""
+SELECT "No", "Bill Number", TRY_CAST("Sales Date In" AS TIMESTAMP) AS "Sales Date In",
+  {_duration('Kitchen Process')} AS "Kitchen Process", {_duration('Checker Process')} AS "Checker Process",
+  {_duration('Total Process')} AS "Total Process", "Kitchen Qty", "Checker Qty", Branch
+FROM fx_service_export""", ("fx_service_export",))

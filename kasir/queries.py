@@ -436,6 +436,21 @@ def q_read_report(spark, sf):
     return ingest.prepare(spark, f"{files}/export_branch=*/*.csv", "sales")
 
 
+@_op("read_menu_report")
+def q_read_menu_report(spark, sf):
+    """Per-branch Menu exports read back and typed (date, 6 numbers)."""
+    files = fx.sales_report_files(spark, sf, "menu")
+    return ingest.prepare(spark, f"{files}/export_branch=*/*.csv", "menu")
+
+
+@_op("read_service_report")
+def q_read_service_report(spark, sf):
+    """Per-branch Service Time exports read back and typed (timestamp,
+    3 durations as clock text, 2 numbers)."""
+    files = fx.sales_report_files(spark, sf, "service_time")
+    return ingest.prepare(spark, f"{files}/export_branch=*/*.csv", "service_time")
+
+
 @register("preview")
 def q_preview(spark, sf):
     """IN11: the first rows of the typed report, as shown after an upload.

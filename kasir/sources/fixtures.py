@@ -327,7 +327,58 @@ def sales_report_columns(li: DataFrame) -> list[Column]:
     return [v.alias(k) for k, v in cols.items()]
 
 
-def write_sales_reports(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
+def menu_report_columns(li: DataFrame) -> list[Column]:
+    """A Menu export row per lineitem row (menu name from the part key)."""
+    pk, sk, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
+    day = F.col("l_shipdate").cast("date")
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    tax = F.col("l_tax").cast("decimal(4,2)")
+    cols = {
+        "No": _s(ln),
+        "Sales Date": F.when(F.col("l_orderkey") % 13 == 0, F.lit("n/a")).otherwise(_s(day)),
+        "Branch": _s(sk),
+        "Menu Name": F.concat(F.lit("MENU "), _s(pk % 97)),
+        "Qty": _s(F.col("l_quantity").cast("int")),
+        "Subtotal": _money_text(price),
+        "Service Charge": F.lit("0.00"),
+        "Tax Total": _money_text(price * tax),
+        "VAT Total": F.lit("0.00"),
+        "Total": F.when(F.col("l_orderkey") % 29 == 0, F.lit(None).cast("string"))
+        .otherwise(_money_text(price + price * tax)),
+    }
+    return [v.alias(k) for k, v in cols.items()]
+
+
+def service_report_columns(li: DataFrame) -> list[Column]:
+    """A Service Time export row per lineitem row: kitchen/checker durations
+    (with day-plus and negative shapes) and their item counts."""
+    ok, pk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
+    day = F.col("l_shipdate").cast("date")
+    kitchen = (F.when(ok % 19 == 0, F.lit("26:00:00"))
+               .when(ok % 19 == 1, F.lit("-00:00:30"))
+               .when(ok % 19 == 2, F.lit("1 days 02:03:04"))
+               .when(ok % 19 == 3, F.lit("soon"))
+               .otherwise(F.concat(F.lit("00:"), _pad2(pk % 60), F.lit(":"), _pad2(ln))))
+    checker = F.concat(F.lit("00:00:"), _pad2(pk % 60), F.lit(".25"))
+    cols = {
+        "No": _s(ln),
+        "Bill Number": _s(ok),
+        "Sales Date In": F.concat(_s(day), F.lit(" "), _pad2(ln + 8), F.lit(":"), _pad2(pk % 60), F.lit(":00")),
+        "Kitchen Process": kitchen,
+        "Checker Process": checker,
+        "Total Process": F.concat(F.lit("00:"), _pad2(pk % 60), F.lit(":"), _pad2(ln + 10)),
+        "Kitchen Qty": _s(F.col("l_quantity").cast("int")),
+        "Checker Qty": _s(ln),
+        "Branch": _s(F.col("l_suppkey")),
+    }
+    return [v.alias(k) for k, v in cols.items()]
+
+
+REPORT_COLUMNS = {"sales": sales_report_columns, "menu": menu_report_columns,
+                  "service_time": service_report_columns}
+
+
+def write_sales_reports(spark: SparkSession, sf_dir: str, out_dir: str, kind: str = "sales") -> str:
     """Write one CSV export per branch under ``out_dir/export_branch=<id>/``: a title
     line, a branch line, the header row, then the branch's rows. Rows are
     clustered by branch and sorted within partitions, so every file is
@@ -335,7 +386,7 @@ def write_sales_reports(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
     li = _t(spark, sf_dir, "lineitem")
     body = li.select(F.col("l_suppkey").alias("export_branch"), F.lit(3).alias("_part"),
                      F.col("l_orderkey").alias("_o1"), F.col("l_linenumber").alias("_o2"),
-                     *sales_report_columns(li))
+                     *REPORT_COLUMNS[kind](li))
     names = [c for c in body.columns if not c.startswith("_") and c != "export_branch"]
     width = len(names)
     branches = body.select("export_branch").distinct()
@@ -360,15 +411,15 @@ def write_sales_reports(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
     return out_dir
 
 
-def sales_report_files(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of per-branch Sales exports for ``sf_dir``, written once per
-    session under the session's checkpoint folder."""
+def sales_report_files(spark: SparkSession, sf_dir: str, kind: str = "sales") -> str:
+    """Folder of per-branch exports of one report kind for ``sf_dir``, written
+    once per session under the session's checkpoint folder."""
     import uuid
 
     from kasir.session import checkpoint_dir
 
     def build() -> str:
-        out = f"{checkpoint_dir(spark).rstrip('/')}/report-exports/{uuid.uuid4().hex}"
-        return write_sales_reports(spark, sf_dir, out)
+        out = f"{checkpoint_dir(spark).rstrip('/')}/report-exports/{kind}-{uuid.uuid4().hex}"
+        return write_sales_reports(spark, sf_dir, out, kind)
 
-    return _memo("report-files", spark, sf_dir, build)
+    return _memo(f"report-files-{kind}", spark, sf_dir, build)
