@@ -377,43 +377,43 @@ __all__ = ["CTES", "with_ctes", "final"]
 
 # --- single operators ----------------------------------------------------------------
 
-cte("op_map_visit_purpose", f"""
+cte("chk_map_visit_purpose", f"""
 SELECT "Sales Date", Branch, "Bill Number", "Visit Purpose",
   {_map('"Visit Purpose"', CFG.visit_purpose_channels, CFG.unknown_channel)} AS Order_Type
 FROM fx_bills""", ("fx_bills",))
 
-cte("op_channel_group", """
+cte("chk_channel_group", """
 SELECT Order_Type, Order_Type_Group, COUNT(*) AS n_rows FROM combined GROUP BY 1, 2""", ("combined",))
 
 
-cte("op_same_year_filter", """
+cte("chk_same_year_filter", """
 SELECT Date, RESTO, Order_Type, OPEN_STORE, total_sales_net FROM daily1
 WHERE year(Date) = year(OPEN_STORE)""", ("daily1",))
 
-cte("op_days_open", """
+cte("chk_days_open", """
 SELECT Date, RESTO, OPEN_STORE, CAST(date_diff('day', OPEN_STORE, Date) + 1 AS INTEGER) AS days_opened
 FROM daily3""", ("daily3",))
 
-cte("op_sunday_week", """
+cte("chk_sunday_week", """
 SELECT d AS Date, CAST(strftime(d, '%U') AS INTEGER) AS week_number
 FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)""")
 
-cte("op_year_bucket", f"""
+cte("chk_year_bucket", f"""
 SELECT NEW_CODE_STORE, OPEN_STORE, CAST(year(OPEN_STORE) AS INTEGER) AS year_open_store,
   CAST(CASE WHEN OPEN_STORE IS NULL THEN {CFG.year_when_null}
             ELSE greatest(year(OPEN_STORE), {CFG.year_floor}) END AS INTEGER) AS year_open_store2
 FROM fx_store""", ("fx_store",))
 
-cte("op_to_date_mask", f"""
+cte("chk_to_date_mask", f"""
 SELECT code, date_daily, target_sales_nett,
   CASE WHEN date_daily >= {_d(CFG.as_of)} THEN NULL ELSE target_sales_nett END AS ytd_target_sales
 FROM fx_targets""", ("fx_targets",))
 
-cte("op_menu_cutover", f"""
+cte("chk_menu_cutover", f"""
 SELECT Date, Code, Product, QTY FROM fx_productmix WHERE Date <= {_d(CFG.legacy_menu_until)}""",
     ("fx_productmix",))
 
-cte("op_product_key_join_modern", f"""
+cte("chk_product_key_join_modern", f"""
 SELECT p."Sales Date" AS Date, p.Branch, p."Menu Name", p.Qty, k.product_cleaned, k.category, k.product_cleaned_2
 FROM fx_menu_report p LEFT JOIN fx_lookup k ON {_key('p."Menu Name"')} = {_key('k.product')}""",
     ("fx_menu_report", "fx_lookup"))
@@ -450,7 +450,7 @@ FROM lineitem""")
 _NOT_BLANK = f"""("Bill Number" IS NOT NULL AND regexp_replace("Bill Number",
   '^{UNICODE_SPACE_CLASS}+|{UNICODE_SPACE_CLASS}+$', '', 'g') <> '')"""
 
-cte("op_drop_blank_key", f'SELECT * FROM fx_raw_sales WHERE {_NOT_BLANK}', ("fx_raw_sales",))
+cte("chk_drop_blank_key", f'SELECT * FROM fx_raw_sales WHERE {_NOT_BLANK}', ("fx_raw_sales",))
 
 
 def _num(c: str) -> str:
@@ -503,21 +503,21 @@ def _duration(c: str) -> str:
            ELSE '.' || lpad(CAST({sub} AS VARCHAR), 9, '0') END) END"""
 
 
-cte("op_typed_numeric", f"""
+cte("chk_typed_numeric", f"""
 SELECT "No", "Bill Number", {_num('Net Sales')} AS "Net Sales", {_num('Pax Total')} AS "Pax Total"
 FROM fx_raw_sales""", ("fx_raw_sales",))
-cte("op_typed_date", f'SELECT "No", "Bill Number", {_date("Sales Date")} AS "Sales Date" FROM fx_raw_sales',
+cte("chk_typed_date", f'SELECT "No", "Bill Number", {_date("Sales Date")} AS "Sales Date" FROM fx_raw_sales',
     ("fx_raw_sales",))
-cte("op_typed_time", f'SELECT "No", "Bill Number", {_time("Sales In Time")} AS "Sales In Time" FROM fx_raw_sales',
+cte("chk_typed_time", f'SELECT "No", "Bill Number", {_time("Sales In Time")} AS "Sales In Time" FROM fx_raw_sales',
     ("fx_raw_sales",))
-cte("op_typed_timestamp", """
+cte("chk_typed_timestamp", """
 SELECT "No", "Bill Number", TRY_CAST("Sales Date In" AS TIMESTAMP) AS "Sales Date In" FROM fx_raw_sales""",
     ("fx_raw_sales",))
-cte("op_clean_duration", f"""
+cte("chk_clean_duration", f"""
 SELECT "No", "Bill Number", "Kitchen Process" AS raw_duration, {_duration('Kitchen Process')} AS "Kitchen Process"
 FROM fx_raw_sales""", ("fx_raw_sales",))
 
-cte("op_typed_report", f"""
+cte("chk_typed_report", f"""
 SELECT "No", "Bill Number", {_date("Sales Date")} AS "Sales Date", {_time("Sales In Time")} AS "Sales In Time",
   {_duration('Kitchen Process')} AS "Kitchen Process", {_num('Net Sales')} AS "Net Sales",
   {_num('Pax Total')} AS "Pax Total", TRY_CAST("Sales Date In" AS TIMESTAMP) AS "Sales Date In", Branch
@@ -525,22 +525,22 @@ FROM fx_raw_sales WHERE {_NOT_BLANK}""", ("fx_raw_sales",))
 
 _REPORT_COLS = ["No", "Bill Number", "Sales Date", "Sales In Time", "Kitchen Process", "Net Sales",
                 "Pax Total", "Sales Date In", "Branch"]
-cte("op_null_profile", "SELECT COUNT(*) AS rows, " + ", ".join(
-    f'COUNT(*) FILTER (WHERE "{c}" IS NULL) AS "{c}"' for c in _REPORT_COLS) + " FROM op_typed_report",
-    ("op_typed_report",))
+cte("chk_null_profile", "SELECT COUNT(*) AS rows, " + ", ".join(
+    f'COUNT(*) FILTER (WHERE "{c}" IS NULL) AS "{c}"' for c in _REPORT_COLS) + " FROM chk_typed_report",
+    ("chk_typed_report",))
 
-cte("op_stack_files", """
+cte("chk_stack_files", """
 SELECT "No", "Bill Number", "Net Sales", NULL::VARCHAR AS "Pax Total" FROM fx_raw_sales WHERE CAST("No" AS INTEGER) % 2 = 1
 UNION ALL
 SELECT "No", "Bill Number", NULL::VARCHAR AS "Net Sales", "Pax Total" FROM fx_raw_sales WHERE CAST("No" AS INTEGER) % 2 = 0""",
     ("fx_raw_sales",))
 
-cte("op_unmatched_branches", """
+cte("chk_unmatched_branches", """
 SELECT b.Branch AS key, COUNT(*) AS n_rows
 FROM fx_bills b WHERE NOT EXISTS (SELECT 1 FROM fx_store s WHERE s.CODE_GIS = b.Branch)
 GROUP BY b.Branch""", ("fx_bills", "fx_store"))
 
-cte("op_duplicate_store_keys", """
+cte("chk_duplicate_store_keys", """
 SELECT NEW_CODE_STORE, COUNT(*) AS count FROM fx_store GROUP BY 1 HAVING COUNT(*) > 1""", ("fx_store",))
 
 # full Sales export derived from lineitem, typed as the ingest types it
@@ -580,7 +580,7 @@ SELECT CAST(l_linenumber AS VARCHAR) AS "No",
   CAST(l_suppkey AS VARCHAR) AS Branch
 FROM lineitem""")
 
-cte("op_read_report", f"""
+cte("chk_read_report", f"""
 SELECT "No", "Bill Number", {_date("Sales Date")} AS "Sales Date", {_date("Sales In Date")} AS "Sales In Date",
   {_date("Sales Out Date")} AS "Sales Out Date", {_time("Sales In Time")} AS "Sales In Time",
   {_time("Sales Out Time")} AS "Sales Out Time",
@@ -589,7 +589,7 @@ SELECT "No", "Bill Number", {_date("Sales Date")} AS "Sales Date", {_date("Sales
   "Voucher Sales Total", "Rounding Total", "Grand Total", Branch
 FROM fx_sales_export WHERE {_NOT_BLANK}""", ("fx_sales_export",))
 
-cte("op_read_menu_report", f"""
+cte("chk_read_menu_report", f"""
 SELECT CAST(l_linenumber AS VARCHAR) AS "No",
   {_date_sql("CASE WHEN l_orderkey % 13 = 0 THEN 'n/a' ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END")} AS "Sales Date",
   CAST(l_suppkey AS VARCHAR) AS Branch, 'MENU ' || CAST(l_partkey % 97 AS VARCHAR) AS "Menu Name",
@@ -612,7 +612,7 @@ SELECT CAST(l_linenumber AS VARCHAR) AS "No", CAST(l_orderkey AS VARCHAR) AS "Bi
   CAST(l_linenumber AS DOUBLE) AS "Checker Qty", CAST(l_suppkey AS VARCHAR) AS Branch
 FROM lineitem""")
 
-cte("op_read_service_report", f"""
+cte("chk_read_service_report", f"""
 SELECT "No", "Bill Number", TRY_CAST("Sales Date In" AS TIMESTAMP) AS "Sales Date In",
   {_duration('Kitchen Process')} AS "Kitchen Process", {_duration('Checker Process')} AS "Checker Process",
   {_duration('Total Process')} AS "Total Process", "Kitchen Qty", "Checker Qty", Branch

@@ -189,16 +189,16 @@ PIPELINES = tuple(QUERIES)   # the 13 published tables, registered above
 
 # --- single operators (each over whole fixture tables) -----------------------------
 
-def _op(name: str, cols: list[str] | None = None, money: set[str] = frozenset(),
+def single(name: str, cols: list[str] | None = None, money: set[str] = frozenset(),
         cte: str | None = None):
-    """Register an operator query whose oracle is the CTE ``op_<name>`` (or
+    """Register an operator query whose oracle is the CTE ``chk_<name>`` (or
     the stage CTE ``cte``)."""
-    cte = cte or f"op_{name}"
+    cte = cte or f"chk_{name}"
     sql = O.with_ctes([cte], f"SELECT {O._money(cols, set(money)) if cols else '*'} FROM {cte}")
     return register(name, sql)
 
 
-@_op("map_visit_purpose")
+@single("map_visit_purpose")
 def q_map_visit_purpose(spark, sf):
     """PR3: visit purpose -> channel, per bill line."""
     b = fx.bills(spark, sf)
@@ -207,41 +207,41 @@ def q_map_visit_purpose(spark, sf):
                                CFG.unknown_channel).alias("Order_Type"))
 
 
-@_op("map_tender", ["Date", "RESTO", "Order_Type", "total_sales_net"], {"total_sales_net"}, cte="legacy_money")
+@single("map_tender", ["Date", "RESTO", "Order_Type", "total_sales_net"], {"total_sales_net"}, cte="legacy_money")
 def q_map_tender(spark, sf):
     """PR4 + A02 + PR6: tender -> channel derived before grouping (two
     tenders of one channel form one group), summed, tax stripped."""
     return sales.legacy_money(fx.sales_value(spark, sf), CFG)
 
 
-@_op("tc_by_channel", ["Date", "RESTO", "Order_Type", "total_tc"], cte="legacy_count")
+@single("tc_by_channel", ["Date", "RESTO", "Order_Type", "total_tc"], cte="legacy_count")
 def q_legacy_count(spark, sf):
     """PR4 + A03."""
     return sales.legacy_count(fx.sales_tc(spark, sf), CFG)
 
 
-@_op("channel_group")
+@single("channel_group")
 def q_channel_group(spark, sf):
     """PR5: channel -> group, with row counts over the combined feed."""
     return Sales(spark, sf).combined.groupBy("Order_Type", "Order_Type_Group").agg(
         F.count(F.lit(1)).alias("n_rows"))
 
 
-@_op("bill_count", ["Date", "RESTO", "Order_Type", "total_tc", "total_sales_net"], {"total_sales_net"},
+@single("bill_count", ["Date", "RESTO", "Order_Type", "total_tc", "total_sales_net"], {"total_sales_net"},
      cte="modern_daily")
 def q_bill_count(spark, sf):
     """J01 + A01: distinct bills and net per (Date, store, channel)."""
     return sales.modern_daily(fx.bills(spark, sf), fx.store(spark, sf), CFG)
 
 
-@_op("legacy_join", ["Date", "RESTO", "Order_Type", "total_tc", "total_sales_net"], {"total_sales_net"},
+@single("legacy_join", ["Date", "RESTO", "Order_Type", "total_tc", "total_sales_net"], {"total_sales_net"},
      cte="legacy_daily")
 def q_legacy_join(spark, sf):
     """Inner join of legacy money and count."""
     return sales.legacy_daily(fx.sales_value(spark, sf), fx.sales_tc(spark, sf), CFG)
 
 
-@_op("feed_union", ["Date", "RESTO", "Order_Type", "total_tc", "total_sales_net"], {"total_sales_net"},
+@single("feed_union", ["Date", "RESTO", "Order_Type", "total_tc", "total_sales_net"], {"total_sales_net"},
      cte="feed_union")
 def q_feed_union(spark, sf):
     """Both feeds stacked, duplicates kept."""
@@ -251,7 +251,7 @@ def q_feed_union(spark, sf):
         sales.legacy_daily(i.sales_value, i.sales_tc, CFG).select(*cols))
 
 
-@_op("store_attrs_left", ["Date", "RESTO", "Order_Type", "Order_Type_Group", "total_sales_net",
+@single("store_attrs_left", ["Date", "RESTO", "Order_Type", "Order_Type_Group", "total_sales_net",
                         "total_tc", *STORE_ATTRS], {"total_sales_net"}, cte="combined_store")
 def q_store_attrs_left(spark, sf):
     """Combined rows with store attributes (left: unmatched keep NULLs)."""
@@ -260,7 +260,7 @@ def q_store_attrs_left(spark, sf):
         "Date", "RESTO", "Order_Type", "Order_Type_Group", "total_sales_net", "total_tc", *STORE_ATTRS)
 
 
-@_op("product_key_join", ["Date", "Code", "Product", "QTY", "product_cleaned", "category",
+@single("product_key_join", ["Date", "Code", "Product", "QTY", "product_cleaned", "category",
                              "product_cleaned_2"], cte="menu_legacy_matched")
 def q_product_key_join(spark, sf):
     """J15 + FI5: legacy menu rows up to the cut-over, matched on the
@@ -269,27 +269,27 @@ def q_product_key_join(spark, sf):
     return menu.legacy_menu_matched(i.productmix, i.lookup_legacy, CFG)
 
 
-@_op("product_key_join_modern")
+@single("product_key_join_modern")
 def q_product_key_join_modern(spark, sf):
     """Modern menu rows matched on the normalised menu-name key."""
     i = fx.menu_inputs(spark, sf)
     return menu.modern_menu_matched(i.menu_report, i.lookup_modern, CFG)
 
 
-@_op("month_average", ["month", "RESTO", "Order_Type_Group", "avg_sales_net", "avg_tc"], cte="monthly2_avg")
+@single("month_average", ["month", "RESTO", "Order_Type_Group", "avg_sales_net", "avg_tc"], cte="monthly2_avg")
 def q_month_average(spark, sf):
     """Mean of the daily rows present per (month, store, group)."""
     return monthly.month_average(Sales(spark, sf).daily2, monthly.GRAINS["group"])
 
 
-@_op("distinct_daily", ["Date", "RESTO", "OPEN_STORE", "total_sales_net", "days_opened"],
+@single("distinct_daily", ["Date", "RESTO", "OPEN_STORE", "total_sales_net", "days_opened"],
      {"total_sales_net"}, cte="distinct_daily")
 def q_distinct_daily(spark, sf):
     """DISTINCT over the cohort columns (no day-count filter)."""
     return cohorts.distinct_daily(Sales(spark, sf).daily3, CFG)
 
 
-@_op("same_year_filter", ["Date", "RESTO", "Order_Type", "OPEN_STORE", "total_sales_net"],
+@single("same_year_filter", ["Date", "RESTO", "Order_Type", "OPEN_STORE", "total_sales_net"],
      {"total_sales_net"})
 def q_same_year_filter(spark, sf):
     """FI3: rows in the store's opening year."""
@@ -297,21 +297,21 @@ def q_same_year_filter(spark, sf):
             .select("Date", "RESTO", "Order_Type", "OPEN_STORE", "total_sales_net"))
 
 
-@_op("days_open")
+@single("days_open")
 def q_days_open(spark, sf):
     """PR10: 1-based days since opening for every store-day."""
     return Sales(spark, sf).daily3.select("Date", "RESTO", "OPEN_STORE",
                                           days_since("Date", "OPEN_STORE").alias("days_opened"))
 
 
-@_op("sunday_week")
+@single("sunday_week")
 def q_sunday_week(spark, sf):
     """Sunday-based week of year for every ship date."""
     d = fx.bills(spark, sf).select(F.col("Sales Date").alias("Date")).distinct()
     return d.select("Date", sunday_week("Date").alias("week_number"))
 
 
-@_op("year_bucket")
+@single("year_bucket")
 def q_year_bucket(spark, sf):
     """PR11 + F07: opening-year bucket with NULL-propagating GREATEST."""
     st = fx.store(spark, sf)
@@ -320,7 +320,7 @@ def q_year_bucket(spark, sf):
                      .alias("year_open_store2"))
 
 
-@_op("gap_adjust", ["code", "date_daily", "month", "target_sales_nett", "actual_sales_nett",
+@single("gap_adjust", ["code", "date_daily", "month", "target_sales_nett", "actual_sales_nett",
                 "actual_sales_nett_2"], {"actual_sales_nett"}, cte="tr_gap")
 def q_gap_adjust(spark, sf):
     """J12 + J13 + PR7: targets with actuals and the monthly adjustment."""
@@ -328,7 +328,7 @@ def q_gap_adjust(spark, sf):
     return tracker.gap_adjust(tracker.with_actuals(s.i.targets, s.daily1, CFG), s.i.adjustments, CFG)
 
 
-@_op("to_date_mask")
+@single("to_date_mask")
 def q_to_date_mask(spark, sf):
     """PR8: target masked from the as-of day on."""
     t = fx.targets(spark, sf)
@@ -337,47 +337,47 @@ def q_to_date_mask(spark, sf):
                     .otherwise(F.col("target_sales_nett")).alias("ytd_target_sales"))
 
 
-@_op("menu_cutover")
+@single("menu_cutover")
 def q_menu_cutover(spark, sf):
     """FI5: legacy menu rows up to the cut-over date (pushed to the scan)."""
     return fx.productmix(spark, sf).where(F.col("Date") <= date_lit(CFG.legacy_menu_until))
 
 
-@_op("drop_blank_key")
+@single("drop_blank_key")
 def q_drop_blank_key(spark, sf):
     """IN1: rows without a bill number (NULL or whitespace) dropped."""
     return ingest.drop_blank(fx.raw_sales_report(spark, sf), "Bill Number")
 
 
-@_op("typed_numeric")
+@single("typed_numeric")
 def q_typed_numeric(spark, sf):
     """IN2: strict numeric typing; empty cells are NULL."""
     r = ingest.cast_strict(fx.raw_sales_report(spark, sf), ["Net Sales", "Pax Total"])
     return r.select("No", "Bill Number", "Net Sales", "Pax Total")
 
 
-@_op("typed_date")
+@single("typed_date")
 def q_typed_date(spark, sf):
     """IN3: lenient dates (ISO and month-first slashes); junk -> NULL."""
     r = ingest.cast_date(fx.raw_sales_report(spark, sf), ["Sales Date"])
     return r.select("No", "Bill Number", "Sales Date")
 
 
-@_op("typed_time")
+@single("typed_time")
 def q_typed_time(spark, sf):
     """IN4: exact H:M:S times of day; hour 25 -> NULL."""
     r = ingest.cast_time(fx.raw_sales_report(spark, sf), ["Sales In Time"])
     return r.select("No", "Bill Number", "Sales In Time")
 
 
-@_op("typed_timestamp")
+@single("typed_timestamp")
 def q_typed_timestamp(spark, sf):
     """IN5: lenient timestamps."""
     r = ingest.cast_timestamp(fx.raw_sales_report(spark, sf), ["Sales Date In"])
     return r.select("No", "Bill Number", "Sales Date In")
 
 
-@_op("clean_duration")
+@single("clean_duration")
 def q_clean_duration(spark, sf):
     """IN6: durations printed as their clock tail."""
     r = fx.raw_sales_report(spark, sf).withColumn("raw_duration", F.col("Kitchen Process"))
@@ -394,19 +394,19 @@ def _typed_report(spark, sf):
     return ingest.cast_timestamp(r, ["Sales Date In"])
 
 
-@_op("typed_report")
+@single("typed_report")
 def q_typed_report(spark, sf):
     """IN1-IN6 composed: one report typed end to end."""
     return _typed_report(spark, sf)
 
 
-@_op("null_profile")
+@single("null_profile")
 def q_null_profile(spark, sf):
     """IN10: NULL count of every column of the typed report, one pass."""
     return null_profile(_typed_report(spark, sf))
 
 
-@_op("stack_files")
+@single("stack_files")
 def q_stack_files(spark, sf):
     """IN8: two exports with different column sets stacked by name."""
     r = fx.raw_sales_report(spark, sf)
@@ -415,19 +415,19 @@ def q_stack_files(spark, sf):
     return stack([odd, even])
 
 
-@_op("unmatched_branches")
+@single("unmatched_branches")
 def q_unmatched_branches(spark, sf):
     """Bill rows whose branch has no store row (they publish under a NULL store)."""
     return unmatched_keys(fx.bills(spark, sf), "Branch", fx.store(spark, sf), "CODE_GIS")
 
 
-@_op("duplicate_store_keys")
+@single("duplicate_store_keys")
 def q_duplicate_store_keys(spark, sf):
     """Store codes held by more than one store row (these multiply fact rows)."""
     return check_unique(fx.store(spark, sf), "NEW_CODE_STORE")
 
 
-@_op("read_report")
+@single("read_report")
 def q_read_report(spark, sf):
     """SC3-SC5 + I1: per-branch Sales exports (title and branch lines above
     the header) written from lineitem, then read back, header located per
@@ -436,14 +436,14 @@ def q_read_report(spark, sf):
     return ingest.prepare(spark, f"{files}/export_branch=*/*.csv", "sales")
 
 
-@_op("read_menu_report")
+@single("read_menu_report")
 def q_read_menu_report(spark, sf):
     """Per-branch Menu exports read back and typed (date, 6 numbers)."""
     files = fx.sales_report_files(spark, sf, "menu")
     return ingest.prepare(spark, f"{files}/export_branch=*/*.csv", "menu")
 
 
-@_op("read_service_report")
+@single("read_service_report")
 def q_read_service_report(spark, sf):
     """Per-branch Service Time exports read back and typed (timestamp,
     3 durations as clock text, 2 numbers)."""
