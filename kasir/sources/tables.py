@@ -29,7 +29,7 @@ NEEDED: dict[str, tuple[str, ...]] = {
     "lookup_modern": ("product", "product_cleaned", "category", "product_cleaned_2"),
 }
 
-# Default catalog names of the inputs.
+# Catalog names of the inputs (the tables the jobs read today).
 TABLES: dict[str, str] = {
     "bills": "sales_data.esb_sales_recapitulation_report",
     "sales_value": "sales_data.sales_value",
