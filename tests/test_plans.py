@@ -101,3 +101,24 @@ def test_bucket_count_follows_config(spark, scratch):
     pipeline.run_sales(spark, fx.sales_inputs(spark, SF_SMALL), cfg, outputs=out)
     m = monthly.monthly_store(spark.table(out["daily3"]), cfg)
     assert _exchanges(m) == 0
+
+
+def test_cli_menu_batch_and_ingest(spark, scratch):
+    """The command line rebuilds the menu tables from parquet inputs and
+    loads a report file."""
+    from kasir import cli
+    d = tempfile.mkdtemp(dir=scratch)
+    m = fx.menu_inputs(spark, SF_SMALL)
+    args = ["menu"]
+    for key in ("productmix", "menu_report", "lookup_legacy", "lookup_modern", "store"):
+        path = os.path.join(d, key)
+        getattr(m, key).write.mode("overwrite").parquet(path)
+        args += ["--table", f"{key}={path}"]
+    out = cli.main(args, spark)
+    assert spark.table(out["prodmix2"]).count() > 0
+    csv = os.path.join(d, "r.csv")
+    with open(csv, "w") as f:
+        f.write("Menu Recap\nSales Date,Branch,Menu Name,Qty,Subtotal,Service Charge,Tax Total,VAT Total,Total\n"
+                "2025-01-02,7,MIE,2,10.00,0,1.00,0,11.00\n")
+    res = cli.main(["ingest", "menu", csv, "--target", "default.cli_menu_t"], spark)
+    assert res["rows"] == 1 and spark.table("default.cli_menu_t").count() == 1
