@@ -13,12 +13,16 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
-from pyspark.sql import SparkSession
+if __package__ in (None, ""):          # run as a script: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from kasir.config import DEFAULT
-from kasir.session import ensure_job_conf
+from pyspark.sql import SparkSession  # noqa: E402
+
+from kasir.config import DEFAULT  # noqa: E402
+from kasir.session import ensure_job_conf  # noqa: E402
 
 
 def _tables(pairs: list[str]) -> dict[str, str]:
