@@ -23,9 +23,8 @@ from kasir.sources.reports import stack
 CFG = fx.FIXTURE_CONFIG
 
 
-class Sales:
-    """The sales jobs chained over the fixture inputs of one scale factor.
-    Plans are built once per (session, folder, config) and reused."""
+class _Stages:
+    """Plans built once per (session, folder, config) and reused."""
 
     _cache: dict = {}
 
@@ -35,6 +34,10 @@ class Sales:
             cls._cache[key] = super().__new__(cls)
         return cls._cache[key]
 
+
+class Sales(_Stages):
+    """The sales jobs chained over the fixture inputs of one scale factor."""
+
     def __init__(self, spark: SparkSession, sf_dir: str, cfg=CFG):
         if getattr(self, "i", None) is not None:
             return
@@ -59,7 +62,9 @@ class Sales:
         return sales.daily_store(self.combined, self.i.store, self.cfg)
 
 
-class Menu(Sales):
+class Menu(_Stages):
+    """The menu jobs chained over the fixture inputs of one scale factor."""
+
     def __init__(self, spark: SparkSession, sf_dir: str, cfg=CFG):
         if getattr(self, "i", None) is not None:
             return
