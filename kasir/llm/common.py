@@ -23,10 +23,10 @@ ARROW_ROWS = 1000
 _shipped: set[str] = set()
 
 
-def prepare(spark: SparkSession) -> None:
+def prepare(spark: SparkSession, arrow_rows: int = ARROW_ROWS) -> None:
     """Session settings the operators rely on; ships this package to the
     Python workers once per application."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(arrow_rows))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     sc = spark.sparkContext
     if sc.applicationId in _shipped:

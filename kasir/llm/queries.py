@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+from kasir.llm.bpe_tree import op7_bpe_tree
 from kasir.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from kasir.llm.line_dedup import OP3_SQL, op3_line_dedup
+from kasir.llm.packing import op5_packing
+from kasir.llm.token_store import op1_token_files
+from kasir.llm.topk import OP4_SQL, op4_top_k
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
     "op3_line_dedup": op3_line_dedup,
+    "op4_top_k": op4_top_k,
+    "op5_packing": op5_packing,
+    "op7_bpe_tree": op7_bpe_tree,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES = {
     "op3_line_dedup": OP3_SQL,
+    "op4_top_k": OP4_SQL,
     "op10_exact_dedup": OP10_SQL,
 }
