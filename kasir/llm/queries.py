@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from kasir.llm.bpe_tree import op7_bpe_tree
 from kasir.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from kasir.llm.language import op6_language
 from kasir.llm.line_dedup import OP3_SQL, op3_line_dedup
 from kasir.llm.packing import op5_packing
+from kasir.llm.quality import op2_quality
 from kasir.llm.token_store import op1_token_files
 from kasir.llm.topk import OP4_SQL, op4_top_k
+from kasir.llm.url_rules import op8_url_rules
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_quality": op2_quality,
     "op3_line_dedup": op3_line_dedup,
     "op4_top_k": op4_top_k,
     "op5_packing": op5_packing,
+    "op6_language": op6_language,
     "op7_bpe_tree": op7_bpe_tree,
+    "op8_url_rules": op8_url_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
