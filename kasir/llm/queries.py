@@ -6,6 +6,7 @@ from kasir.llm.bpe_tree import op7_bpe_tree
 from kasir.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from kasir.llm.language import op6_language
 from kasir.llm.line_dedup import OP3_SQL, op3_line_dedup
+from kasir.llm.ngram_join import OP9_SQL, op9_ngram_join
 from kasir.llm.packing import op5_packing
 from kasir.llm.quality import op2_quality
 from kasir.llm.token_store import op1_token_files
@@ -21,11 +22,13 @@ QUERIES = {
     "op6_language": op6_language,
     "op7_bpe_tree": op7_bpe_tree,
     "op8_url_rules": op8_url_rules,
+    "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES = {
     "op3_line_dedup": OP3_SQL,
     "op4_top_k": OP4_SQL,
+    "op9_ngram_join": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,
 }
