@@ -27,10 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from kasir.llm.common import prepare, shared_path, text_or_empty
+from kasir.llm.common import prepare, shared_path, staged, text_or_empty
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# Each state partition would otherwise reserve some MB of disk for its logs.
+FALLOCATE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 # Hits of one digest that share a copy of the kept text.
 SALT_ROWS = 2000
 
@@ -67,8 +69,10 @@ def update_state(spark: SparkSession, path: str, schema: StructType, home: str,
         last["id"] = batch_id
 
     last: dict[str, int] = {}
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    settings = {PROVIDER: ROCKSDB, FALLOCATE: "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         query = (groups.writeStream.outputMode("complete").trigger(availableNow=True)
                  .queryName(f"exact-dedup-{uuid.uuid4().hex}")
@@ -76,10 +80,8 @@ def update_state(spark: SparkSession, path: str, schema: StructType, home: str,
                  .foreachBatch(publish).start())
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     reader = spark.read.schema(STATE_SCHEMA)
     if "id" in last:
         return reader.parquet(f"{image}/batch={last['id']}")
@@ -105,7 +107,7 @@ def resolve(docs: DataFrame, state: DataFrame, id_col: str = "doc_id",
                            "group_size", F.lit(True).alias("kept"), "digest")
 
     copies = groups.where("group_size > 1")
-    hits = rows.join(copies, "digest")
+    hits = staged(rows.join(copies, "digest"), "exact-hits")
     n_salts = F.ceil(F.col("group_size") / SALT_ROWS)
     originals = (hits.where("at = keep")
                  .select("digest", F.col("text").alias("original"),
