@@ -30,9 +30,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kasir.llm.common import slots, staged, text_or_empty
-from kasir.llm.pieces import chunks, encoder
+from kasir.llm.pieces import encoder
 
 CAPACITY = 2048
+HELD_BYTES = 1 << 24            # ids sent back at once
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
 
@@ -42,22 +43,28 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     end = struct.pack("<I", end_id)
     width = 4 * capacity
 
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                          names=["doc_id", "piece", "start", "length", "ids"])
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for at, some in chunks(texts):
-                out: list[tuple] = []
-                for i, data in enumerate(enc.encode_all(some), at):
-                    data += end
-                    first = len(data) % width or width
-                    spans = [(0, first), *((s, s + width) for s in range(first, len(data), width))]
-                    out += [(ids[i], k, s // 4, (e - s) // 4, data[s:e]) for k, (s, e) in enumerate(spans)]
-                cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(),
-                                                           pa.int64(), pa.binary()))],
-                    names=["doc_id", "piece", "start", "length", "ids"])
+            out: list[tuple] = []
+            held = 0
+            for doc, text in zip(ids, texts):
+                data = enc.encode(text) + end
+                first = len(data) % width or width
+                spans = [(0, first), *((s, s + width) for s in range(first, len(data), width))]
+                out += [(doc, k, s // 4, (e - s) // 4, data[s:e]) for k, (s, e) in enumerate(spans)]
+                held += len(data)
+                if held > HELD_BYTES:           # long texts: several batches
+                    yield batch(out)
+                    out, held = [], 0
+            if out:
+                yield batch(out)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     return rows.mapInArrow(cut, PIECES)

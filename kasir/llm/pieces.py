@@ -22,15 +22,20 @@ import numpy as np
 # but for the apostrophe, which can start a contraction with letters after it.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _MARKS = r"!-&(-/:-@\[-`{-~"
-_MATCH = rf" ?[{_LETTERS}]+| ?[{_MARKS}]+|\n(?!\s)"
+# Possessive: a piece that does not fit is given up in one pass.
+_MATCH = rf" ?[{_LETTERS}]++| ?[{_MARKS}]++|\n(?!\s)"
 MATCHES = re.compile(_MATCH)
-PLAIN = re.compile(rf"(?:{_MATCH})+")
+PLAIN = re.compile(rf"(?:{_MATCH})++")
+# A space that does not start a word.
+LOOSE_SPACE = re.compile(r" (?=\s|$)")
 # The vocabulary spells each byte as a printable character: itself where it is
 # one, else the next code point from 256 on.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_SYMBOLS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(_SHOWN))}
-# Cached pieces per generation and Python worker (about 200 bytes each).
-CACHE_PIECES = 400_000
+# Remembered per Python worker, about 200 bytes each: pieces in two
+# generations of this many, and matches.
+CACHE_PIECES = 300_000
+CACHE_MATCHES = 900_000
 # Pieces longer than this are not remembered, so memory stays bounded.
 CACHED_CHARS = 64
 
@@ -38,29 +43,40 @@ _encoders: dict[str, "PieceEncoder"] = {}
 
 
 def split_pieces(text: str) -> list[str]:
-    """``text`` cut before every single space that starts a word."""
+    """``text`` cut before every single space that starts a word. A piece that
+    starts with such a space is given without it; any other piece has one put
+    before it, so the two never look alike."""
     parts = text.split(" ")
-    out = parts[:1]
+    if not LOOSE_SPACE.search(text):
+        parts[0] = " " + parts[0]
+        return parts
+    out = [" " + parts[0]]
     for p in parts[1:]:
         if p and not p[0].isspace():
-            out.append(" " + p)
+            out.append(p)
         else:                       # runs of white space stay in one piece
-            out[-1] += " " + p
+            out[-1] = out[-1] + " " + p
     return out
 
 
+def piece_text(piece: str) -> str:
+    return piece[1:] if piece[:1] == " " else " " + piece
+
+
 class PieceEncoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
+    def __init__(self, path: str, cache_pieces: int = CACHE_PIECES,
+                 cache_matches: int = CACHE_MATCHES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True
         self.model = self.lib.model
-        self.size = cache_pieces
+        self.size, self.match_size = cache_pieces, cache_matches
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.matches: dict[str, bytes] = {}
 
     def _match_ids(self, match: str) -> bytes:
         """Ids of one match of the pattern, from the library's BPE model."""
@@ -68,46 +84,51 @@ class PieceEncoder:
         return struct.pack(f"<{len(ids)}I", *ids) \
             if (ids := [t.id for t in self.model.tokenize(symbols)]) else b""
 
-    def _learn(self, missing: list[str]) -> None:
-        """Fill the cache with ``missing``."""
-        old, new = self.old, self.new
-        hard = []
-        for p in missing:
-            if not PLAIN.fullmatch(p):
-                hard.append(p)
+    def _learn(self, pieces: list[str], found: list[bytes | None]) -> None:
+        """Fill in the ids of the pieces that are not known yet."""
+        new, old, hard = self.new, self.old, []
+        for i, ids in enumerate(found):
+            if ids is not None:
                 continue
-            out = []
-            for m in MATCHES.findall(p):
-                ids = new.get(m)
-                if ids is None:
-                    ids = old.get(m)
-                    new[m] = ids = self._match_ids(m) if ids is None else ids
-                out.append(ids)
-            new[p] = out[0] if len(out) == 1 else b"".join(out)
-        for p, e in zip(hard, self.lib.encode_batch(hard, add_special_tokens=False)):
-            new[p] = np.array(e.ids, dtype="<u4").tobytes()
+            p = pieces[i]
+            ids = new.get(p) or old.get(p)
+            if ids is None:
+                text = piece_text(p)
+                if not PLAIN.fullmatch(text):
+                    hard.append(i)
+                    continue
+                ids = b"".join([self._known_match(m) for m in MATCHES.findall(text)])
+            found[i] = ids
+            if len(p) <= CACHED_CHARS:
+                new[p] = ids
+        if hard:
+            texts = [piece_text(pieces[i]) for i in hard]
+            for i, e in zip(hard, self.lib.encode_batch(texts, add_special_tokens=False)):
+                found[i] = ids = np.array(e.ids, dtype="<u4").tobytes()
+                if len(pieces[i]) <= CACHED_CHARS:
+                    new[pieces[i]] = ids
+
+    def _known_match(self, match: str) -> bytes:
+        ids = self.matches.get(match)
+        if ids is None:
+            ids = self._match_ids(match)
+            if len(match) <= CACHED_CHARS:
+                self.matches[match] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        pieces = split_pieces(text)
+        found = list(map(self.new.get, pieces))
+        if None in found:
+            self._learn(pieces, found)
+        if len(self.new) > self.size:
+            self.old, self.new = self.new, {}
+        if len(self.matches) > self.match_size:
+            self.matches = {}
+        return b"".join(found)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; one library call for all unknown pieces."""
-        cut = [split_pieces(t) for t in texts]
-        new, old = self.new, self.old
-        missing: dict[str, None] = {}
-        for pieces in cut:
-            for p in pieces:
-                if p not in new:
-                    ids = old.get(p)
-                    if ids is None:
-                        missing[p] = None
-                    else:
-                        new[p] = ids
-        long = [p for p in missing if len(p) > CACHED_CHARS]
-        self._learn(list(missing))
-        out = [b"".join([new[p] for p in pieces]) for pieces in cut]
-        for p in long:
-            new.pop(p, None)
-        if len(new) > self.size:
-            self.old, self.new = new, {}
-        return out
+        return [self.encode(t) for t in texts]
 
 
 def encoder(path: str) -> PieceEncoder:
@@ -115,16 +136,3 @@ def encoder(path: str) -> PieceEncoder:
     if path not in _encoders:
         _encoders[path] = PieceEncoder(path)
     return _encoders[path]
-
-
-def chunks(texts: list[str], chars: int = 2_000_000):
-    """Consecutive slices of ``texts`` of about ``chars`` characters each, so
-    a batch of very long texts is not encoded all at once."""
-    start, n = 0, 0
-    for i, t in enumerate(texts):
-        n += len(t)
-        if n >= chars:
-            yield start, texts[start:i + 1]
-            start, n = i + 1, 0
-    if start < len(texts):
-        yield start, texts[start:]

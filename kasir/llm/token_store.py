@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kasir.llm.common import shared_path, slots, staged, text_or_empty
-from kasir.llm.pieces import chunks, encoder
+from kasir.llm.pieces import encoder
 
 # Fixed values of the Zstandard frame and seekable formats.
 SKIPPABLE_SEEK = 0x184D2A5E
@@ -161,9 +161,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0, folder: str |
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             out = out or (PartWriter(path) if ids else None)
-            for at, some in chunks(texts):
-                for i, data in enumerate(enc.encode_all(some), at):
-                    out.add(ids[i], data + end)
+            for doc, text in zip(ids, texts):
+                out.add(doc, enc.encode(text) + end)
         if out is not None:
             size = out.close()
             yield pa.RecordBatch.from_pydict({
