@@ -131,9 +131,11 @@ def codec(path: str, leaf: int = LEAF) -> TreeCodec:
 
 
 def _mapped(df: DataFrame, source, out: str, work) -> DataFrame:
-    """``df`` plus a binary column ``out``, worked out batch by batch."""
-    spark_in = name_clash_free(df, "__source")
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
+    """``df`` plus a binary column ``out`` (replacing one of that name),
+    worked out batch by batch."""
+    given = name_clash_free(df, "__source")
+    rows = df.withColumn(given, source).drop(out)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
                        + [f"`{out}` binary"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +144,7 @@ def _mapped(df: DataFrame, source, out: str, work) -> DataFrame:
             cols = [b.column(i) for i in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*cols, made], names=[*b.schema.names[:-1], out])
 
-    return df.withColumn(spark_in, source).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def encode_table(docs: DataFrame, ranks_path: str, text_col: str = "text", out: str = "ids",
