@@ -5,7 +5,6 @@ Sub-packages:
   sources    - table readers, report-file reader, test fixtures
   operators  - reusable DataFrame -> DataFrame building blocks
   plans      - the sales, monthly, cohort, tracker and menu jobs; pipelines
-  streaming  - incremental (file-stream) report ingest
 """
 
 from kasir.config import DEFAULT, Config  # noqa: F401

@@ -48,13 +48,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     p.add_argument("paths", nargs="+")
     p.add_argument("--mode", choices=["append", "overwrite"], default="append")
     p.add_argument("--target", default=None, help="table to load (default: the kind's table)")
+    p.add_argument("--date-format", action="append", default=[], help="date layout tried after ISO, e.g. d/M/yyyy")
     a = ap.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName(f"kasir-{a.cmd}").getOrCreate()
     ensure_job_conf(spark)
     if a.cmd == "ingest":
         from kasir.plans.ingest import ingest
-        result = ingest(spark, a.paths, a.kind, a.mode, a.target)
+        from kasir.functions.casts import DATE_FORMATS
+        result = ingest(spark, a.paths, a.kind, a.mode, a.target, tuple(a.date_format) or DATE_FORMATS)
     else:
         from kasir.plans import pipeline
         from kasir.sources.tables import load_menu, load_sales

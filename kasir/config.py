@@ -99,13 +99,11 @@ class Config:
     override_name: str = OVERRIDE_NAME
     # None = UTC current_date() at run time.
     as_of: _dt.date | None = None
-    # Money enters as this decimal so sums do not depend on row order.
-    money_type: str = "decimal(18,2)"
+    # Money enters as this decimal so sums do not depend on row order; raw
+    # amounts keep six decimals.
+    money_type: str = "decimal(24,6)"
     # Net sales after the legacy tax strip are held at 6 decimals.
     net_type: str = "decimal(38,6)"
-    # A dimension (store, lookup, adjustment) is broadcast only when it has at
-    # most this many rows; above it the join is planned as a shuffle join.
-    broadcast_max_rows: int = 2_000_000
     # Partitions of the store-clustered stage (hash of RESTO) and buckets of
     # the published daily marts; the two must agree for later jobs to skip
     # the shuffle. None = spark.sql.shuffle.partitions.

@@ -30,6 +30,7 @@ DATE_FORMATS: tuple[str, ...] = (
 DURATION_RE = (r"^\s*([+-])?\s*(?:(\d+)\s*days?\s*,?\s*)?"
                r"(?:\+?(\d+):(\d+):(\d+)(?:\.(\d{1,9}))?)?\s*$")
 BARE_INT_RE = r"^\s*([+-]?\d+)\s*$"
+NUMBER_RE = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$|^\s*[+-]?(inf|infinity|nan)\s*$"
 NS_PER_SEC = 1_000_000_000
 NS_PER_DAY = 86_400 * NS_PER_SEC
 
@@ -43,7 +44,8 @@ def strict_double(c: str | Column, name: str = "value") -> Column:
     NaN is treated as missing."""
     raw = F.nullif(_c(c), F.lit(""))
     x = raw.try_cast("double")
-    checked = F.when(raw.isNotNull() & x.isNull(),
+    # The cast alone also takes type suffixes such as 1.5d or 2f.
+    checked = F.when(raw.isNotNull() & (x.isNull() | ~raw.rlike(NUMBER_RE)),
                      F.raise_error(F.concat(F.lit(f"column {name!r}: not a number: "), raw))
                      .cast("double")).otherwise(x)
     return F.when(F.isnan(checked), F.lit(None).cast("double")).otherwise(checked)
@@ -73,13 +75,15 @@ def duration_nanos(c: str | Column) -> Column:
         return F.get(parts, i - 1)
 
     has_days, has_time = g(2) != F.lit(""), g(3) != F.lit("")
-    days = F.when(has_days, g(2).cast("long") * F.lit(NS_PER_DAY)).otherwise(F.lit(0))
-    clock = F.when(has_time, g(3).cast("long") * F.lit(3600 * NS_PER_SEC)
-                   + g(4).cast("long") * F.lit(60 * NS_PER_SEC)
-                   + g(5).cast("long") * F.lit(NS_PER_SEC)
-                   + F.rpad(g(6), 9, "0").cast("long")).otherwise(F.lit(0))
+    def part(i: int, unit: int) -> Column:          # NULL when out of range
+        return F.try_multiply(g(i).try_cast("long"), F.lit(unit).cast("long"))
+
+    days = F.when(has_days, part(2, NS_PER_DAY)).otherwise(F.lit(0).cast("long"))
+    clock = F.when(has_time, F.try_add(F.try_add(F.try_add(
+        part(3, 3600 * NS_PER_SEC), part(4, 60 * NS_PER_SEC)), part(5, NS_PER_SEC)),
+        F.rpad(g(6), 9, "0").try_cast("long"))).otherwise(F.lit(0).cast("long"))
     neg = g(1) == F.lit("-")
-    signed = (F.when(has_days, F.when(neg, -days).otherwise(days) + clock)
+    signed = (F.when(has_days, F.try_add(F.when(neg, -days).otherwise(days), clock))
               .otherwise(F.when(neg, -clock).otherwise(clock)))
     bare = F.regexp_extract(s, BARE_INT_RE, 1)
     return (F.when(s.rlike(DURATION_RE) & (has_days | has_time), signed)

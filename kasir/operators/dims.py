@@ -1,9 +1,10 @@
-"""Fact-to-dimension joins with a checked broadcast.
+"""Fact-to-dimension joins.
 
-A dimension is broadcast only after its row count has been checked against a
-bound (``limit(bound + 1).count()`` stops reading as soon as the bound is
-passed). Above the bound the join is left to the planner as a shuffle join,
-which AQE may still turn into a broadcast at run time from real sizes.
+The join strategy is left to Spark, which knows sizes in bytes: a dimension
+whose files are under ``spark.sql.autoBroadcastJoinThreshold`` is broadcast when
+the query is planned, and AQE turns a shuffle join into a broadcast join when a
+side turns out that small at run time, or splits skewed partitions when it is
+not.
 """
 
 from __future__ import annotations
@@ -11,28 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_checked: dict[tuple[int, int], bool] = {}
 
-
-def fits_broadcast(dim: DataFrame, max_rows: int) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (memoised per plan)."""
-    key = (dim.semanticHash(), max_rows)
-    hit = _checked.get(key)
-    if hit is None:
-        hit = dim.limit(max_rows + 1).count() <= max_rows
-        _checked[key] = hit
-    return hit
-
-
-def bounded(dim: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(dim)`` when it fits, else ``dim`` unchanged."""
-    return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-
-
-def join_dim(fact: DataFrame, dim: DataFrame, on: Column | list[str] | str,
-             how: str, max_rows: int) -> DataFrame:
-    """Join a fact to a dimension on the right, broadcasting it if it fits."""
-    return fact.join(bounded(dim, max_rows), on=on, how=how)
+def join_dim(fact: DataFrame, dim: DataFrame, on: Column | list[str] | str, how: str) -> DataFrame:
+    """Join a fact to a dimension on the right."""
+    return fact.join(dim, on=on, how=how)
 
 
 def check_unique(dim: DataFrame, key: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Batch checks: shape, NULL profile, preview."""
+"""Batch checks: NULL profile, unmatched keys."""
 
 from __future__ import annotations
 
@@ -13,26 +13,10 @@ def null_profile(df: DataFrame) -> DataFrame:
         *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
 
 
-def has_nulls(profile_row) -> bool:
-    d = profile_row.asDict()
-    d.pop("rows", None)
-    return any(v for v in d.values())
-
-
-def shape(df: DataFrame) -> tuple[int, int]:
-    return df.count(), len(df.columns)
-
-
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
-
-
-def unmatched_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
-                   max_dim_rows: int = 2_000_000) -> DataFrame:
+def unmatched_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame:
     """Fact keys with no dimension row, with how many fact rows carry each
     (these rows end up under a NULL store downstream). Left-anti join, then a
     partial + final count per key."""
     f = fact.select(F.col(f"`{fact_key}`").alias("key"))
-    from kasir.operators.dims import bounded
-    d = bounded(dim.select(F.col(f"`{dim_key}`").alias("key")), max_dim_rows)
+    d = dim.select(F.col(f"`{dim_key}`").alias("key"))
     return f.join(d, "key", "left_anti").groupBy("key").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -17,10 +17,42 @@ from kasir.config import (
     SAME_YEAR_ATTRS,
     STORE_ATTRS,
 )
-from kasir.functions.expr import ASCII_SPACE_RUN, UNICODE_SPACE_CLASS
 from kasir.sources import fixtures as fx
 
-CFG = fx.FIXTURE_CONFIG
+# Labels, patterns and parameters, spelled out here a second time
+# so that a slip in the code under test shows.
+VISIT_CHANNELS = (
+    ("OFFLINE", ("01.DINE IN", "02.TAKE AWAY", "06.COMPLIMENT")),
+    ("GOFOOD", ("03.GOFOOD INT",)),
+    ("GRABFOOD", ("04.GRAB FOOD INT",)),
+    ("SHOPEEFOOD", ("05.SHOPEE FOOD INT",)),
+)
+TENDER_CHANNELS = (
+    ("OFFLINE", (
+        "EDC", "CASH", "RESERVASI", "COMPLIMENT", "QRIS SHOPEE", "CLOUD VOUCHER",
+        "OTHERS", "VOUCHER", "EDC CIMB", "QRIS ESB ORDER TABLE", "OVO", "DEBIT BCA",
+        "QRIS ESB KIOSK", "VISA CARD", "EDC NIAGA", "QRISIA", "QRIS TELKOM", "TUNAI",
+        "MASTER CARD", "FLAZZ", "EDC BRI QRIS", "SHOPEE", "QRIS BNI", "QRIS", "GOPAY")),
+    ("GRABFOOD", ("GRAB FOOD", "GRAB_FD")),
+    ("SHOPEEFOOD", ("SHOPEEPAY", "SHOPEE PAY", "SHOPEEFOOD INT")),
+    ("GOFOOD", ("GO RESTO", "GOFOOD", "GORESTO")),
+    ("OTHER ONLINE", ("OKJEK", "AIRASIA FOOD")),
+)
+UNKNOWN = "Unknown"
+ONLINE = ("GOFOOD", "GRABFOOD", "SHOPEEFOOD")
+TAX = "1.1"
+UNICODE_SPACE_CLASS = (r"[\t\n\x{0B}\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+                       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+ASCII_SPACE_RUN = r"[\t\n\f\r ]+"
+COHORT_FROM = _dt.date(1997, 1, 1)
+COHORT_DAYS = 90
+SAME_YEAR_FROM = _dt.date(1998, 1, 1)
+MENU_UNTIL = _dt.date(1998, 12, 31)
+AS_OF = _dt.date(1999, 6, 1)
+YEAR_FLOOR = 1997
+YEAR_WHEN_NULL = 2016
+OVERRIDE_CODE = "Supplier#000000003"
+OVERRIDE_NAME = "HEAD OFFICE"
 NET = "DECIMAL(38,6)"
 
 
@@ -37,9 +69,15 @@ def _map(col: str, mapping, default: str) -> str:
     return f"CASE {whens} ELSE {_q(default)} END"
 
 
-def _case_eq(col: str, pairs, other: str) -> str:
-    whens = " ".join(f"WHEN {col} = {_q(k)} THEN {_q(v)}" for k, v in pairs)
-    return f"CASE {whens} ELSE {_q(other)} END"
+def _label(key: str, labels) -> str:
+    """The label at the key's remainder; one past the last is NULL."""
+    items = ", ".join(_q(x) for x in labels)
+    return f"([{items}])[CAST({key} % {len(labels) + 1} AS INTEGER) + 1]"
+
+
+def _money4(col: str, key: str) -> str:
+    return (f"CAST(CAST({col} AS DECIMAL(18,4)) + CAST({key} % 97 AS DECIMAL(10,0)) "
+            f"* CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(18,4))")
 
 
 def _key(col: str) -> str:
@@ -90,7 +128,9 @@ def with_ctes(names: list[str], final: str) -> str:
 # --- fixture inputs ----------------------------------------------------------
 
 cte("fx_store", f"""
-SELECT CAST(s.s_suppkey AS VARCHAR) AS CODE_GIS, s.s_name AS NEW_CODE_STORE, s.s_name AS STORE,
+SELECT CASE WHEN s.s_suppkey % 10 = 9 THEN 'X' ELSE '' END || CAST(s.s_suppkey AS VARCHAR) AS CODE_GIS,
+  CASE WHEN s.s_suppkey % 10 = 9 THEN 'Closed ' ELSE '' END || s.s_name AS NEW_CODE_STORE,
+  'Store ' || s.s_name AS STORE,
   CASE WHEN s.s_suppkey % 17 = 0 THEN NULL
        ELSE {_d(_dt.date.fromisoformat(fx.OPEN_BASE))} + CAST((s.s_suppkey * 23) % 2400 AS INTEGER) END AS OPEN_STORE,
   'OPS ' || CAST(s.s_suppkey % 7 AS VARCHAR) AS NAMA_OPS,
@@ -103,38 +143,38 @@ SELECT CAST(s.s_suppkey AS VARCHAR) AS CODE_GIS, s.s_name AS NEW_CODE_STORE, s.s
   'K' || CAST(s.s_suppkey % 4 AS VARCHAR) AS TYPE_KITCHEN,
   CASE WHEN s.s_suppkey % 19 = 0 THEN 'CLOSED' ELSE 'ACTIVE' END AS STATUS
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
-JOIN region r ON n.n_regionkey = r.r_regionkey
-WHERE s.s_suppkey % 10 <> 9""")
+JOIN region r ON n.n_regionkey = r.r_regionkey""")
 
 cte("fx_bills", f"""
 SELECT CAST(l_shipdate AS DATE) AS "Sales Date", CAST(l_suppkey AS VARCHAR) AS Branch,
-  {_case_eq("l_returnflag || l_linestatus", fx.VISIT_PURPOSE_BY_FLAGS, fx.VISIT_PURPOSE_OTHER)} AS "Visit Purpose",
+  {_label("(l_orderkey + l_linenumber)", fx.VISIT_PURPOSES)} AS "Visit Purpose",
   CAST(l_orderkey AS VARCHAR) AS "Bill Number",
-  CAST(l_extendedprice AS DECIMAL(18,2)) AS "Net Sales"
+  {_money4("l_extendedprice", "l_orderkey")} AS "Net Sales"
 FROM lineitem""")
 
-_LEGACY_KEYS = f"""CAST(o_orderdate AS DATE) AS Date,
-  '{fx.LEGACY_STORE_PREFIX}' || CAST(o_custkey % 10 AS VARCHAR) AS RESTO,
-  {_case_eq("o_orderpriority", fx.TENDER_BY_PRIORITY, fx.TENDER_OTHER)} AS Order_Type"""
-
-cte("fx_sales_value", f"SELECT {_LEGACY_KEYS}, CAST(o_totalprice AS DECIMAL(18,2)) AS Value FROM orders")
-cte("fx_sales_tc", f"SELECT {_LEGACY_KEYS}, CAST(1 AS BIGINT) AS Value FROM orders WHERE o_orderstatus <> 'P'")
-
-cte("fx_target_stores", f"SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey < {fx.TARGET_STORES_BELOW}")
-cte("fx_targets", f"""
-SELECT t.s_name AS code, d.date_daily, CAST(t.s_suppkey * 100 + 1000 AS DOUBLE) AS target_sales_nett
-FROM (SELECT date_daily, unnest(range(0, {fx.TARGET_STORES_BELOW})) AS k
-      FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date_daily FROM orders)) d
-JOIN fx_target_stores t ON d.k = t.s_suppkey""",
-    ("fx_target_stores",))
-cte("fx_adjustments", f"""
-SELECT m.date, t.s_name AS RESTO,
-  CASE t.s_suppkey % 3 WHEN 0 THEN CAST(NULL AS DOUBLE) WHEN 1 THEN 0.0::DOUBLE ELSE 1.05::DOUBLE END AS percentage_gap,
-  CAST(t.s_suppkey * 7 AS DOUBLE) AS sales_taf
-FROM (SELECT date, unnest(range(0, {fx.TARGET_STORES_BELOW})) AS k
-      FROM (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS date FROM orders)) m
-JOIN fx_target_stores t ON m.k = t.s_suppkey""",
-    ("fx_target_stores",))
+_TENDER = _label("o_orderkey", fx.TENDERS)
+_LEGACY_STORE = f"'{fx.LEGACY_STORE_PREFIX}' || CAST(o_custkey % 10 AS VARCHAR)"
+
+cte("fx_sales_value", f"""
+SELECT CAST(o_orderdate AS DATE) AS Date, {_LEGACY_STORE} AS RESTO, {_TENDER} AS Order_Type,
+  {_money4("o_totalprice", "o_orderkey")} AS Value FROM orders""")
+cte("fx_sales_tc", f"""
+SELECT CAST(o_orderdate AS DATE) AS Date,
+  CASE WHEN o_orderstatus = 'P' THEN 'Moved ' ELSE '' END || {_LEGACY_STORE} AS RESTO,
+  {_TENDER} AS Order_Type, CAST(1 AS BIGINT) AS Value FROM orders""")
+
+cte("fx_store_days", """
+SELECT DISTINCT s.s_suppkey, s.s_name,
+  CAST(l.l_shipdate AS DATE) + CASE WHEN l.l_orderkey % 5 = 0 THEN 1 ELSE 0 END AS day
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey""")
+cte("fx_targets", """
+SELECT s_name AS code, day AS date_daily, CAST(s_suppkey * 100 + 1000 AS DOUBLE) AS target_sales_nett
+FROM fx_store_days""", ("fx_store_days",))
+cte("fx_adjustments", """
+SELECT DISTINCT CAST(date_trunc('month', day) AS DATE) AS date, s_name AS RESTO,
+  CASE s_suppkey % 3 WHEN 0 THEN CAST(NULL AS DOUBLE) WHEN 1 THEN 0.0::DOUBLE ELSE 1.05::DOUBLE END AS percentage_gap,
+  CAST(s_suppkey * 7 AS DOUBLE) AS sales_taf
+FROM fx_store_days""", ("fx_store_days",))
 
 cte("fx_productmix", f"""
 SELECT CAST(o.o_orderdate AS DATE) AS Date,
@@ -155,24 +195,29 @@ SELECT p_name AS product, upper(p_name) AS product_cleaned, min(p_type) AS categ
   min(p_brand) AS product_cleaned_2
 FROM part GROUP BY p_name""")
 
+cte("fx_lookup_modern", """
+SELECT p_name AS product, 'M ' || p_name AS product_cleaned, max(p_type) AS category,
+  max(p_brand) AS product_cleaned_2
+FROM part GROUP BY p_name""")
+
 # --- Q01 combined sales -------------------------------------------------------
 
 cte("modern_daily", f"""
 SELECT Date, RESTO, Order_Type, COUNT(DISTINCT bill) AS total_tc,
   CAST(SUM(net) AS {NET}) AS total_sales_net
 FROM (SELECT b."Sales Date" AS Date, s.NEW_CODE_STORE AS RESTO,
-        {_map('b."Visit Purpose"', CFG.visit_purpose_channels, CFG.unknown_channel)} AS Order_Type,
+        {_map('b."Visit Purpose"', VISIT_CHANNELS, UNKNOWN)} AS Order_Type,
         b."Bill Number" AS bill, b."Net Sales" AS net
       FROM fx_bills b LEFT JOIN fx_store s ON b.Branch = s.CODE_GIS) x
 GROUP BY 1, 2, 3""", ("fx_bills", "fx_store"))
 
 cte("legacy_money", f"""
-SELECT Date, RESTO, {_map('Order_Type', CFG.tender_channels, CFG.unknown_channel)} AS Order_Type,
-  CAST(CAST(CAST(SUM(Value) AS DOUBLE) / CAST({CFG.tax_divisor} AS DOUBLE) AS DECIMAL(24,6)) AS {NET}) AS total_sales_net
+SELECT Date, RESTO, {_map('Order_Type', TENDER_CHANNELS, UNKNOWN)} AS Order_Type,
+  CAST(CAST(CAST(SUM(Value) AS DOUBLE) / CAST({TAX} AS DOUBLE) AS DECIMAL(24,6)) AS {NET}) AS total_sales_net
 FROM fx_sales_value GROUP BY 1, 2, 3""", ("fx_sales_value",))
 
 cte("legacy_count", f"""
-SELECT Date, RESTO, {_map('Order_Type', CFG.tender_channels, CFG.unknown_channel)} AS Order_Type,
+SELECT Date, RESTO, {_map('Order_Type', TENDER_CHANNELS, UNKNOWN)} AS Order_Type,
   CAST(SUM(Value) AS BIGINT) AS total_tc
 FROM fx_sales_tc GROUP BY 1, 2, 3""", ("fx_sales_tc",))
 
@@ -190,7 +235,7 @@ SELECT Date, RESTO, Order_Type, total_tc, total_sales_net FROM legacy_daily""",
 
 cte("combined", f"""
 SELECT Date, RESTO, Order_Type,
-  CASE WHEN Order_Type IN {_in(CFG.online_channels)} THEN 'ONLINE' ELSE 'OFFLINE' END AS Order_Type_Group,
+  CASE WHEN Order_Type IN {_in(ONLINE)} THEN 'ONLINE' ELSE 'OFFLINE' END AS Order_Type_Group,
   total_tc, CAST(total_sales_net AS {NET}) AS total_sales_net
 FROM feed_union""", ("feed_union",))
 
@@ -204,7 +249,7 @@ _A = ", ".join(STORE_ATTRS)
 
 cte("daily1", f"""
 SELECT Date, RESTO, Order_Type, Order_Type_Group, total_sales_net, total_tc,
-  LAG(CAST(total_sales_net AS DOUBLE) / CAST({CFG.daily_channel_lag_divisor} AS DOUBLE)) OVER w AS previous_sales_net,
+  LAG(CAST(total_sales_net AS DOUBLE) / CAST({TAX} AS DOUBLE)) OVER w AS previous_sales_net,
   LAG(total_tc) OVER w AS previous_tc, {_A}
 FROM combined_store
 WINDOW w AS (PARTITION BY RESTO, Order_Type ORDER BY {_lagorder('Date', ['total_sales_net', 'total_tc', 'Order_Type_Group', *STORE_ATTRS])})""",
@@ -279,16 +324,16 @@ _monthly("monthly3", ["RESTO"], "daily3")
 cte("distinct_daily", f"""
 SELECT Date, RESTO, OPEN_STORE, total_sales_net,
   CAST(date_diff('day', OPEN_STORE, Date) + 1 AS INTEGER) AS days_opened
-FROM daily3 WHERE OPEN_STORE >= {_d(CFG.cohort_open_from)}
+FROM daily3 WHERE OPEN_STORE >= {_d(COHORT_FROM)}
 GROUP BY 1, 2, 3, 4, 5""", ("daily3",))
 
-cte("sales_90days", f"SELECT * FROM distinct_daily WHERE days_opened <= {CFG.cohort_days}",
+cte("sales_90days", f"SELECT * FROM distinct_daily WHERE days_opened <= {COHORT_DAYS}",
     ("distinct_daily",))
 
 cte("sales_nso", f"""
 SELECT Date, RESTO, {", ".join(SAME_YEAR_ATTRS)}, CAST(SUM(total_sales_net) AS {NET}) AS sales_nett
 FROM daily1
-WHERE year(Date) = year(OPEN_STORE) AND Date >= {_d(CFG.same_year_from)}
+WHERE year(Date) = year(OPEN_STORE) AND Date >= {_d(SAME_YEAR_FROM)}
 GROUP BY Date, RESTO, {", ".join(SAME_YEAR_ATTRS)}""", ("daily1",))
 
 # --- Q10 tracker ------------------------------------------------------------------
@@ -304,7 +349,7 @@ FROM fx_targets t LEFT JOIN tr_actual a ON t.code = a.RESTO AND t.date_daily = a
 
 cte("tr_gap", f"""
 SELECT t.code, t.date_daily, t.month, t.target_sales_nett, t.actual_sales_nett,
-  CASE WHEN t.code = {_q(CFG.override_code)} THEN j.sales_taf
+  CASE WHEN t.code = {_q(OVERRIDE_CODE)} THEN j.sales_taf
        WHEN CAST(t.actual_sales_nett AS DOUBLE) * j.percentage_gap IS NULL
          OR CAST(t.actual_sales_nett AS DOUBLE) * j.percentage_gap = 0
        THEN CAST(t.actual_sales_nett AS DOUBLE)
@@ -315,11 +360,11 @@ FROM tr_with_actual t LEFT JOIN fx_adjustments j ON t.month = j.date AND t.code
 cte("tracker", f"""
 SELECT g.code, g.date_daily, CAST(strftime(g.date_daily, '%U') AS INTEGER) AS week_number,
   g.month, g.target_sales_nett,
-  CASE WHEN g.date_daily >= {_d(CFG.as_of)} THEN NULL ELSE g.target_sales_nett END AS ytd_target_sales,
+  CASE WHEN g.date_daily >= {_d(AS_OF)} THEN NULL ELSE g.target_sales_nett END AS ytd_target_sales,
   s.OPEN_STORE, CAST(year(s.OPEN_STORE) AS INTEGER) AS year_open_store,
-  CAST(CASE WHEN s.OPEN_STORE IS NULL THEN {CFG.year_when_null}
-            ELSE greatest(year(s.OPEN_STORE), {CFG.year_floor}) END AS INTEGER) AS year_open_store2,
-  CASE WHEN g.code = {_q(CFG.override_code)} THEN {_q(CFG.override_name)} ELSE s.STORE END AS STORE,
+  CAST(CASE WHEN s.OPEN_STORE IS NULL THEN {YEAR_WHEN_NULL}
+            ELSE greatest(year(s.OPEN_STORE), {YEAR_FLOOR}) END AS INTEGER) AS year_open_store2,
+  CASE WHEN g.code = {_q(OVERRIDE_CODE)} THEN {_q(OVERRIDE_NAME)} ELSE s.STORE END AS STORE,
   s.PROVINSI, s.KOTA, s.JAVA___OUTER_JAVA, s.AREA_HEAD,
   g.actual_sales_nett, g.actual_sales_nett_2
 FROM tr_gap g LEFT JOIN fx_store s ON g.code = s.NEW_CODE_STORE""", ("tr_gap", "fx_store"))
@@ -329,7 +374,7 @@ FROM tr_gap g LEFT JOIN fx_store s ON g.code = s.NEW_CODE_STORE""", ("tr_gap", "
 cte("menu_legacy_matched", f"""
 SELECT p.Date, p.Code, p.Product, p.QTY, k.product_cleaned, k.category, k.product_cleaned_2
 FROM fx_productmix p LEFT JOIN fx_lookup k ON {_key('p.Product')} = {_key('k.product')}
-WHERE p.Date <= {_d(CFG.legacy_menu_until)}""", ("fx_productmix", "fx_lookup"))
+WHERE p.Date <= {_d(MENU_UNTIL)}""", ("fx_productmix", "fx_lookup"))
 
 cte("menu_legacy", """
 SELECT Date, Code, product_cleaned, category, product_cleaned_2, SUM(QTY) AS Qty
@@ -339,9 +384,9 @@ cte("menu_modern", f"""
 SELECT m.Date, s.NEW_CODE_STORE AS Code, m.product_cleaned, m.category, m.product_cleaned_2,
   SUM(m.Qty) AS Qty
 FROM (SELECT p.Branch, p."Sales Date" AS Date, p.Qty, k.product_cleaned, k.category, k.product_cleaned_2
-      FROM fx_menu_report p LEFT JOIN fx_lookup k ON {_key('p."Menu Name"')} = {_key('k.product')}) m
+      FROM fx_menu_report p LEFT JOIN fx_lookup_modern k ON {_key('p."Menu Name"')} = {_key('k.product')}) m
 LEFT JOIN fx_store s ON m.Branch = s.CODE_GIS
-GROUP BY 1, 2, 3, 4, 5""", ("fx_menu_report", "fx_lookup", "fx_store"))
+GROUP BY 1, 2, 3, 4, 5""", ("fx_menu_report", "fx_lookup_modern", "fx_store"))
 
 cte("combined_menu", """
 SELECT Date, Code, product_cleaned, category, product_cleaned_2, Qty FROM menu_legacy
@@ -379,7 +424,7 @@ __all__ = ["CTES", "with_ctes", "final"]
 
 cte("chk_map_visit_purpose", f"""
 SELECT "Sales Date", Branch, "Bill Number", "Visit Purpose",
-  {_map('"Visit Purpose"', CFG.visit_purpose_channels, CFG.unknown_channel)} AS Order_Type
+  {_map('"Visit Purpose"', VISIT_CHANNELS, UNKNOWN)} AS Order_Type
 FROM fx_bills""", ("fx_bills",))
 
 cte("chk_channel_group", """
@@ -400,23 +445,23 @@ FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)""")
 
 cte("chk_year_bucket", f"""
 SELECT NEW_CODE_STORE, OPEN_STORE, CAST(year(OPEN_STORE) AS INTEGER) AS year_open_store,
-  CAST(CASE WHEN OPEN_STORE IS NULL THEN {CFG.year_when_null}
-            ELSE greatest(year(OPEN_STORE), {CFG.year_floor}) END AS INTEGER) AS year_open_store2
+  CAST(CASE WHEN OPEN_STORE IS NULL THEN {YEAR_WHEN_NULL}
+            ELSE greatest(year(OPEN_STORE), {YEAR_FLOOR}) END AS INTEGER) AS year_open_store2
 FROM fx_store""", ("fx_store",))
 
 cte("chk_to_date_mask", f"""
 SELECT code, date_daily, target_sales_nett,
-  CASE WHEN date_daily >= {_d(CFG.as_of)} THEN NULL ELSE target_sales_nett END AS ytd_target_sales
+  CASE WHEN date_daily >= {_d(AS_OF)} THEN NULL ELSE target_sales_nett END AS ytd_target_sales
 FROM fx_targets""", ("fx_targets",))
 
 cte("chk_menu_cutover", f"""
-SELECT Date, Code, Product, QTY FROM fx_productmix WHERE Date <= {_d(CFG.legacy_menu_until)}""",
+SELECT Date, Code, Product, QTY FROM fx_productmix WHERE Date <= {_d(MENU_UNTIL)}""",
     ("fx_productmix",))
 
 cte("chk_product_key_join_modern", f"""
 SELECT p."Sales Date" AS Date, p.Branch, p."Menu Name", p.Qty, k.product_cleaned, k.category, k.product_cleaned_2
-FROM fx_menu_report p LEFT JOIN fx_lookup k ON {_key('p."Menu Name"')} = {_key('k.product')}""",
-    ("fx_menu_report", "fx_lookup"))
+FROM fx_menu_report p LEFT JOIN fx_lookup_modern k ON {_key('p."Menu Name"')} = {_key('k.product')}""",
+    ("fx_menu_report", "fx_lookup_modern"))
 
 # raw report strings (same dirt as fixtures.raw_sales_report)
 
@@ -541,7 +586,9 @@ FROM fx_bills b WHERE NOT EXISTS (SELECT 1 FROM fx_store s WHERE s.CODE_GIS = b.
 GROUP BY b.Branch""", ("fx_bills", "fx_store"))
 
 cte("chk_duplicate_store_keys", """
-SELECT NEW_CODE_STORE, COUNT(*) AS count FROM fx_store GROUP BY 1 HAVING COUNT(*) > 1""", ("fx_store",))
+SELECT STORE, COUNT(*) AS count FROM (
+  SELECT STORE FROM fx_store UNION ALL SELECT STORE FROM fx_store WHERE CAST(replace(CODE_GIS, 'X', '') AS INTEGER) % 7 = 0) x
+GROUP BY 1 HAVING COUNT(*) > 1""", ("fx_store",))
 
 # full Sales export derived from lineitem, typed as the ingest types it
 _P = "CAST(l_extendedprice AS DECIMAL(18,2))"
@@ -559,6 +606,9 @@ _DATE_TXT = """CASE WHEN l_orderkey % 13 = 0 THEN 'n/a'
        WHEN l_orderkey % 13 = 1 THEN strftime(CAST(l_shipdate AS DATE), '%m/%d/%Y')
        ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END"""
 
+_FILLERS = ", ".join(f"CASE WHEN l_suppkey % 2 = 0 THEN CAST((l_orderkey + {i}) % 10 AS VARCHAR) END AS X{i}"
+                     for i in range(1, 46))
+
 cte("fx_sales_export", f"""
 SELECT CAST(l_linenumber AS VARCHAR) AS "No",
   CASE WHEN l_orderkey % 23 = 0 THEN NULL WHEN l_orderkey % 11 = 0 THEN '  '
@@ -577,7 +627,13 @@ SELECT CAST(l_linenumber AS VARCHAR) AS "No",
   0.0::DOUBLE AS "VAT Total", 0.0::DOUBLE AS "Delivery Cost", 0.0::DOUBLE AS "Order Fee",
   0.0::DOUBLE AS "Platform Fee", 0.0::DOUBLE AS "Voucher Sales Total", 0.0::DOUBLE AS "Rounding Total",
   {_m(f"{_NETX} * ({_ONE} + {_TX})")} AS "Grand Total",
-  CAST(l_suppkey AS VARCHAR) AS Branch
+  CAST(l_suppkey AS VARCHAR) AS Branch,
+  'say "hot, red" ' || CAST(l_partkey % 7 AS VARCHAR) || chr(10) || ' end' AS "Note",
+  'b' || CAST(l_linenumber AS VARCHAR) AS "Unnamed: 24",
+  CAST(l_partkey % 5 AS VARCHAR) AS note_1,
+  {_FILLERS},
+  row_number() OVER (PARTITION BY l_suppkey, l_orderkey % 2 ORDER BY l_orderkey, l_linenumber,
+    l_partkey, l_shipdate, l_extendedprice, l_discount) AS pos
 FROM lineitem""")
 
 cte("chk_read_report", f"""
@@ -586,9 +642,39 @@ SELECT "No", "Bill Number", {_date("Sales Date")} AS "Sales Date", {_date("Sales
   {_time("Sales Out Time")} AS "Sales Out Time",
   "Pax Total", "Subtotal", "Menu Discount", "Bill Discount", "Voucher Discount", "Net Sales",
   "Service Charge Total", "Tax Total", "VAT Total", "Delivery Cost", "Order Fee", "Platform Fee",
-  "Voucher Sales Total", "Rounding Total", "Grand Total", Branch
+  "Voucher Sales Total", "Rounding Total", "Grand Total", Branch,
+  "Note", "Unnamed: 24", note_1, {", ".join(f"X{i}" for i in range(1, 46))}
 FROM fx_sales_export WHERE {_NOT_BLANK}""", ("fx_sales_export",))
 
+cte("chk_preview", f"""
+SELECT "No", "Bill Number", "Sales Date", "Net Sales", Branch, "Note", CAST(nth AS INTEGER) AS row_in_file
+FROM (SELECT "No", "Bill Number", {_date("Sales Date")} AS "Sales Date", "Net Sales", Branch, "Note",
+        row_number() OVER (PARTITION BY Branch, CAST("Bill Number" AS BIGINT) % 2 ORDER BY pos) AS nth
+      FROM fx_sales_export WHERE {_NOT_BLANK}) x
+WHERE nth <= 5""", ("fx_sales_export",))
+
+cte("chk_append_write", """
+SELECT "No", "Bill Number", "Net Sales" FROM fx_raw_sales
+UNION ALL SELECT "No", "Bill Number", NULL::VARCHAR FROM fx_raw_sales""", ("fx_raw_sales",))
+cte("chk_overwrite_write", 'SELECT "No", "Bill Number", "Pax Total" FROM fx_raw_sales', ("fx_raw_sales",))
+cte("chk_publish_replace", 'SELECT "Bill Number", "Net Sales" FROM fx_raw_sales', ("fx_raw_sales",))
+
+_PUBLISHED = ("combined", "daily1", "daily2", "daily3", "monthly1", "monthly2", "monthly3",
+              "sales_90days", "sales_nso", "tracker", "combined_menu", "prodmix1", "prodmix2")
+_AMOUNT = {"sales_nso": "sales_nett", "tracker": "actual_sales_nett", "combined_menu": "Qty",
+           "prodmix1": "Qty", "prodmix2": "Qty"}
+cte("chk_published_tables", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, "
+    f"CAST(SUM(CAST({_AMOUNT.get(t, 'total_sales_net')} AS DECIMAL(38,6))) AS DOUBLE) AS amount FROM {t}"
+    for t in _PUBLISHED), _PUBLISHED)
+
+cte("chk_lag_tiebreak", f"""
+SELECT Date, RESTO, Order_Type, total_tc, LAG(total_tc) OVER w AS previous_tc
+FROM (SELECT Date, RESTO, Order_Type, total_tc, total_sales_net FROM combined UNION ALL
+      SELECT Date, RESTO, Order_Type, total_tc + 1, total_sales_net FROM combined) x
+WINDOW w AS (PARTITION BY RESTO, Order_Type ORDER BY {_lagorder('Date', ['total_sales_net', 'total_tc'])})""",
+    ("combined",))
+
 cte("chk_read_menu_report", f"""
 SELECT CAST(l_linenumber AS VARCHAR) AS "No",
   {_date_sql("CASE WHEN l_orderkey % 13 = 0 THEN 'n/a' ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END")} AS "Sales Date",

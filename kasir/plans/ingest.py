@@ -11,13 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kasir.functions import casts
-from kasir.operators.quality import null_profile
 from kasir.operators.sinks import write
-from kasir.sources.reports import ReportSpec, read_report, spec
+from kasir.sources.reports import ReportSpec, first_rows, read_report, spec
 
 
 def _require(df: DataFrame, cols: Sequence[str], what: str) -> None:
@@ -78,18 +77,20 @@ def clean_durations(df: DataFrame, cols: Sequence[str], seconds: bool = False) -
     return _retype(df, out).drop(*tmp.values())
 
 
-def cleanse(df: DataFrame, kind: str | ReportSpec) -> DataFrame:
-    """Type one report kind; unnamed columns pass through as strings."""
+def cleanse(df: DataFrame, kind: str | ReportSpec,
+            formats: Sequence[str] = casts.DATE_FORMATS) -> DataFrame:
+    """Type one report kind; unnamed columns pass through as strings.
+    ``formats`` are the date layouts tried after ISO."""
     sp = spec(kind) if isinstance(kind, str) else kind
     _require(df, sp.typed, sp.kind)
     if sp.required_key:
         df = drop_blank(df, sp.required_key)
     if sp.kind == "sales":
         df = cast_strict(df, sp.numeric)
-        df = cast_date(df, sp.dates)
+        df = cast_date(df, sp.dates, formats)
         df = cast_time(df, sp.times)
     elif sp.kind == "menu":
-        df = cast_date(df, sp.dates)
+        df = cast_date(df, sp.dates, formats)
         df = cast_strict(df, sp.numeric)
     else:
         df = cast_timestamp(df, sp.timestamps)
@@ -98,21 +99,31 @@ def cleanse(df: DataFrame, kind: str | ReportSpec) -> DataFrame:
     return df
 
 
-def prepare(spark: SparkSession, paths: str | Sequence[str], kind: str, **read_opts) -> DataFrame:
+def prepare(spark: SparkSession, paths: str | Sequence[str], kind: str,
+            formats: Sequence[str] = casts.DATE_FORMATS) -> DataFrame:
     """Read, stack and type all files of one kind (nothing is written)."""
-    return cleanse(read_report(spark, paths, kind, **read_opts), kind)
+    return cleanse(read_report(spark, paths, kind), kind, formats)
+
+
+def preview_files(spark: SparkSession, paths: str | Sequence[str], kind: str, n: int = 5,
+                  formats: Sequence[str] = casts.DATE_FORMATS) -> DataFrame:
+    """IN11: the first ``n`` typed rows of each file, in file order."""
+    typed = cleanse(read_report(spark, paths, kind, position=True), kind, formats)
+    return first_rows(typed, n)
 
 
 def ingest(spark: SparkSession, paths: str | Sequence[str], kind: str, mode: str = "append",
-           table: str | None = None, **read_opts) -> dict:
+           table: str | None = None, formats: Sequence[str] = casts.DATE_FORMATS) -> dict:
     """Load report files into the kind's table in one write job.
 
     Returns the batch summary the upload screen showed: shape and whether any
-    NULL is present (a warning only; it never blocks the load).
+    NULL is present (a warning only; it never blocks the load). The NULL
+    counts are observed on the write itself.
     """
-    df = prepare(spark, paths, kind, **read_opts)
-    prof = null_profile(df).first().asDict()
-    rows = prof.pop("rows")
-    write(df, table or spec(kind).table, mode)
-    return {"rows": rows, "columns": len(df.columns),
-            "null_columns": sorted(k for k, v in prof.items() if v)}
+    df = prepare(spark, paths, kind, formats)
+    seen = Observation()
+    counts = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{i}") for i, c in enumerate(df.columns)]
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), table or spec(kind).table, mode)
+    got = seen.get
+    return {"rows": got["rows"], "columns": len(df.columns),
+            "null_columns": sorted(c for i, c in enumerate(df.columns) if got[f"nulls_{i}"])}

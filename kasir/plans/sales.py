@@ -36,7 +36,7 @@ def modern_daily(bills: DataFrame, store: DataFrame, cfg: Config = DEFAULT) -> D
         F.col("Net Sales").cast(cfg.money_type).alias("net"),
     )
     st = store.select(F.col("CODE_GIS"), F.col("NEW_CODE_STORE").alias("RESTO"))
-    j = join_dim(b, st, b["Branch"] == st["CODE_GIS"], "left", cfg.broadcast_max_rows)
+    j = join_dim(b, st, b["Branch"] == st["CODE_GIS"], "left")
     # COUNT(DISTINCT bill) is planned as two aggregations (per key + bill,
     # then per key), so a store-day holding a large share of all bills is
     # still spread over many tasks by bill number.
@@ -47,13 +47,8 @@ def modern_daily(bills: DataFrame, store: DataFrame, cfg: Config = DEFAULT) -> D
 
 
 def exact_sum(c: str, cfg: Config = DEFAULT) -> F.Column:
-    """Exact money sum as ``net_type``. Amounts of ``money_type`` (2 decimals)
-    are summed as whole cents in a 64-bit integer, which is far cheaper per
-    row than a 128-bit decimal buffer; an overflow raises (ANSI), it never
-    wraps."""
-    unit = 10 ** int(cfg.money_type.rstrip(") ").split(",")[1])
-    cents = (F.col(c).cast(cfg.money_type) * F.lit(unit)).cast("long")
-    return (F.sum(cents).cast("decimal(38,0)") / F.lit(unit)).cast(cfg.net_type)
+    """Exact decimal money sum as ``net_type``; an overflow raises (ANSI)."""
+    return F.sum(F.col(c).cast(cfg.money_type)).cast(cfg.net_type)
 
 
 def legacy_channel(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
@@ -126,8 +121,7 @@ def with_store(df: DataFrame, store: DataFrame, cfg: Config = DEFAULT,
     """Attach store attributes on RESTO = NEW_CODE_STORE (left: unmatched rows
     keep NULL attributes; duplicate store rows multiply fact rows)."""
     st = store_attrs(store, attrs)
-    return join_dim(df, st, df["RESTO"] == st["_store_key"], how,
-                    cfg.broadcast_max_rows).drop("_store_key")
+    return join_dim(df, st, df["RESTO"] == st["_store_key"], how).drop("_store_key")
 
 
 def daily_channel(combined: DataFrame, store: DataFrame, cfg: Config = DEFAULT) -> DataFrame:

@@ -4,8 +4,9 @@ the driver's tables, and has a DuckDB twin in ``kasir.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +15,10 @@ from kasir import oracle as O
 from kasir.config import MENU_STORE_ATTRS, SAME_YEAR_ATTRS, STORE_ATTRS
 from kasir.functions.expr import date_lit, days_since, map_labels, sunday_week, year_bucket
 from kasir.operators.dims import check_unique
-from kasir.operators.quality import null_profile, preview, unmatched_keys
-from kasir.plans import cohorts, ingest, menu, monthly, sales, tracker
+from kasir.operators import sinks
+from kasir.operators.previous import with_previous
+from kasir.operators.quality import null_profile, unmatched_keys
+from kasir.plans import cohorts, ingest, menu, monthly, pipeline, sales, tracker
 from kasir.plans.sales import reported
 from kasir.sources import fixtures as fx
 from kasir.sources.reports import stack
@@ -428,8 +431,11 @@ def q_unmatched_branches(spark, sf):
 
 @single("duplicate_store_keys")
 def q_duplicate_store_keys(spark, sf):
-    """Store codes held by more than one store row (these multiply fact rows)."""
-    return check_unique(fx.store(spark, sf), "NEW_CODE_STORE")
+    """Stores held by more than one store row (these multiply fact rows):
+    every seventh store is entered twice."""
+    st = fx.store(spark, sf).select("STORE", "CODE_GIS")
+    again = st.where(F.replace("CODE_GIS", F.lit("X"), F.lit("")).cast("int") % 7 == 0)
+    return check_unique(st.unionAll(again), "STORE")
 
 
 @single("read_report")
@@ -437,30 +443,87 @@ def q_read_report(spark, sf):
     """SC3-SC5 + I1: per-branch Sales exports (title and branch lines above
     the header) written from lineitem, then read back, header located per
     file, stacked and typed."""
-    files = fx.sales_report_files(spark, sf)
-    return ingest.prepare(spark, f"{files}/export_branch=*/*.csv", "sales")
+    read = ingest.prepare(spark, fx.sales_report_files(spark, sf), "sales")
+    return read.withColumnRenamed("note.1", "note_1")
 
 
 @single("read_menu_report")
 def q_read_menu_report(spark, sf):
     """Per-branch Menu exports read back and typed (date, 6 numbers)."""
-    files = fx.sales_report_files(spark, sf, "menu")
-    return ingest.prepare(spark, f"{files}/export_branch=*/*.csv", "menu")
+    return ingest.prepare(spark, fx.sales_report_files(spark, sf, "menu"), "menu")
 
 
 @single("read_service_report")
 def q_read_service_report(spark, sf):
     """Per-branch Service Time exports read back and typed (timestamp,
     3 durations as clock text, 2 numbers)."""
-    files = fx.sales_report_files(spark, sf, "service_time")
-    return ingest.prepare(spark, f"{files}/export_branch=*/*.csv", "service_time")
+    return ingest.prepare(spark, fx.sales_report_files(spark, sf, "service_time"), "service_time")
 
 
-@register("preview")
+@single("preview")
 def q_preview(spark, sf):
-    """IN11: the first rows of the typed report, as shown after an upload.
-    Which rows is unspecified, so there is no SQL twin (row count only)."""
-    return preview(_typed_report(spark, sf), 5)
+    """IN11 + SO3: the first five typed rows of every export file."""
+    first = ingest.preview_files(spark, fx.sales_report_files(spark, sf), "sales")
+    return first.select("No", "Bill Number", "Sales Date", "Net Sales", "Branch", "Note",
+                        F.col("_nth").alias("row_in_file"))
+
+
+def _table_name(kind: str) -> str:
+    return f"default.kasir_{kind}_{uuid.uuid4().hex}"
+
+
+@single("append_write")
+def q_append_write(spark, sf):
+    """SK2: the report appended twice, the second time without a column."""
+    r, t = fx.raw_sales_report(spark, sf), _table_name("append")
+    sinks.write(r.select("No", "Bill Number", "Net Sales"), t, "append")
+    sinks.write(r.select("Bill Number", "No"), t, "append")
+    return spark.table(t)
+
+
+@single("overwrite_write")
+def q_overwrite_write(spark, sf):
+    """SK3: a table overwritten by rows with other columns."""
+    r, t = fx.raw_sales_report(spark, sf), _table_name("overwrite")
+    sinks.write(r.select("No", "Net Sales"), t, "append")
+    sinks.write(r.select("No", "Bill Number", "Pax Total"), t, "overwrite")
+    return spark.table(t)
+
+
+@single("publish_replace")
+def q_publish_replace(spark, sf):
+    """SK1 + SO2: a bucketed, sorted table published over another."""
+    r, t = fx.raw_sales_report(spark, sf), _table_name("publish")
+    sinks.publish(r.select("No"), t)
+    sinks.publish(r.select("Bill Number", "Net Sales"), t, bucket_by=["Bill Number"], buckets=4,
+                  sort_within=["Bill Number"])
+    return spark.table(t)
+
+
+@single("published_tables")
+def q_published_tables(spark, sf):
+    """P1 + P2: both batches run, every published table read back."""
+    out = {k: _table_name(k) for k in (*pipeline.SALES_OUTPUTS, *pipeline.MENU_OUTPUTS)}
+    own = lambda names: {k: out[k] for k in names}
+    pipeline.run_sales(spark, fx.sales_inputs(spark, sf), CFG, own(pipeline.SALES_OUTPUTS))
+    pipeline.run_menu(spark, fx.menu_inputs(spark, sf), CFG, own(pipeline.MENU_OUTPUTS))
+    amount = {"sales_nso": "sales_nett", "tracker": "actual_sales_nett", "combined_menu": "Qty",
+              "prodmix1": "Qty", "prodmix2": "Qty"}
+    counts = [spark.table(t).agg(
+        F.lit(k).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col(amount.get(k, "total_sales_net")).cast("decimal(38,6)")).cast("double").alias("amount"))
+        for k, t in out.items()]
+    return reduce(DataFrame.unionAll, counts)
+
+
+@single("lag_tiebreak")
+def q_lag_tiebreak(spark, sf):
+    """Two rows a day and channel; ties go by net, then count."""
+    c = Sales(spark, sf).combined.select("Date", "RESTO", "Order_Type", "total_tc", "total_sales_net")
+    both = c.unionAll(c.withColumn("total_tc", F.col("total_tc") + 1))
+    out = with_previous(both, ["RESTO", "Order_Type"], "Date", {"previous_tc": F.col("total_tc")},
+                        tiebreak=["total_sales_net", "total_tc"])
+    return out.select("Date", "RESTO", "Order_Type", "total_tc", "previous_tc")
 
 
 __all__ = ["QUERIES", "ORACLES", "PIPELINES", "Sales", "Menu"]

@@ -35,26 +35,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_job_conf(spark: SparkSession) -> None:
-    """Apply the SQL settings above to an existing session, and give it a
-    checkpoint directory only when the cluster has not named one."""
+    """Apply the SQL settings above to an existing session."""
     for k, v in JOB_CONF.items():
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)
-    checkpoint_dir(spark)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder from ``spark.checkpoint.dir``; a scratch
-    folder is created only when the setting is absent (local runs)."""
+    """The shared folder ``spark.checkpoint.dir`` names. Only a local session,
+    whose executors share the driver's disk, gets a scratch folder when the
+    setting is absent."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:          # sessions without a local SparkContext (e.g. Connect)
-        sc = None
-    if not d and sc is not None:
-        d = sc.getCheckpointDir()
+    if d:
+        return d
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="kasir-ckpt-", dir=os.environ.get("KASIR_SCRATCH", "/tmp"))
-        if sc is not None:
-            sc.setCheckpointDir(d)
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="kasir-ckpt-", dir=os.environ.get("KASIR_SCRATCH"))
+        sc.setCheckpointDir(d)
     return d

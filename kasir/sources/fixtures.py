@@ -7,15 +7,15 @@ the inputs grow with the scale factor. ``kasir.oracle`` derives the same
 inputs in SQL for the DuckDB cross-check.
 
 Mapping (also in FIXTURES.md):
-  store        supplier ⋈ nation ⋈ region, without s_suppkey % 10 = 9
-  bills        lineitem (one bill line per row)
-  sales_value  orders, money per order
-  sales_tc     orders with status <> 'P', count 1 per order
-  targets      stores with s_suppkey < 12 (before the cut) x order dates
-  adjustments  same stores x order months
+  store        supplier ⋈ nation ⋈ region; keys of s_suppkey % 10 = 9 match nothing
+  bills        lineitem (one bill line per row), money with four decimals
+  sales_value  orders, money per order with four decimals
+  sales_tc     orders, count 1 per order; status P under a store of its own
+  targets      every store on its ship dates, every fifth order a day later
+  adjustments  every store in the months of its ship dates
   productmix   orders ⋈ lineitem ⋈ part
   menu_report  lineitem ⋈ part with untidy menu names
-  lookups      part, one row per p_name
+  lookups      part, one row per p_name; the two differ in their values
 """
 
 from __future__ import annotations
@@ -24,27 +24,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kasir.config import DEFAULT, Config
-from kasir.sources.tables import MenuInputs, SalesInputs, spread
-
-# Fixed values of the fixture mapping (shared with the SQL oracle).
-VISIT_PURPOSE_BY_FLAGS = (
-    ("AF", "01.DINE IN"),
-    ("AO", "02.TAKE AWAY"),
-    ("NF", "03.GOFOOD INT"),
-    ("NO", "04.GRAB FOOD INT"),
-    ("RF", "05.SHOPEE FOOD INT"),
+from kasir.sources.tables import MenuInputs, SalesInputs
+
+# The labels the two feeds carry, with one unknown label each.
+# They are spelled out here, apart from the mapping under test.
+VISIT_PURPOSES = ("01.DINE IN", "02.TAKE AWAY", "06.COMPLIMENT", "03.GOFOOD INT", "04.GRAB FOOD INT",
+                  "05.SHOPEE FOOD INT", "07.CATERING")
+TENDERS = (
+    "EDC", "CASH", "RESERVASI", "COMPLIMENT", "QRIS SHOPEE", "CLOUD VOUCHER",
+    "OTHERS", "VOUCHER", "EDC CIMB", "QRIS ESB ORDER TABLE", "OVO", "DEBIT BCA",
+    "QRIS ESB KIOSK", "VISA CARD", "EDC NIAGA", "QRISIA", "QRIS TELKOM", "TUNAI",
+    "MASTER CARD", "FLAZZ", "EDC BRI QRIS", "SHOPEE", "QRIS BNI", "QRIS", "GOPAY",
+    "GRAB FOOD", "GRAB_FD", "SHOPEEPAY", "SHOPEE PAY", "SHOPEEFOOD INT",
+    "GO RESTO", "GOFOOD", "GORESTO", "OKJEK", "AIRASIA FOOD", "BANK TRANSFER",
 )
-VISIT_PURPOSE_OTHER = "07.CATERING"
-TENDER_BY_PRIORITY = (
-    ("5-LOW", "CASH"),
-    ("3-MEDIUM", "QRIS"),
-    ("1-URGENT", "GOFOOD"),
-    ("2-HIGH", "GRAB_FD"),
-)
-TENDER_OTHER = "BANK TRANSFER"
 LEGACY_STORE_PREFIX = "Supplier#00000000"
 OPEN_BASE = "1995-01-01"
-TARGET_STORES_BELOW = 12
 
 # Job parameters that fit the fixture's date range (1995-2001).
 FIXTURE_CONFIG: Config = DEFAULT.with_(
@@ -59,25 +54,25 @@ FIXTURE_CONFIG: Config = DEFAULT.with_(
 )
 
 
-FACT_TABLES = ("lineitem", "orders")
-
-
 def _t(spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...] = ()) -> DataFrame:
     df = _memo(f"read:{name}", spark, sf_dir, lambda: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-    if columns:
-        df = df.select(*columns)
-    return spread(df) if name in FACT_TABLES else df
+    return df.select(*columns) if columns else df
 
 
 def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def _case(c: Column, pairs, other: str) -> Column:
-    out = None
-    for k, v in pairs:
-        out = F.when(c == F.lit(k), F.lit(v)) if out is None else out.when(c == F.lit(k), F.lit(v))
-    return out.otherwise(F.lit(other))
+def _label(key: Column, labels: tuple[str, ...]) -> Column:
+    """One of ``labels``, or NULL, by the key's remainder."""
+    at = (key % (len(labels) + 1)).cast("int")
+    return F.get(F.array(*[F.lit(x) for x in labels]), at)
+
+
+def _money4(c: Column, key: Column) -> Column:
+    """An amount with four decimals."""
+    return (c.cast("decimal(18,4)") + (key % 97).cast("decimal(10,0)")
+            * F.lit("0.0001").cast("decimal(4,4)")).cast("decimal(18,4)")
 
 
 def store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,13 +80,13 @@ def store(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = _t(spark, sf_dir, "region").select("r_regionkey", "r_name")
     k = F.col("s_suppkey")
-    j = (s.where(k % 10 != 9)
-         .join(n, s["s_nationkey"] == n["n_nationkey"])
+    odd = k % 10 == 9
+    j = (s.join(n, s["s_nationkey"] == n["n_nationkey"])
          .join(r, n["n_regionkey"] == r["r_regionkey"]))
     return j.select(
-        _s(k).alias("CODE_GIS"),
-        F.col("s_name").alias("NEW_CODE_STORE"),
-        F.col("s_name").alias("STORE"),
+        F.concat(F.when(odd, F.lit("X")).otherwise(F.lit("")), _s(k)).alias("CODE_GIS"),
+        F.concat(F.when(odd, F.lit("Closed ")).otherwise(F.lit("")), F.col("s_name")).alias("NEW_CODE_STORE"),
+        F.concat(F.lit("Store "), F.col("s_name")).alias("STORE"),
         F.when(k % 17 == 0, F.lit(None).cast("date"))
         .otherwise(F.date_add(F.lit(OPEN_BASE).cast("date"), ((k * 23) % 2400).cast("int")))
         .alias("OPEN_STORE"),
@@ -110,13 +105,12 @@ def store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bills(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _t(spark, sf_dir, "lineitem")
-    flags = F.concat(F.col("l_returnflag"), F.col("l_linestatus"))
     return li.select(
         F.col("l_shipdate").cast("date").alias("Sales Date"),
         _s(F.col("l_suppkey")).alias("Branch"),
-        _case(flags, VISIT_PURPOSE_BY_FLAGS, VISIT_PURPOSE_OTHER).alias("Visit Purpose"),
+        _label(F.col("l_orderkey") + F.col("l_linenumber"), VISIT_PURPOSES).alias("Visit Purpose"),
         _s(F.col("l_orderkey")).alias("Bill Number"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("Net Sales"),
+        _money4(F.col("l_extendedprice"), F.col("l_orderkey")).alias("Net Sales"),
     )
 
 
@@ -124,43 +118,42 @@ def _legacy_keys(o: DataFrame) -> list[Column]:
     return [
         F.col("o_orderdate").cast("date").alias("Date"),
         F.concat(F.lit(LEGACY_STORE_PREFIX), _s(F.col("o_custkey") % 10)).alias("RESTO"),
-        _case(F.col("o_orderpriority"), TENDER_BY_PRIORITY, TENDER_OTHER).alias("Order_Type"),
+        _label(F.col("o_orderkey"), TENDERS).alias("Order_Type"),
     ]
 
 
 def sales_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _t(spark, sf_dir, "orders")
-    return o.select(*_legacy_keys(o), F.col("o_totalprice").cast("decimal(18,2)").alias("Value"))
+    return o.select(*_legacy_keys(o), _money4(F.col("o_totalprice"), F.col("o_orderkey")).alias("Value"))
 
 
 def sales_tc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _t(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "P")
-    return o.select(*_legacy_keys(o), F.lit(1).cast("bigint").alias("Value"))
+    o = _t(spark, sf_dir, "orders")
+    date, resto, tender = _legacy_keys(o)
+    moved = F.when(F.col("o_orderstatus") == "P", F.lit("Moved ")).otherwise(F.lit(""))
+    counted = o.select(date, resto, tender, moved.alias("_moved"), F.lit(1).cast("bigint").alias("Value"))
+    return counted.select("Date", F.concat("_moved", "RESTO").alias("RESTO"), "Order_Type", "Value")
 
 
-def _per_target_store(spark: SparkSession, sf_dir: str, days: DataFrame) -> DataFrame:
-    """Each row of ``days`` once per target store (s_suppkey < 12): the key
-    range is generated per row, then equi-joined to supplier for the name."""
-    s = (_t(spark, sf_dir, "supplier").where(F.col("s_suppkey") < TARGET_STORES_BELOW)
-         .select("s_suppkey", "s_name"))
-    keyed = days.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                               F.lit(TARGET_STORES_BELOW - 1).cast("bigint")))
-                        .alias("_k"))
-    return keyed.join(F.broadcast(s), keyed["_k"] == s["s_suppkey"]).drop("_k")
+def _store_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every store with its ship dates; every fifth order's a day later."""
+    li = _t(spark, sf_dir, "lineitem", ("l_suppkey", "l_shipdate", "l_orderkey"))
+    late = F.when(F.col("l_orderkey") % 5 == 0, F.lit(1)).otherwise(F.lit(0))
+    days = li.select("l_suppkey", F.date_add(F.col("l_shipdate").cast("date"), late).alias("day")).distinct()
+    s = _t(spark, sf_dir, "supplier", ("s_suppkey", "s_name"))
+    return days.join(s, days["l_suppkey"] == s["s_suppkey"]).select("s_suppkey", "s_name", "day")
 
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = _t(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("date_daily")).distinct()
-    return _per_target_store(spark, sf_dir, days).select(
-        F.col("s_name").alias("code"), "date_daily",
+    return _store_days(spark, sf_dir).select(
+        F.col("s_name").alias("code"), F.col("day").alias("date_daily"),
         (F.col("s_suppkey") * 100 + 1000).cast("double").alias("target_sales_nett"))
 
 
 def adjustments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    months = (_t(spark, sf_dir, "orders")
-              .select(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("date")).distinct())
     k = F.col("s_suppkey")
-    return _per_target_store(spark, sf_dir, months).select(
+    months = _store_days(spark, sf_dir).select("s_suppkey", "s_name", F.trunc("day", "month").alias("date")).distinct()
+    return months.select(
         "date", F.col("s_name").alias("RESTO"),
         F.when(k % 3 == 0, F.lit(None).cast("double"))
         .when(k % 3 == 1, F.lit(0.0)).otherwise(F.lit(1.05)).alias("percentage_gap"),
@@ -204,6 +197,16 @@ def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "category", "product_cleaned_2")
 
 
+def lookup_modern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same products, other values, so that the two lookups cannot be swapped
+    unnoticed."""
+    p = _t(spark, sf_dir, "part")
+    return p.groupBy("p_name").agg(F.max("p_type").alias("category"),
+                                   F.max("p_brand").alias("product_cleaned_2")).select(
+        F.col("p_name").alias("product"), F.concat(F.lit("M "), F.col("p_name")).alias("product_cleaned"),
+        "category", "product_cleaned_2")
+
+
 # Fixture plans are immutable and lazy; one set per (session, folder) is
 # reused by every query (each execution still reads the parquet files).
 _MEMO: dict[tuple, object] = {}
@@ -231,9 +234,9 @@ def _sales_inputs(spark: SparkSession, sf_dir: str) -> SalesInputs:
 
 
 def _menu_inputs(spark: SparkSession, sf_dir: str) -> MenuInputs:
-    lk = lookup(spark, sf_dir)
     return MenuInputs(productmix=productmix(spark, sf_dir), menu_report=menu_report(spark, sf_dir),
-                      lookup_legacy=lk, lookup_modern=lk, store=store(spark, sf_dir))
+                      lookup_legacy=lookup(spark, sf_dir),
+                      lookup_modern=lookup_modern(spark, sf_dir), store=store(spark, sf_dir))
 
 
 # --- raw report strings for the ingest cleansers ---------------------------
@@ -288,7 +291,7 @@ def _money_text(c: Column) -> Column:
     return _s(c.cast("decimal(18,2)"))
 
 
-def sales_report_columns(li: DataFrame) -> list[Column]:
+def sales_report_columns(li: DataFrame) -> list[tuple[str, Column]]:
     """A full Sales export row per lineitem row, every cell as text, in the
     order of the export. Money follows price/discount/tax; the same dirt as
     ``raw_sales_report`` on bill number, dates and times."""
@@ -324,10 +327,23 @@ def sales_report_columns(li: DataFrame) -> list[Column]:
         "Grand Total": _money_text(net * (one + tax)),
         "Branch": _s(sk),
     }
-    return [v.alias(k) for k, v in cols.items()]
+    return [*cols.items(), *awkward_columns(li)]
+
+
+FILLERS = 45
 
 
-def menu_report_columns(li: DataFrame) -> list[Column]:
+def awkward_columns(li: DataFrame) -> list[tuple[str, Column]]:
+    """Cells and headers that a careless reader loses: quotes, commas and line
+    breaks in a cell, a blank header, a repeated header, and more than 64
+    columns, the last ones in exports of even branches only."""
+    ok, pk, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
+    note = F.concat(F.lit('say "hot, red" '), _s(pk % 7), F.lit("\n end"))
+    fillers = [(f"X{i}", F.when(sk % 2 == 0, _s((ok + i) % 10))) for i in range(1, FILLERS + 1)]
+    return [("Note", note), ("", F.concat(F.lit("b"), _s(ln))), ("note", _s(pk % 5)), *fillers]
+
+
+def menu_report_columns(li: DataFrame) -> list[tuple[str, Column]]:
     """A Menu export row per lineitem row (menu name from the part key)."""
     pk, sk, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     day = F.col("l_shipdate").cast("date")
@@ -346,10 +362,10 @@ def menu_report_columns(li: DataFrame) -> list[Column]:
         "Total": F.when(F.col("l_orderkey") % 29 == 0, F.lit(None).cast("string"))
         .otherwise(_money_text(price + price * tax)),
     }
-    return [v.alias(k) for k, v in cols.items()]
+    return list(cols.items())
 
 
-def service_report_columns(li: DataFrame) -> list[Column]:
+def service_report_columns(li: DataFrame) -> list[tuple[str, Column]]:
     """A Service Time export row per lineitem row: kitchen/checker durations
     (with day-plus and negative shapes) and their item counts."""
     ok, pk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
@@ -371,48 +387,54 @@ def service_report_columns(li: DataFrame) -> list[Column]:
         "Checker Qty": _s(ln),
         "Branch": _s(F.col("l_suppkey")),
     }
-    return [v.alias(k) for k, v in cols.items()]
+    return list(cols.items())
 
 
 REPORT_COLUMNS = {"sales": sales_report_columns, "menu": menu_report_columns,
                   "service_time": service_report_columns}
 
 
+EXPORT_PARTS = 2                # files per branch
+
+
 def write_sales_reports(spark: SparkSession, sf_dir: str, out_dir: str, kind: str = "sales") -> str:
-    """Write one CSV export per branch under ``out_dir/export_branch=<id>/``: a title
-    line, a branch line, the header row, then the branch's rows. Rows are
-    clustered by branch and sorted within partitions, so every file is
-    written by one task in export order; no single task sees all branches."""
+    """Write two CSV exports per branch under ``out_dir``: a title line, a
+    branch line, the header row, then the rows. Rows are clustered by branch
+    and part and sorted within partitions, so every file is written by one
+    task in export order."""
     li = _t(spark, sf_dir, "lineitem")
-    body = li.select(F.col("l_suppkey").alias("export_branch"), F.lit(3).alias("_part"),
-                     F.col("l_orderkey").alias("_o1"), F.col("l_linenumber").alias("_o2"),
-                     *REPORT_COLUMNS[kind](li))
-    names = [c for c in body.columns if not c.startswith("_") and c != "export_branch"]
-    width = len(names)
-    branches = body.select("export_branch").distinct()
-
-    def line(part: int, first: Column, rest: list[Column] | None = None) -> DataFrame:
-        cells = [first] + (rest or [F.lit(None).cast("string")] * (width - 1))
-        return branches.select("export_branch", F.lit(part).alias("_part"), F.lit(0).cast("bigint").alias("_o1"),
-                               F.lit(0).alias("_o2"), *[c.alias(n) for c, n in zip(cells, names)])
-
-    head = [
-        line(0, F.lit(REPORT_TITLE)),
-        line(1, F.concat(F.lit("Branch: "), _s(F.col("export_branch")))),
-        line(2, F.lit(names[0]), [F.lit(n) for n in names[1:]]),
-    ]
-    allrows = body
-    for h in head:
-        allrows = allrows.unionByName(h)
-    (allrows.repartition("export_branch")
-     .sortWithinPartitions("export_branch", "_part", "_o1", "_o2")
-     .drop("_part", "_o1", "_o2")
-     .write.mode("overwrite").partitionBy("export_branch").option("header", False).csv(out_dir))
+    cols = REPORT_COLUMNS[kind](li)
+    cells = [f"c{i}" for i in range(len(cols))]
+    keys = [F.col("l_suppkey").alias("export_branch"), (F.col("l_orderkey") % EXPORT_PARTS).alias("export_part")]
+    body = li.select(*keys, F.lit(3).alias("_part"), F.col("l_orderkey").alias("_o1"),
+                     F.col("l_linenumber").alias("_o2"),
+                     F.struct("l_partkey", "l_shipdate", "l_extendedprice", "l_discount").alias("_o3"),
+                     *[v.alias(c) for c, (_, v) in zip(cells, cols)])
+    files = body.select("export_branch", "export_part").distinct()
+
+    def line(part: int, values: list[Column]) -> DataFrame:
+        values = values + [F.lit(None).cast("string")] * (len(cells) - len(values))
+        return files.select("export_branch", "export_part", F.lit(part).alias("_part"),
+                            F.lit(0).cast("bigint").alias("_o1"), F.lit(0).alias("_o2"),
+                            F.lit(None).cast(body.schema["_o3"].dataType).alias("_o3"),
+                            *[v.alias(c) for c, v in zip(cells, values)])
+
+    even = F.col("export_branch") % 2 == 0
+    header = [F.when(even, F.lit(n)) if n.startswith("X") else F.lit(n) for n, _ in cols]
+    rows = body
+    for part, values in enumerate([[F.lit(REPORT_TITLE)],
+                                   [F.concat(F.lit("Branch: "), _s(F.col("export_branch")))], header]):
+        rows = rows.unionByName(line(part, values))
+    (rows.repartition("export_branch", "export_part")
+     .sortWithinPartitions("export_branch", "export_part", "_part", "_o1", "_o2", "_o3")
+     .drop("_part", "_o1", "_o2", "_o3")
+     .write.mode("overwrite").partitionBy("export_branch", "export_part")
+     .option("header", False).option("escape", '"').csv(out_dir))
     return out_dir
 
 
 def sales_report_files(spark: SparkSession, sf_dir: str, kind: str = "sales") -> str:
-    """Folder of per-branch exports of one report kind for ``sf_dir``, written
+    """The per-branch exports of one report kind for ``sf_dir`` (a path pattern), written
     once per session under the session's checkpoint folder."""
     import uuid
 
@@ -420,6 +442,6 @@ def sales_report_files(spark: SparkSession, sf_dir: str, kind: str = "sales") ->
 
     def build() -> str:
         out = f"{checkpoint_dir(spark).rstrip('/')}/report-exports/{kind}-{uuid.uuid4().hex}"
-        return write_sales_reports(spark, sf_dir, out, kind)
+        return f"{write_sales_reports(spark, sf_dir, out, kind)}/export_branch=*/export_part=*/*.csv"
 
     return _memo(f"report-files-{kind}", spark, sf_dir, build)

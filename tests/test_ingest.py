@@ -1,5 +1,5 @@
 """Report ingest: casts against the dataframe library the uploads used,
-report files with preambles, all-or-nothing loads, sinks, file stream."""
+report files with preambles, all-or-nothing loads, sinks."""
 
 import os
 import tempfile
@@ -53,8 +53,15 @@ def test_strict_numeric(spark):
                lambda c: casts.strict_double(c, "x"))
     assert got[:5] == [1.5, 2.5, 1000.0, None, None]
     assert got[5] is None and got[6] == float("inf")
-    with pytest.raises(Exception, match="not a number"):
-        _one(spark, ["1,000"], lambda c: casts.strict_double(c, "x"))
+    for bad in ("1,000", "1.5d", "2f", "1e", "0x1", "."):
+        with pytest.raises(Exception, match="not a number"):
+            _one(spark, [bad], lambda c: casts.strict_double(c, "x"))
+
+
+def test_durations_out_of_range_are_missing(spark):
+    df = spark.createDataFrame([("9999999:00:00",), ("999999999 days",), ("00:00:05",),
+                                ("99999999999999999999 days",)], "d string")
+    assert [r[0] for r in ingest.clean_durations(df, ["d"]).collect()] == [None, None, "00:00:05", None]
 
 
 def test_lenient_date(spark):
@@ -115,15 +122,56 @@ def test_read_report_finds_header_below_preamble(spark, scratch):
     assert rows["B3"]["Sales Date"] == dt.date(2025, 1, 2)
 
 
-def test_too_narrow_reader_fails_loudly(spark, scratch):
+def _menu_header(*more):
+    return ",".join(("Sales Date", *reports.REPORTS["menu"].numeric, *more))
+
+
+def test_no_cell_is_lost(spark, scratch):
+    """Quotes, commas and line breaks in cells; blank and repeated headers;
+    more than 64 columns; a row wider than its header."""
     d = tempfile.mkdtemp(dir=scratch)
-    _write(os.path.join(d, "a.csv"), SALES_HEADER + "\n" + _sales_line("B1", "2025-01-01", "1:1:1", "1") + "\n")
-    with pytest.raises(ValueError, match="max_columns"):
-        reports.read_report(spark, os.path.join(d, "a.csv"), "sales",
-                            max_columns=len(SALES_HEADER.split(",")))
-    df = reports.read_report(spark, os.path.join(d, "a.csv"), "sales",
-                             max_columns=len(SALES_HEADER.split(",")) + 1)
-    assert df.count() == 1
+    wide = [f"W{i}" for i in range(80)]
+    nums = ",".join("123456")
+    _write(os.path.join(d, "a.csv"), "Title,\"with \"\"quotes\"\", and comma\"\n\n"
+           + _menu_header("Name", "", "name", *wide, "Last") + "\n"
+           + f'2025-01-01,{nums},"big ""hot, red""\nbowl",x,y,' + ",".join(f"v{i}" for i in range(80)) + ",end,over\n")
+    _write(os.path.join(d, "b.csv"), _menu_header("Other", "Name") + f"\n2025-01-02,{nums},o,n\n")
+    df = reports.read_report(spark, [os.path.join(d, "a.csv"), os.path.join(d, "b.csv")], "menu")
+    a, b = sorted((r.asDict() for r in df.collect()), key=lambda r: r["Sales Date"])
+    assert a["Name"] == 'big "hot, red"\nbowl' and a["Unnamed: 8"] == "x" and a["name.1"] == "y"
+    assert [a[w] for w in wide] == [f"v{i}" for i in range(80)]
+    assert a["Last"] == "end" and a["Unnamed: 91"] == "over"
+    assert (b["Other"], b["Name"], b["Last"], b["Unnamed: 8"]) == ("o", "n", None, None)
+
+
+def test_raw_rows_are_not_sorted(spark, scratch):
+    d = tempfile.mkdtemp(dir=scratch)
+    _write(os.path.join(d, "a.csv"), _menu_header() + "\n2025-01-02,1,2,3,4,5,6\n")
+    raw = reports.raw_rows(spark, d)
+    plan = reports.file_headers(raw, reports.REPORTS["menu"].typed)._jdf.queryExecution().executedPlan().toString()
+    for sort in [x for x in plan.split("\n") if "Sort [" in x]:
+        assert "_file" in sort
+    assert "filter" in plan.lower()
+    one = reports.read_report(spark, d, "menu")._jdf.queryExecution().executedPlan().toString()
+    assert one.count("FileScan csv") == 1
+
+
+def test_preview_is_the_first_rows_of_each_file(spark, scratch):
+    d = tempfile.mkdtemp(dir=scratch)
+    for f in "ab":
+        _write(os.path.join(d, f"{f}.csv"), "T\n" + _menu_header("Name") + "\n"
+               + "".join(f"2025-01-01,1,2,3,4,5,6,{f}{i}\n" for i in range(7)))
+    got = [r["Name"] for r in ingest.preview_files(spark, d, "menu", 3).orderBy("Name").collect()]
+    assert got == ["a0", "a1", "a2", "b0", "b1", "b2"]
+
+
+def test_date_formats_reach_the_load(spark, scratch):
+    d = tempfile.mkdtemp(dir=scratch)
+    _write(os.path.join(d, "a.csv"), _menu_header() + "\n25/12/2024,1,2,3,4,5,6\n")
+    import datetime as dt
+    ingest.ingest(spark, d, "menu", table="default.formats_t", formats=("d/M/yyyy",))
+    assert spark.table("default.formats_t").first()["Sales Date"] == dt.date(2024, 12, 25)
+    assert ingest.prepare(spark, d, "menu").first()["Sales Date"] is None
 
 
 def test_missing_header_fails_before_write(spark, scratch):
@@ -167,6 +215,56 @@ def test_publish_replaces_schema(spark):
     assert df.count() == 2 and df.columns == ["id", "b"]
 
 
+def test_a_failed_write_leaves_the_old_rows(spark, scratch):
+    good = spark.range(3).withColumn("x", F.lit(1.0))
+    bad = spark.range(5).withColumn("x", F.when(F.col("id") == 4, F.raise_error(F.lit("broken")).cast("double")))
+    tables = {n: f"default.safe_{n}" for n in ("publish", "bucketed", "overwrite", "append")}
+    for t in tables.values():
+        sinks.publish(good, t)
+    for act in (lambda: sinks.publish(bad, tables["publish"]),
+                lambda: sinks.publish(bad, tables["bucketed"], bucket_by=["id"], buckets=2),
+                lambda: sinks.write(bad, tables["overwrite"], "overwrite"),
+                lambda: sinks.write(bad, tables["append"], "append")):
+        with pytest.raises(Exception, match="broken"):
+            act()
+    for t in tables.values():
+        assert spark.table(t).count() == 3, t
+    left = [r["tableName"] for r in spark.sql("SHOW TABLES IN default").collect()]
+    assert not [t for t in left if "__new_" in t or "__old_" in t]
+    d = tempfile.mkdtemp(dir=scratch)
+    _write(os.path.join(d, "a.csv"), SALES_HEADER + "\n" + _sales_line("B2", "2025-01-01", "1:1:1", "1;5") + "\n")
+    with pytest.raises(Exception, match="not a number"):
+        ingest.ingest(spark, d, "sales", "overwrite", table=tables["overwrite"])
+    assert spark.table(tables["overwrite"]).count() == 3
+
+
+def test_append_by_name(spark):
+    t = "default.append_by_name"
+    sinks.write(spark.createDataFrame([(1, "a")], "n int, s string"), t, "append")
+    sinks.write(spark.createDataFrame([("b",)], "S string"), t, "append")
+    assert sorted((r.n or 0, r.s) for r in spark.table(t).collect()) == [(0, "b"), (1, "a")]
+    with pytest.raises(ValueError, match="extra"):
+        sinks.write(spark.createDataFrame([(1, 2)], "n int, extra int"), t, "append")
+
+
+def test_no_machine_local_folder_on_a_cluster(spark, monkeypatch):
+    from kasir import session
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda k, d=None: d)
+            set = staticmethod(lambda k, v: None)
+
+        class sparkContext:
+            master = "spark://somewhere:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+            setCheckpointDir = staticmethod(lambda d: pytest.fail(d))
+
+    session.ensure_job_conf(Cluster)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Cluster)
+
+
 def test_null_profile(spark):
     df = spark.createDataFrame([(1, None), (None, "a"), (3, None)], "x int, y string")
     r = null_profile(df).first()
@@ -176,17 +274,3 @@ def test_null_profile(spark):
 def test_unknown_kind():
     with pytest.raises(ValueError):
         reports.spec("inventory")
-
-
-def test_stream_ingest_loads_each_file_once(spark, scratch):
-    from kasir.streaming import reports as stream
-    src = tempfile.mkdtemp(dir=scratch)
-    ck = tempfile.mkdtemp(dir=scratch)
-    t = "default.stream_sales_t"
-    _write(os.path.join(src, "a.csv"), "Report\n" + SALES_HEADER + "\n"
-           + _sales_line("B1", "2025-01-01", "1:1:1", "1") + "\n")
-    assert stream.run_available(spark, src, "sales", table=t, checkpoint=ck, timeout_s=120) == 1
-    assert stream.run_available(spark, src, "sales", table=t, checkpoint=ck, timeout_s=120) == 1
-    _write(os.path.join(src, "b.csv"), SALES_HEADER + "\n" + _sales_line("B2", "2025-01-02", "1:1:1", "2") + "\n")
-    assert stream.run_available(spark, src, "sales", table=t, checkpoint=ck, timeout_s=120) == 2
-    assert sorted(r[0] for r in spark.table(t).select("Bill Number").collect()) == ["B1", "B2"]
