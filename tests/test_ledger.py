@@ -238,3 +238,34 @@ def test_types_of_published_columns(spark):
     out = sales.reported(sales.daily_channel(c, st, CFG))
     assert isinstance(out.schema["total_sales_net"].dataType, DoubleType)
     assert isinstance(out.schema["total_tc"].dataType, LongType)
+
+
+def test_s13_feeds_overlap_and_both_rows_stay(spark):
+    """A store, day and channel in both feeds gives two rows, not a sum."""
+    from decimal import Decimal as Dec
+    st = store_df(spark, [("1", "S1", None, "x")])
+    day = D(2025, 1, 1)
+    bills = spark.createDataFrame([(day, "1", "03.GOFOOD INT", "B1", Dec("10.1234"))],
+                                  "`Sales Date` date, Branch string, `Visit Purpose` string, "
+                                  "`Bill Number` string, `Net Sales` decimal(18,4)")
+    value = spark.createDataFrame([(day, "S1", "GOFOOD", Dec("11.0000"))],
+                                  "Date date, RESTO string, Order_Type string, Value decimal(18,4)")
+    tc = spark.createDataFrame([(day, "S1", "GOFOOD", 4)], "Date date, RESTO string, Order_Type string, Value bigint")
+    got = sorted((r["total_tc"], r["total_sales_net"]) for r in sales.combine_sales(bills, value, tc, st, CFG).collect())
+    assert got == [(1, Dec("10.123400")), (4, Dec("10.000000"))]
+
+
+def test_money_is_not_cut_to_cents(spark):
+    from decimal import Decimal as Dec
+    st = store_df(spark, [("1", "S1", None, "x")])
+    bills = spark.range(1000).select(F.lit(D(2025, 1, 1)).alias("Sales Date"), F.lit("1").alias("Branch"),
+                                     F.lit("01.DINE IN").alias("Visit Purpose"),
+                                     F.col("id").cast("string").alias("Bill Number"),
+                                     F.lit(27272.7273).alias("Net Sales"))
+    r = sales.modern_daily(bills, st, CFG).first()
+    assert r["total_sales_net"] == Dec("27272727.300000") and r["total_tc"] == 1000
+
+
+def test_f06_current_date_by_default(spark):
+    row = spark.range(1).select(X.as_of_date(None).alias("a"), F.current_date().alias("b")).first()
+    assert row["a"] == row["b"] and isinstance(row["a"], dt.date)
