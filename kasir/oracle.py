@@ -574,11 +574,7 @@ cte("chk_null_profile", "SELECT COUNT(*) AS rows, " + ", ".join(
     f'COUNT(*) FILTER (WHERE "{c}" IS NULL) AS "{c}"' for c in _REPORT_COLS) + " FROM chk_typed_report",
     ("chk_typed_report",))
 
-cte("chk_stack_files", """
-SELECT "No", "Bill Number", "Net Sales", NULL::VARCHAR AS "Pax Total" FROM fx_raw_sales WHERE CAST("No" AS INTEGER) % 2 = 1
-UNION ALL
-SELECT "No", "Bill Number", NULL::VARCHAR AS "Net Sales", "Pax Total" FROM fx_raw_sales WHERE CAST("No" AS INTEGER) % 2 = 0""",
-    ("fx_raw_sales",))
+cte("chk_stack_files", 'SELECT "No", Branch, "Note", X1, X45 FROM fx_sales_export', ("fx_sales_export",))
 
 cte("chk_unmatched_branches", """
 SELECT b.Branch AS key, COUNT(*) AS n_rows

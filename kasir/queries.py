@@ -21,7 +21,7 @@ from kasir.operators.quality import null_profile, unmatched_keys
 from kasir.plans import cohorts, ingest, menu, monthly, pipeline, sales, tracker
 from kasir.plans.sales import reported
 from kasir.sources import fixtures as fx
-from kasir.sources.reports import stack
+from kasir.sources.reports import read_report
 
 CFG = fx.FIXTURE_CONFIG
 
@@ -416,11 +416,10 @@ def q_null_profile(spark, sf):
 
 @single("stack_files")
 def q_stack_files(spark, sf):
-    """IN8: two exports with different column sets stacked by name."""
-    r = fx.raw_sales_report(spark, sf)
-    odd = r.where(F.col("No").cast("int") % 2 == 1).select("No", "Bill Number", "Net Sales")
-    even = r.where(F.col("No").cast("int") % 2 == 0).select("No", "Bill Number", "Pax Total")
-    return stack([odd, even])
+    """IN8 + U3: all export files stacked by name; those of odd branches have
+    no X columns."""
+    rows = read_report(spark, fx.sales_report_files(spark, sf), "sales")
+    return rows.select("No", "Branch", "Note", "X1", "X45")
 
 
 @single("unmatched_branches")
