@@ -12,8 +12,8 @@ it are ties: each block passes on only the k smallest ids among them, which is
 all that any order can still need. A final rank per query breaks ties by id.
 
 Scores are exact: products are taken in float64 when no partial sum can reach
-2^53, else in 64-bit integers, and ``ValueError`` is raised when even those
-could overflow.
+2^53, else in 64-bit integers, else in Python's; ``ValueError`` is raised when a
+score itself reaches 2^61.
 
 Defined results: vectors that are null, or hold a null or a non-finite
 component, take no part; nor do null ids. Vectors are compared only with those
@@ -39,7 +39,7 @@ BLOCK = 1024           # rows per vector block, at most
 QUERY_BLOCK = 256      # rows per query block, at most
 SLACK = 64             # rows above the edge, beyond k, that end the rounds
 EXACT_FLOAT = 1 << 53
-EXACT_INT = 1 << 62
+EXACT_INT = 1 << 61
 
 BLOCK_TYPE = "dim int, ids binary, matrix binary, top long, norm double"
 
@@ -92,9 +92,13 @@ def _scores(q: dict, v: dict) -> np.ndarray:
     a, b = _ids(q["matrix"]).reshape(-1, dim), _ids(v["matrix"]).reshape(-1, dim)
     if bound < EXACT_FLOAT:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    if bound >= EXACT_INT:
-        raise ValueError("inner products of these vectors do not fit 64 bits")
-    return a @ b.T
+    if bound < EXACT_INT:
+        return a @ b.T
+    exact = a.astype(object) @ b.T.astype(object)
+    exact[q["id"][:, None] == v["id"][None, :]] = 0         # a row never meets itself
+    if max(map(abs, exact.ravel()), default=0) >= EXACT_INT:
+        raise ValueError("inner products of these vectors do not fit 61 bits")
+    return exact.astype(np.int64)
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]):
@@ -113,7 +117,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for q, _, s, own in _pairs(batches):
         lo, width, hi = (_ids(q[k])[:, None] for k in ("lo", "width", "hi"))
         at = (s - lo) // width
-        at[own | (s < lo) | (s >= hi)] = BINS           # outside the open bin
+        # Outside the open bin, or of a query that needs no more counting.
+        at[own | (s < lo) | (s >= hi) | (at >= BINS)] = BINS
         flat = (np.arange(len(s))[:, None] * (BINS + 1) + at).ravel()
         n = np.bincount(flat, minlength=len(s) * (BINS + 1)).reshape(len(s), BINS + 1)[:, :BINS]
         i, b = np.nonzero(n)
@@ -188,7 +193,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
         for batch in batches:
             for row in batch.to_pylist():
                 n = len(row["ids"]) // 8
-                reach = int(row["norm"] * row["far"]) + 2
+                reach = min(int(row["norm"] * row["far"]) + 2, EXACT_INT)
                 width = np.full(n, -(-(2 * reach + 1) // BINS), dtype="<i8")
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([row["block"]], pa.int64()),

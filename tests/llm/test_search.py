@@ -39,16 +39,14 @@ def run(llm, rows, k):
 
 
 def test_top_k_with_ties_nulls_and_odd_vectors(llm, monkeypatch):
-    monkeypatch.setattr(topk, "BINS", 4)
-    monkeypatch.setattr(topk, "SLACK", 0)
-    monkeypatch.setattr(topk, "BLOCK", 16)
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "BLOCK", 100)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 30)
     rng = random.Random(3)
-    rows = [(i, [rng.uniform(-2, 2) for _ in range(4)]) for i in range(60)]
-    rows += [(100 + i, [0.5, 0.5, 0.5, 0.5]) for i in range(70)]          # a third ties
-    rows += [(200, None), (205, [None, 1.0, 1.0, 1.0]), (210, [float("nan"), 0.0, 0.0, 0.0]),
-             (215, [float("inf")] * 4), (220, [1.0, 2.0]), (225, [0.0] * 4), (None, [1.0] * 4),
-             (230, [1e9, -1e9, 1e9, 1e9])]
+    rows = [(i, [rng.uniform(-2, 2) for _ in range(4)]) for i in range(400)]
+    rows += [(500 + i, [0.5, 0.5, 0.5, 0.5]) for i in range(200)]         # a third ties
+    rows += [(800, None), (805, [None, 1.0, 1.0, 1.0]), (810, [float("nan"), 0.0, 0.0, 0.0]),
+             (815, [float("inf")] * 4), (820, [1.0, 2.0]), (825, [0.0] * 4), (None, [1.0] * 4),
+             (830, [1e9, -1e9, 1e9, 1e9])]
     assert run(llm, rows, 10) == brute(rows, 10, lambda i: i % 5 == 0)
 
 
