@@ -3,15 +3,16 @@
 Two documents link when the Jaccard similarity of their shingle sets reaches
 ``PERCENT``. In any fixed order of all shingles, linked sets share a shingle
 among their first n - ceil(PERCENT% of n) + 1: their prefixes. The order used
-puts shingles that many documents hold last, so prefixes hold rare ones; which
-shingles are common is counted over all documents, at most 2^20 of them, since
-each stands for at least that share of all shingles.
+puts shingles that many documents hold last, so prefixes hold rare ones. How
+common a shingle is, is counted over all documents and kept as one byte in a
+table of fixed size by hash: any such table gives an order, and so a right
+result; a fuller one only finds fewer rare shingles.
 
 Documents with the same set form a class, classes with the same size and prefix
 a group. Only groups enter the inverted index of prefix shingles. Within each
-posting, every group is first compared with one lead per size step, and each
-class with its group's lead: a star, so a large group of near copies costs as
-many comparisons as it has members. Candidates are expanded to classes and
+posting, every group is first compared with up to three hubs per size step, the
+groups that share most with others, and each class with its group's lead: stars,
+so a large group of near copies costs a few comparisons per member. Candidates are expanded to classes and
 verified on whole sets. Group pairs that share a posting, have compatible sizes
 and lie in different components after that are compared in full, so no link that
 changes a component is missed; links inside a known component are not needed.
@@ -40,10 +41,12 @@ from kasir.llm.shingles import shingle_set
 
 WORDS = 5
 PERCENT = 80
-# A shingle is common from this many documents on, or from 2^-20 of all
-# shingles, whichever is more.
+# A shingle is common when this many documents hold it.
 COMMON = 16
-COMMON_SHARE = 1 << 20
+SKETCH_BITS = 22                # size of the table of common shingles
+HUBS = 3                        # per posting and size step
+FEW = 8                         # shorter postings have one hub
+LONG = 64                       # postings from here on make each open pair once
 COUNTED = 1 << 21               # shingles counted at once in a task
 
 
@@ -56,10 +59,10 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def common_shingles(docs: DataFrame, text_col: str, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, documents) of the common shingles, sorted by hash. Each task
-    reports what it sees twice or more; what it sees once could not make a
-    shingle common. A wrong count costs time, never a link."""
+def common_shingles(docs: DataFrame, text_col: str, words: int) -> np.ndarray:
+    """Per hash bucket, the binary logarithm of the most documents that hold one
+    of its shingles, if ``COMMON`` or more, else 0. Each task reports what it
+    sees twice or more. A wrong count costs time, never a link."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -68,11 +71,8 @@ def common_shingles(docs: DataFrame, text_col: str, words: int) -> tuple[np.ndar
         def flush() -> pa.RecordBatch:
             token, n = np.unique(np.concatenate(held), return_counts=True)
             many = n >= 2
-            # Token 0 carries the number of shingles.
-            return pa.RecordBatch.from_pydict({
-                "token": pa.array(np.append(token[many].view(np.int64), 0)),
-                "n": pa.array(np.append(n[many], size).astype(np.int64)),
-                "total": pa.array(np.append(np.zeros(many.sum(), bool), True))})
+            return pa.RecordBatch.from_pydict({"token": pa.array(token[many].view(np.int64)),
+                                               "n": pa.array(n[many].astype(np.int64))})
 
         for b in batches:
             for t in b.column(0):
@@ -84,30 +84,25 @@ def common_shingles(docs: DataFrame, text_col: str, words: int) -> tuple[np.ndar
         if size:
             yield flush()
 
-    seen = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(
-        count, "token bigint, n bigint, total boolean")
-    sums = staged(seen.groupBy("token", "total").agg(F.sum("n").alias("n")), "shingle-counts")
-    total = sums.where("total").agg(F.sum("n")).first()[0] or 0
-    least = max(COMMON, -(-total // COMMON_SHARE))
-    # At most COMMON_SHARE rows, as each has at least that share of the total.
-    found = sums.where(~F.col("total") & (F.col("n") >= least)).select("token", "n").toPandas()
-    token = found["token"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(token)
-    return token[order], found["n"].to_numpy(np.int64)[order]
+    seen = docs.select(text_or_empty(text_col).alias("text")).mapInArrow(count, "token bigint, n bigint")
+    often = seen.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
+    bucket = F.expr(f"shiftrightunsigned(token, {64 - SKETCH_BITS})")
+    # At most 2^SKETCH_BITS rows, one per bucket.
+    found = (often.groupBy(bucket.alias("bucket")).agg(F.floor(F.log2(F.max("n"))).cast("int").alias("size"))
+             .toPandas())
+    sketch = np.zeros(1 << SKETCH_BITS, dtype=np.uint8)
+    sketch[found["bucket"].to_numpy(np.int64)] = found["size"].to_numpy(np.uint8)
+    return sketch
 
 
-def ordered_prefix(u: np.ndarray, common: np.ndarray, weight: np.ndarray,
-                   percent: int) -> tuple[np.ndarray, int]:
+def ordered_prefix(u: np.ndarray, sketch: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
     """The prefix of a sorted set, rare shingles first, and how many common
     ones it holds."""
     p = prefix_length(len(u), percent)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, u), len(common) - 1)
-        hit = common[at] == u
-        if hit.any():
-            rank = np.where(hit, weight[at], 0)
-            order = np.lexsort((u, rank))[:p]
-            return u[order], int(hit[order].sum())
+    rank = sketch[u >> np.uint64(64 - SKETCH_BITS)]
+    if rank.any():
+        order = np.lexsort((u, rank))[:p]
+        return u[order], int((rank[order] > 0).sum())
     return u[:p], 0
 
 
@@ -119,12 +114,12 @@ def marks_of(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
     shared = spark.sparkContext.broadcast(common_shingles(docs, text_col, words))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, weight = shared.value
+        sketch = shared.value
         for b in batches:
             n, c, g, k, pre = [], [], [], [], []
             for t in b.column(1):
                 u = shingle_set(t.as_py(), words)
-                p, many = ordered_prefix(u, common, weight, percent) if len(u) else (u, 0)
+                p, many = ordered_prefix(u, sketch, percent) if len(u) else (u, 0)
                 pre.append(p.tobytes())
                 n.append(len(u))
                 c.append(xxhash.xxh3_128_digest(u.tobytes()))
@@ -141,7 +136,8 @@ def marks_of(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
 
 
 def postings_of(marks: DataFrame) -> DataFrame:
-    """(token, n, g) of every prefix shingle that two or more groups hold."""
+    """(token, n, g, held) of every prefix shingle that two or more groups
+    hold; ``held`` is how many do."""
     groups = marks.where("n > 0").groupBy("n", "g").agg(F.first("prefix").alias("prefix"),
                                                         F.max("common").alias("common"))
 
@@ -161,39 +157,60 @@ def postings_of(marks: DataFrame) -> DataFrame:
     rows = groups.mapInArrow(spread, "token bigint, n bigint, g bigint, common boolean")
     own = Window.partitionBy("token")
     rare = (rows.where("not common").withColumn("held", F.count("*").over(own)).where("held > 1")
-            .select("token", "n", "g"))
+            .select("token", "n", "g", "held"))
     # Postings of common shingles may be long: count them with map-side sums.
     often = rows.where("common").select("token", "n", "g")
-    held = often.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
-    return staged(rare.unionByName(often.join(held, "token")), "postings")
+    held = often.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
+    return staged(rare.unionByName(often.join(held, "token").select("token", "n", "g", "held")), "postings")
+
+
+def id_filter(needed: DataFrame) -> tuple[np.ndarray, int]:
+    """A bitmap of hashed ids, of 16 bits per id and at most 2^26 bits: a
+    filter before the shuffle that lets through too much at worst."""
+    bits = 1 << 15
+    n = needed.count()
+    while bits < 16 * n and bits < 1 << 26:
+        bits *= 2
+    at = F.pmod(F.xxhash64("doc"), F.lit(bits)) + 1
+    rows = (needed.groupBy(F.bitmap_bucket_number(at).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("map")).collect())
+    bitmap = np.zeros(bits // 8, dtype=np.uint8)
+    for r in rows:
+        lo = (r["bucket"] - 1) * 4096
+        bitmap[lo:lo + 4096] = np.frombuffer(bytes(r["map"]), dtype=np.uint8)[:len(bitmap) - lo]
+    return bitmap, bits
 
 
 def sets_of(docs: DataFrame, needed: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
     """(c, u): the whole sets of the classes in ``needed`` (c, doc)."""
     import xxhash
+    bitmap, bits = id_filter(needed)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = shared.value
         for b in batches:
-            sets = [shingle_set(t.as_py(), words).tobytes() for t in b.column(1)]
-            own = [xxhash.xxh3_128_digest(s) == c.as_py() for s, c in zip(sets, b.column(0))]
-            keep = [i for i, yes in enumerate(own) if yes]
+            at = np.asarray(b.column(0))
+            keep = np.flatnonzero(bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            texts = b.column(1)
+            sets = [shingle_set(texts[int(i)].as_py(), words).tobytes() for i in keep]
             yield pa.RecordBatch.from_pydict({
-                "c": pa.array([b.column(0)[i].as_py() for i in keep], pa.binary()),
-                "u": pa.array([sets[i] for i in keep], pa.binary())})
+                "c": pa.array([xxhash.xxh3_128_digest(x) for x in sets], pa.binary()),
+                "u": pa.array(sets, pa.binary())})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("__id"), text_or_empty(text_col).alias("text"))
-    wanted = needed.select("c", "doc").distinct()
-    found = rows.join(wanted, rows["__id"].eqNullSafe(wanted["doc"])).select("c", "text")
+    rows = docs.select(F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(bits)).alias("at"),
+                       text_or_empty(text_col).alias("text"))
+    sets = rows.mapInArrow(build, "c binary, u binary")
     # An id may be repeated: one copy of each set.
-    return found.mapInArrow(build, "c binary, u binary").dropDuplicates(["c"])
+    return sets.join(needed.select("c").distinct(), "c", "left_semi").dropDuplicates(["c"])
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, id_col: str, text_col: str,
              words: int, percent: int) -> DataFrame:
     """The rows of ``pairs`` (a, b: classes) that are similar, staged."""
     nodes = pairs.select(F.col("a").alias("c")).unionAll(pairs.select(F.col("b").alias("c"))).distinct()
-    sets = staged(sets_of(docs, nodes.join(classes, "c").select("c", "doc"), id_col, text_col, words),
-                  "shingle-sets")
+    needed = staged(nodes.join(classes, "c").select("c", "doc"), "needed-classes")
+    sets = staged(sets_of(docs, needed, id_col, text_col, words), "shingle-sets")
     one = sets.select(F.col("c").alias("a"), F.col("u").alias("ua"))
     two = sets.select(F.col("c").alias("b"), F.col("u").alias("ub"))
 
@@ -214,6 +231,21 @@ def compatible(x: str, y: str, percent: int):
     return small * 100 >= large * percent
 
 
+def can_be_similar(shared, percent: int):
+    """Whether sets of n1 and n2 shingles whose prefixes share so many can reach
+    the similarity: beyond the shared ones, at most all that follows the prefix
+    of one of the two can be common."""
+    most = shared + F.floor((F.greatest("n1", "n2") * percent + 99) / 100) - 1
+    return most * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent
+
+
+def enough_shared(pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups (n1, g1, n2, g2), a row per shared prefix shingle, that
+    can still be similar."""
+    counted = pairs.groupBy("n1", "g1", "n2", "g2").agg(F.count("*").alias("shared"))
+    return counted.where(can_be_similar(F.col("shared"), percent)).drop("shared")
+
+
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc, n, c, component) per row of ``docs``."""
@@ -224,21 +256,26 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                    "groups")
     postings = postings_of(marks)
 
-    # Stars: classes around their group's lead, groups around one lead for each
-    # posting and size step; leads of neighbouring steps are paired too.
+    # Stars: classes around their group's lead, groups around the hubs of each
+    # posting and size step; hubs of neighbouring steps are paired too. A group
+    # whose shingles many others hold was edited least, so it makes a good hub.
     inner = (classes.join(leads.where("members > 1"), ["n", "g"])
              .where("c <> lead").select(F.col("lead").alias("a"), F.col("c").alias("b")))
+    weights = postings.groupBy("n", "g").agg(F.sum("held").alias("weight"))
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
     stepped = postings.withColumn("k", step)
-    tops = stepped.groupBy("token", "k").agg(F.min(F.struct("g", "n")).alias("top"))
+    slot = F.when(F.col("held") < FEW, F.lit(0)).otherwise(F.pmod(F.hash("n", "g"), F.lit(HUBS)))
+    tops = (stepped.join(weights, ["n", "g"]).groupBy("token", "k", slot.alias("slot"))
+            .agg(F.max(F.struct("weight", "g", "n")).alias("top")).select("token", "k", "top"))
+    tops = staged(tops, "hubs")
     star = stepped.join(tops, ["token", "k"]).select(
         F.col("top.n").alias("n1"), F.col("top.g").alias("g1"), F.col("n").alias("n2"), F.col("g").alias("g2"))
     up = tops.select("token", (F.col("k") + 1).alias("k"), F.col("top").alias("below"))
     bridge = tops.join(up, ["token", "k"]).select(
         F.col("below.n").alias("n1"), F.col("below.g").alias("g1"), F.col("top.n").alias("n2"),
         F.col("top.g").alias("g2"))
-    group_pairs = (star.unionByName(bridge).where("g1 <> g2 or n1 <> n2")
-                   .where(compatible("n1", "n2", percent)).distinct())
+    group_pairs = enough_shared(star.unionByName(bridge).where("g1 <> g2 or n1 <> n2")
+                                .where(compatible("n1", "n2", percent)), percent)
     first = leads.select(F.col("n").alias("n1"), F.col("g").alias("g1"), F.col("lead").alias("a"))
     second = leads.select(F.col("n").alias("n2"), F.col("g").alias("g2"), F.col("lead").alias("b"))
     outer = group_pairs.join(first, ["n1", "g1"]).join(second, ["n2", "g2"]).select("a", "b")
@@ -255,20 +292,36 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     mixed = (located.groupBy("token").agg(F.min("p").alias("lo"), F.max("q").alias("hi"))
              .where("lo <> hi").select("token"))
     open_ = staged(located.join(mixed, "token"), "open-postings")
-    x = open_.select("token", *[F.col(c).alias(c + "1") for c in ("n", "g", "p", "q")])
-    y = open_.select("token", *[F.col(c).alias(c + "2") for c in ("n", "g", "p", "q")])
-    rest = (x.join(y, "token").where("g1 < g2 or (g1 = g2 and n1 < n2)")
-            .where(compatible("n1", "n2", percent))
-            .where("p1 <> q1 or p2 <> q2 or p1 <> p2")
-            .select("n1", "g1", "n2", "g2").distinct())
+    apart = (F.expr("g1 < g2 or (g1 = g2 and n1 < n2)") & compatible("n1", "n2", percent)
+             & F.expr("p1 <> q1 or p2 <> q2 or p1 <> p2"))
+
+    def sides(rows: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+        return tuple(rows.select("token", *[F.col(c).alias(f"{c}{i}") for c in ("n", "g", "p", "q", *more)])
+                     for i in (1, 2))
+
+    # Short postings: a row per pair and shared shingle, then counted.
+    x, y = sides(open_.where(F.col("held") < LONG))
+    short = enough_shared(x.join(y, (x["token"] == y["token"]) & apart).select("n1", "g1", "n2", "g2"), percent)
+    # Long postings: a pair is made once, in that of its smallest long-posted
+    # shingle, and counted on the spot over all shingles that it shares. Pairs
+    # that share one are judged here, whatever the short postings say.
+    long = open_.where(F.col("held") >= LONG)
+    own = open_.groupBy("n", "g").agg(
+        F.array_sort(F.collect_list(F.when(F.col("held") >= LONG, F.col("token")))).alias("hot"),
+        F.collect_list(F.when(F.col("held") < LONG, F.col("token"))).alias("cold"))
+    x, y = sides(long.join(own, ["n", "g"]), "hot", "cold")
+    hot = F.array_intersect("hot1", "hot2")
+    shared = F.size(hot) + F.size(F.array_intersect("cold1", "cold2"))
+    once = (F.get(hot, F.lit(0)) == x["token"]) & can_be_similar(shared, percent)
+    rest = short.unionByName(x.join(y, (x["token"] == y["token"]) & apart & once).select("n1", "g1", "n2", "g2"))
     # Groups whose own members fell apart are compared with themselves as well.
-    own = (parts.where("p <> q").select(F.col("n").alias("n1"), F.col("g").alias("g1"),
+    within = (parts.where("p <> q").select(F.col("n").alias("n1"), F.col("g").alias("g1"),
                                         F.col("n").alias("n2"), F.col("g").alias("g2")))
     members1 = placed.select(F.col("n").alias("n1"), F.col("g").alias("g1"), F.col("c").alias("a"),
                              F.col("part").alias("part1"))
     members2 = placed.select(F.col("n").alias("n2"), F.col("g").alias("g2"), F.col("c").alias("b"),
                              F.col("part").alias("part2"))
-    open_pairs = (rest.unionByName(own).join(members1, ["n1", "g1"]).join(members2, ["n2", "g2"])
+    open_pairs = (rest.unionByName(within).join(members1, ["n1", "g1"]).join(members2, ["n2", "g2"])
                   .where("part1 <> part2").select("a", "b").select(*ordered).distinct()
                   .join(tried, ["a", "b"], "left_anti"))
     more = verified(docs, classes, staged(open_pairs, "open-pairs"), id_col, text_col, words, percent)

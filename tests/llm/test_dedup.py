@@ -203,6 +203,7 @@ def corpus(seed, n, vocabulary, common=()):
 def test_near_copies_in_random_documents(llm, seed, vocabulary, common, monkeypatch):
     monkeypatch.setattr(ngram_join, "COMMON", 4)
     monkeypatch.setattr(ngram_join, "FEW", 3)
+    monkeypatch.setattr(ngram_join, "LONG", 5)
     rows = corpus(seed, 260, vocabulary, common)
     got = ngram_join.ngram_components(llm.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
     assert near_rows(got) == by_id(near(rows))
