@@ -1,14 +1,18 @@
 """URL filtering: stated host and path rules, and association rules mined for
 the URLs that no stated rule fits.
 
-A URL becomes a set of at most eight tokens (top-level domain, domain, host,
-first host label, first two path segments, extension, query keys), so no URL,
-however long, makes the item lattice large. FP-growth over labelled URLs mines
-token combinations; those that imply a verdict with enough support and
-confidence become rules. A rule is filed in an inverted index under its rarest
-token. Distinct token sets look up their tokens there, candidates are verified
-in whole, and the best rule (confidence, support, size, then its tokens) gives
-the verdict. Texts of URLs never meet more than their own candidates.
+A URL becomes the set of all its parts: top-level domain, domain, host, first
+label, every other host label, every path segment (the first two by position as
+well), extension, every query key and the set of keys. Only tokens frequent over
+all labelled URLs can be in a rule. Tokens found in exactly the same labelled
+URLs are one item for FP-growth, so a long URL does not multiply its parts; the
+rules are spelled out for each of the tokens. Those that imply a verdict with
+enough support and confidence become rules, unless a more general rule ranks at
+least as high, since that one decides then. A rule is filed in an inverted index
+under its rarest token. Distinct token sets look up their tokens there,
+candidates are verified in whole, and the best rule (confidence, support, size,
+then its tokens) gives the verdict. Texts of URLs never meet more than their own
+candidates.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path
 and no tokens, and gets the default verdict. Null, repeated ids and repeated
@@ -18,6 +22,8 @@ URLs or mined rules the default verdict holds. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +58,7 @@ def url_tokens(url: Column) -> Column:
     def token(kind: str, value: Column) -> Column:
         return F.when(F.length(value) > 0, F.concat(F.lit(kind + ":"), value))
 
-    found = F.array(
+    found = F.concat(F.array(
         token("tld", F.element_at(labels, -1)),
         token("domain", F.when(F.size(labels) > 1, F.concat_ws(".", F.slice(labels, -2, 2)))),
         token("host", host),
@@ -60,7 +66,10 @@ def url_tokens(url: Column) -> Column:
         token("path1", F.get(parts, F.lit(1))),
         token("path2", F.get(parts, F.lit(2))),
         token("ext", F.regexp_extract(last, r"\.([A-Za-z0-9]+)$", 1)),
-        token("query", F.concat_ws("&", keys)))
+        token("query", F.concat_ws("&", keys))),
+        F.transform(F.slice(labels, 1, F.size(labels) - 1), lambda x: token("part", x)),
+        F.transform(parts, lambda x: token("seg", x)),
+        F.transform(keys, lambda x: token("key", x)))
     return F.when(host != "", F.array_sort(F.array_distinct(F.array_compact(found)))).otherwise(
         F.array().cast("array<string>"))
 
@@ -85,24 +94,59 @@ def mine_rules(labelled: DataFrame, url_col: str = "url", label_col: str = "labe
     out = "key string, items array<string>, verdict string, confidence double, support double"
     label = F.col(label_col).cast("string")
     baskets = labelled.where(label.isNotNull()).select(
-        F.concat(url_tokens(F.col(url_col)), F.array(F.concat(F.lit(VERDICT_ITEM), label))).alias("items"))
+        F.monotonically_increasing_id().alias("row"), url_tokens(F.col(url_col)).alias("tokens"),
+        F.concat(F.lit(VERDICT_ITEM), label).alias("verdict"))
     baskets = staged(baskets, "url-baskets")
-    if baskets.limit(1).count() == 0:
+    total = baskets.count()
+    if total == 0:
         return spark.createDataFrame([], out)
+    least = math.ceil(min_support * total)
+    pairs = baskets.select("row", F.explode("tokens").alias("token"))
+    # The rows that hold a token, as a 128-bit digest that adds up in any order.
+    held = (pairs.groupBy("token").agg(
+        F.count("*").alias("freq"), F.bit_xor(F.xxhash64("row")).alias("h1"),
+        F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("h2")).where(F.col("freq") >= least))
+    classes = staged(held.groupBy("freq", "h1", "h2").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+                     .select(F.element_at("tokens", 1).alias("item"), "freq", "tokens"), "url-items")
+    named = classes.select("item", F.explode("tokens").alias("token"))
+    kept = pairs.join(F.broadcast(named), "token").groupBy("row").agg(F.collect_set("item").alias("items"))
+    # A row without a frequent token still counts.
+    none = F.array().cast("array<string>")
+    items = staged(baskets.select("row", "verdict").join(kept, "row", "left").select(
+        F.concat(F.coalesce("items", none), F.array("verdict")).alias("items")), "url-items-of-rows")
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence,
-                     numPartitions=slots(spark)).fit(baskets)
-    sets = model.freqItemsets
+                     numPartitions=slots(spark)).fit(items)
     rules = (model.associationRules
              .where(F.element_at("consequent", 1).startswith(VERDICT_ITEM))
              .where(~F.exists("antecedent", lambda t: t.startswith(VERDICT_ITEM)))
              .select(F.array_sort("antecedent").alias("items"),
                      F.substring(F.element_at("consequent", 1), len(VERDICT_ITEM) + 1, 1 << 20).alias("verdict"),
                      "confidence", "support"))
-    single = sets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("item"), "freq")
-    rarest = (rules.select("*", F.explode("items").alias("item")).join(single, "item")
-              .groupBy("items", "verdict", "confidence", "support")
-              .agg(F.min(F.struct("freq", "item"))["item"].alias("key")))
-    return staged(rarest.select("key", "items", "verdict", "confidence", "support"), "url-rules")
+    rules = leading(staged(rules, "url-all-rules"))
+    # Back to tokens: one rule per choice of a token for each item.
+    member = rules.select("*", F.explode("items").alias("item")).join(classes, "item")
+    spelled = (member.groupBy("items", "verdict", "confidence", "support")
+               .agg(F.sort_array(F.collect_list(F.struct("freq", "item", "tokens"))).alias("of")))
+    choices = F.aggregate(
+        F.col("of"), F.array(F.array().cast("array<string>")),
+        lambda acc, c: F.flatten(F.transform(acc, lambda head: F.transform(
+            c["tokens"], lambda t: F.concat(head, F.array(t))))))
+    rarest = spelled.select(F.explode(choices).alias("picked"), "verdict", "confidence", "support")
+    return staged(rarest.select(F.element_at("picked", 1).alias("key"), F.array_sort("picked").alias("items"),
+                                "verdict", "confidence", "support"), "url-rules")
+
+
+def leading(rules: DataFrame) -> DataFrame:
+    """``rules`` without those that a rule with one item less outranks or
+    equals: whatever they fit, that one fits and decides."""
+    wide = rules.where(F.size("items") > 1)
+    fewer = (wide.select("*", F.explode("items").alias("out"))
+             .withColumn("items0", F.array_except("items", F.array("out"))))
+    general = rules.groupBy("items").agg(F.max(F.struct("confidence", "support")).alias("rank")).select(
+        F.col("items").alias("items0"), "rank")
+    beaten = (fewer.join(general, "items0").where(F.col("rank") >= F.struct("confidence", "support"))
+              .select("items", "verdict").distinct())
+    return rules.join(beaten, ["items", "verdict"], "left_anti")
 
 
 def judge_mined(pages: DataFrame, rules: DataFrame, url_col: str, out_col: str,

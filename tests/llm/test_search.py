@@ -122,6 +122,22 @@ def test_mined_rules_against_counting(llm):
     assert all(r.out == "block" for r in got if "spam" in r.url)
 
 
+def test_every_part_of_a_url_is_mined(llm):
+    """A host label, a late path segment or one query key among several decides,
+    wherever it stands; a long URL does not multiply the rules."""
+    good = [(f"http://www.site{i}.com/a/b/c{i}/d?k{i}=1&page=2", "allow") for i in range(40)]
+    bad = ([(f"http://{'www.' * (i % 2)}casino-win.x.com/a/{i}", "block") for i in range(10)]
+           + [(f"http://www.site{i}.com/a/b/c{i}/deep/malware/{i}", "block") for i in range(10)]
+           + [(f"http://www.site{i}.com/a/b?k{i}=1&track=3&z{i}=2", "block") for i in range(10)]
+           + [("http://long.net/" + "/".join(f"s{i}" for i in range(300)), "block")])
+    df = llm.createDataFrame(good + bad, "url string, label string")
+    mined = url_rules.mine_rules(df, min_support=0.01, min_confidence=0.8)
+    asked = {"http://m.casino-win.x.com/en/1": "block", "http://q.org/1/2/3/4/malware": "block",
+             "http://q.org/?a=1&track=1&b=2": "block", "http://other.net/s250": "block", "http://q.org/": "allow"}
+    got = url_rules.judge_mined(llm.createDataFrame([(u,) for u in asked], "url string"), mined, "url", "out")
+    assert {r.url: r.out for r in got.collect()} == asked
+
+
 def test_no_labels_and_no_pages(llm):
     df = llm.createDataFrame([("http://a.net/x", None)], "url string, label string")
     mined = url_rules.mine_rules(df)
