@@ -63,7 +63,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Packs what is left into sequences of at most 2048 tokens."""
     import public_tokenizers
     prepare(spark)
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
 
 
 STAGES = [

@@ -38,8 +38,9 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, piece, start, length, ids) of every whole text."""
+                 id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> DataFrame:
+    """(doc_id, piece, start, length, ids) of every whole text.
+    ``added_tokens``: see ``pieces``."""
     end = struct.pack("<I", end_id)
     width = 4 * capacity
 
@@ -49,7 +50,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                                           names=["doc_id", "piece", "start", "length", "ids"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, added_tokens)
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             out: list[tuple] = []
@@ -184,9 +185,10 @@ def sequences(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return packed.groupBy("sequence_id").agg(joined.alias("ids"))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0,
+                   added_tokens: bool = False) -> DataFrame:
     """Digest of the packing: the ids' checksum in place of the ids."""
-    pieces = token_pieces(docs, tokenizer, capacity, end_id)
+    pieces = token_pieces(docs, tokenizer, capacity, end_id, added_tokens=added_tokens)
     rows = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return pack(staged(rows, "pieces"), capacity)
 
@@ -196,4 +198,4 @@ def op5_packing(spark, sf_dir: str) -> DataFrame:
     from kasir.llm.common import prepare, table
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)

@@ -8,6 +8,11 @@ there can be encoded piece by piece. A piece that holds only Latin letters,
 ASCII punctuation and single line ends falls into its matches at sight, and the
 library's BPE model encodes each; any other piece goes through the library's
 whole encoder. Pieces recur, so their ids are remembered.
+
+A text may hold the literal of an added token, such as ``<|endoftext|>``. With
+``added_tokens`` it gives that token's id, as the library's plain ``encode``
+does: the text is cut there first, since the library encodes what stands between
+two added tokens on its own. Otherwise it is ordinary text.
 """
 
 from __future__ import annotations
@@ -39,7 +44,7 @@ CACHE_MATCHES = 900_000
 # Pieces longer than this are not remembered, so memory stays bounded.
 CACHED_CHARS = 64
 
-_encoders: dict[str, "PieceEncoder"] = {}
+_encoders: dict[tuple[str, bool], "PieceEncoder"] = {}
 
 
 def split_pieces(text: str) -> list[str]:
@@ -67,11 +72,19 @@ class PieceEncoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str, cache_pieces: int = CACHE_PIECES,
-                 cache_matches: int = CACHE_MATCHES):
+                 cache_matches: int = CACHE_MATCHES, added_tokens: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
+        # Pieces hold no literal that counts: those are cut out before.
         self.lib.encode_special_tokens = True
+        added = self.lib.get_added_tokens_decoder() if added_tokens else {}
+        if any(t.single_word or t.lstrip or t.rstrip for t in added.values()):
+            raise ValueError(f"added tokens of {path} depend on the text around them")
+        self.added = {t.content: struct.pack("<I", i) for i, t in added.items()}
+        # Of two that start at one place the longer one counts.
+        longest = sorted(self.added, key=len, reverse=True)
+        self.literals = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.model = self.lib.model
         self.size, self.match_size = cache_pieces, cache_matches
         self.new: dict[str, bytes] = {}
@@ -117,6 +130,12 @@ class PieceEncoder:
         return ids
 
     def encode(self, text: str) -> bytes:
+        if self.literals is None or not self.literals.search(text):
+            return self._encode_plain(text)
+        return b"".join([self.added.get(part) or self._encode_plain(part)
+                         for part in self.literals.split(text) if part])
+
+    def _encode_plain(self, text: str) -> bytes:
         pieces = split_pieces(text)
         found = list(map(self.new.get, pieces))
         if None in found:
@@ -131,8 +150,9 @@ class PieceEncoder:
         return [self.encode(t) for t in texts]
 
 
-def encoder(path: str) -> PieceEncoder:
-    """One encoder per Python worker and vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+def encoder(path: str, added_tokens: bool = False) -> PieceEncoder:
+    """One encoder per Python worker, vocabulary file and way with literals."""
+    key = (path, added_tokens)
+    if key not in _encoders:
+        _encoders[key] = PieceEncoder(path, added_tokens=added_tokens)
+    return _encoders[key]

@@ -143,8 +143,10 @@ class open_part:
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0, folder: str | None = None,
-                 id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
-    """Encode and write ``docs``; the manifest of the files, in id order."""
+                 id_col: str = "doc_id", text_col: str = "text", parts: int | None = None,
+                 added_tokens: bool = False) -> DataFrame:
+    """Encode and write ``docs``; the manifest of the files, in id order.
+    ``added_tokens``: see ``pieces``."""
     spark = docs.sparkSession
     folder = folder or shared_path(spark, "tokens")
     end = struct.pack("<I", end_id)
@@ -157,7 +159,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0, folder: str |
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
         path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.zst"
-        enc, out = encoder(tokenizer), None
+        enc, out = encoder(tokenizer, added_tokens), None
         for b in batches:
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             out = out or (PartWriter(path) if ids else None)
@@ -231,7 +233,7 @@ def op1_token_files(spark, sf_dir: str) -> DataFrame:
     from kasir.llm.common import prepare, table
     prepare(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    manifest = write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    manifest = write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
     entries = read_tokens(manifest)
     return entries.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                           F.crc32("ids").alias("ids_crc32"))

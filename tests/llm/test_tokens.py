@@ -195,6 +195,31 @@ def test_tree_over_a_table(llm, docs, tiktoken_encode):
     assert again.columns.count("ids") == 1
 
 
+def test_literals_of_added_tokens_as_in_the_plain_library(llm, tmp_path):
+    """The queries follow encode(text, add_special_tokens=False) of an
+    unmodified tokenizer, also where a text holds an added token's literal."""
+    plain = Tokenizer.from_file(JSON)
+    ids = lambda s: plain.encode(s, add_special_tokens=False).ids
+    assert ids("a <|endoftext|> b") == [64, 220, 50256, 275]
+    texts = random_texts(2000, seed=9) + ["<|endoftext|>" * 3, "a <|endoftext|> b", " <|endoftext|>", "<|endoftext|"]
+    got = pieces.PieceEncoder(JSON, cache_pieces=500, cache_matches=300, added_tokens=True).encode_all(texts)
+    assert got == [le(ids(t)) for t in texts]
+    rows = list(enumerate(texts[-300:]))
+    df = llm.createDataFrame(rows, "doc_id bigint, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    at, want = 0, []
+    for i, t in rows:
+        data = ids(t) + [0]
+        want.append((i, at, len(data), zlib.crc32(le(data))))
+        at += len(data)
+    assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32)
+                  for r in token_store.op1_token_files(llm, str(tmp_path)).collect()) == want
+    import corpus_pipeline
+    for packed in (packing.op5_packing(llm, str(tmp_path)), corpus_pipeline.packing_stage(llm, df, str(tmp_path))):
+        assert sorted((r.doc_id, r.length, r.ids_crc32) for r in packed.collect()) == [
+            (i, n, crc) for i, _, n, crc in want]
+
+
 def test_queries_against_the_libraries(llm, lib, tiktoken_encode):
     import hashlib
 
