@@ -8,7 +8,10 @@ read back for the next. All but the last return the columns of ``documents``.
 Defined results: see the operators; a null or empty text has no letter and goes
 in the first stage. Rows repeated with the same id and text count as one
 document once near duplicates are removed; rows with one id and different texts
-are versions of one document and stay or go with their own components.
+are versions of one document and stay or go with their own components. Of each
+component of near duplicates exactly one row stays, also where ids are null or
+repeat: the smallest by id (null last), shingle set digest and text digest. A
+text without words is a component of its own.
 """
 
 from __future__ import annotations
@@ -17,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kasir.llm import language, quality
-from kasir.llm.common import prepare, staged, table
+from kasir.llm.common import prepare, staged, table, text_or_empty
 from kasir.llm.line_dedup import dedup_lines
-from kasir.llm.ngram_join import ngram_components
+from kasir.llm.ngram_join import ngram_components, text_digest
 from kasir.llm.packing import pack_documents
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -51,11 +54,16 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each near-duplicate component."""
+    """Keeps one row, of the smallest id, of each near-duplicate component."""
     prepare(spark)
-    rows = ngram_components(docs)
-    stay = rows.where(F.col("doc").eqNullSafe(F.col("component"))).select("doc").distinct()
-    kept = docs.select(*COLUMNS).join(stay, F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi")
+    rows = ngram_components(docs, with_rows=True)
+    row = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "c", "t1", "t2")
+    first = (rows.where("n > 0").groupBy("part").agg(F.min(row).alias("row"))
+             .select("row.doc", "row.t1", "row.t2"))
+    stay = first.unionByName(rows.where("n = 0").select("doc", "t1", "t2"))
+    t1, t2 = text_digest(text_or_empty("text"))
+    kept = docs.select(*COLUMNS).join(
+        stay, F.col("doc_id").eqNullSafe(F.col("doc")) & (t1 == F.col("t1")) & (t2 == F.col("t2")), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"])
 
 

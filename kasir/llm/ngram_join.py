@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -106,9 +106,16 @@ def ordered_prefix(u: np.ndarray, sketch: np.ndarray, percent: int) -> tuple[np.
     return u[:p], 0
 
 
-def marks_of(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+def text_digest(text: Column) -> list[Column]:
+    """t1, t2: a 128-bit digest that tells rows with one id, or none, apart."""
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
+
+
+def marks_of(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int,
+             with_rows: bool = False) -> DataFrame:
     """(doc, n, c, g, common, prefix) per row: set size, set digest, prefix
-    digest, common shingles at the prefix's end, prefix."""
+    digest, common shingles at the prefix's end, prefix. ``with_rows`` adds
+    the text's digest (t1, t2)."""
     import xxhash
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(common_shingles(docs, text_col, words))
@@ -127,12 +134,14 @@ def marks_of(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
                 k.append(many)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(c, pa.binary()), pa.array(g, pa.int64()),
-                 pa.array(k, pa.int32()), pa.array(pre, pa.binary())],
-                names=["doc", "n", "c", "g", "common", "prefix"])
+                 pa.array(k, pa.int32()), pa.array(pre, pa.binary()), *b.columns[2:]],
+                names=["doc", "n", "c", "g", "common", "prefix", *b.schema.names[2:]])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), text_or_empty(text_col).alias("text"))
-    return staged(rows.mapInArrow(mark, "doc bigint, n bigint, c binary, g bigint, common int, prefix binary"),
-                  "shingle-marks")
+    text = text_or_empty(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), text.alias("text"),
+                       *(text_digest(text) if with_rows else []))
+    out = "doc bigint, n bigint, c binary, g bigint, common int, prefix binary"
+    return staged(rows.mapInArrow(mark, out + (", t1 bigint, t2 bigint" if with_rows else "")), "shingle-marks")
 
 
 def postings_of(marks: DataFrame) -> DataFrame:
@@ -247,9 +256,12 @@ def enough_shared(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc, n, c, component) per row of ``docs``."""
-    marks = marks_of(docs, id_col, text_col, words, percent)
+                     words: int = WORDS, percent: int = PERCENT, with_rows: bool = False) -> DataFrame:
+    """(doc, n, c, component) per row of ``docs``. ``with_rows`` adds ``part``,
+    which names the component also where it has no id (null for a wordless
+    text, a component of its own), and the text's digest (t1, t2)."""
+    marks = marks_of(docs, id_col, text_col, words, percent, with_rows)
+    more_cols = ("part", "t1", "t2") if with_rows else ()
     classes = staged(marks.where("n > 0").groupBy("c").agg(
         F.min("doc").alias("doc"), F.max("n").alias("n"), F.max("g").alias("g")), "classes")
     leads = staged(classes.groupBy("n", "g").agg(F.min("c").alias("lead"), F.count("*").alias("members")),
@@ -335,10 +347,11 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     final = (placed.join(merged, placed["part"] == merged["node"], "left")
              .select("c", "doc", F.coalesce("label", "part").alias("part")))
     ids = final.groupBy("part").agg(F.min("doc").alias("component"))
-    by_class = staged(final.join(ids, "part").select("c", "component"), "components")
-    rows = marks.select("doc", "n", "c")
+    by_class = staged(final.join(ids, "part").select("c", "component", *more_cols[:1]), "components")
+    rows = marks.select("doc", "n", "c", *more_cols[1:])
     return rows.join(by_class, "c", "left").select(
-        "doc", "n", "c", F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component")).alias("component"))
+        "doc", "n", "c", F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component")).alias("component"),
+        *more_cols)
 
 
 def op9_ngram_join(spark, sf_dir: str) -> DataFrame:

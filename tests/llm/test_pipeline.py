@@ -78,6 +78,23 @@ def test_awkward_documents(llm, name, docs):
     assert STAGES[name](llm, given.limit(0), SF_SMALL).count() == 0
 
 
+def test_one_row_of_each_component_stays(llm):
+    """Null and repeated ids: rows are chosen one by one, not by id."""
+    say = lambda name, n=60: " ".join(f"{name}{i}" for i in range(n))
+    given = [(None, say("a")), (None, say("a") + " end"), (None, say("a").upper()),     # a group without ids
+             (None, say("b")), (3, say("b") + " end"),                  # null beside an id
+             (5, say("c")), (5, say("d") + " end"), (4, say("d")),      # one id on two texts
+             (6, say("e")), (6, say("e").upper()), (6, say("e")),       # one id, one set, two texts
+             (None, say("f")), (None, say("f"))]
+    df = llm.createDataFrame([(i, t, "en", "s", len(t)) for i, t in given],
+                             "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = rows(cp.near_duplicate_stage(llm, df.repartition(4), SF_SMALL))
+    group = lambda t: t[0].lower()
+    assert sorted(group(t) for _, t in got) == ["a", "b", "c", "d", "e", "f"]
+    assert {group(t): i for i, t in got} == {"a": None, "b": 3, "c": 5, "d": 4, "e": 6, "f": None}
+    assert set(got) <= set(given)
+
+
 def test_registered_beside_the_other_queries():
     entry = importlib.import_module("__spark_entry__")
     names = list(entry.queries())
