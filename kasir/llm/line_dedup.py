@@ -11,16 +11,17 @@ Key digests are dealt out by range and sorted by key, document and position
 inside each range (secondary sort), so first occurrences are read off as a
 stream. A key may sit in a third of all documents, so this happens twice: first
 under (key, salt), the salt being one of as many values as there are shuffle
-partitions, picked by document; only the first document of each (key, salt)
+partitions, picked by document and text; only the first document of each (key, salt)
 goes on to the second pass, where a key has at most one row per salt and
 document line. The result is one compressed bitmap per document with a dropped
 line: the runs of kept lines. Texts take no part until ``apply_bitmaps``.
 
 Defined results: a null or empty text is one empty line, which always stays. A
-null id sorts after all others and is a document of its own. Rows repeated with
-the same id and text are one document and all get its bitmap; rows with one id
-and different texts are told apart by a text fingerprint, and share the id's
-place in the order. Extra columns pass through. An empty table gives no rows.
+null id sorts after all others; each text without an id is a document of its own,
+and those are ordered by a text fingerprint. Rows repeated with the same id and
+text are one document and all get its bitmap; rows with one id and different
+texts are versions of one document, told apart by the fingerprint: they share
+the id's place in the order and keep a line that only they hold. Extra columns pass through. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -59,14 +60,17 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(doc, fp, pos) of every line whose key an earlier document holds."""
     n = slots(docs.sparkSession)
     rows = line_digests(docs, id_col, text_col, min_chars)
-    rows = rows.withColumn("salt", F.pmod(F.hash("doc"), F.lit(n)))
+    rows = rows.withColumn("salt", F.pmod(F.hash("doc", "fp"), F.lit(n)))
 
     def firsts(df: DataFrame, *key: str) -> DataFrame:
         order = (F.col("doc").asc_nulls_last(), F.col("fp"), F.col("pos"))
         w = (Window.partitionBy(*key).orderBy(*order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         dealt = df.repartitionByRange(n, *key)
-        return dealt.withColumn("later", ~F.first("doc").over(w).eqNullSafe(F.col("doc")))
+        # Without an id the text is the document.
+        same = F.first("doc").over(w).eqNullSafe(F.col("doc")) & (
+            F.col("doc").isNotNull() | (F.first("fp").over(w) == F.col("fp")))
+        return dealt.withColumn("later", ~same)
 
     local = firsts(rows, "k1", "k2", "salt")
     rest = local.where(~F.col("later")).drop("later", "salt")

@@ -69,6 +69,19 @@ def test_lines_in_random_documents(llm):
     assert by_id([(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got.collect()]) == by_id(dedup_lines(rows))
 
 
+def test_texts_without_an_id_are_documents_of_their_own(llm):
+    rows = ([(None, f"one line of many texts\nown line number {i}") for i in range(40)]
+            + [(None, "one line of many texts\nown line number 7")]
+            + [(None, "a line with an id too\nx"), (5, "a line with an id too"), (5, "a line with an id too\nb")])
+    got = [(r.doc_id, r.text) for r in
+           line_dedup.dedup_lines(llm.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()]
+    assert len(got) == len(rows)
+    assert len({t for _, t in got if t.startswith("one line")}) == 1
+    assert {t.split("\n")[-1] for _, t in got if "own line" in t} == {f"own line number {i}" for i in range(40)}
+    assert sorted(t for i, t in got if i == 5) == ["a line with an id too", "a line with an id too\nb"]
+    assert (None, "x") in got
+
+
 def test_bitmap_is_the_runs_of_kept_lines(llm):
     rows = [(1, "line number one\nline number two"), (2, "a\nline number one\nb\nline number two\nc")]
     got = line_dedup.keep_bitmaps(llm.createDataFrame(rows, "doc_id bigint, text string")).collect()
