@@ -6,6 +6,7 @@ from kasir.llm.bpe_tree import op7_bpe_tree
 from kasir.llm.exact_dedup import OP10_SQL, op10_exact_dedup
 from kasir.llm.language import op6_language
 from kasir.llm.line_dedup import OP3_SQL, op3_line_dedup
+from kasir.llm.merkle import OP11_SQL, op11_merkle_manifest
 from kasir.llm.ngram_join import OP9_SQL, op9_ngram_join
 from kasir.llm.packing import op5_packing
 from kasir.llm.quality import op2_quality
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLES = {
@@ -31,4 +33,5 @@ ORACLES = {
     "op4_top_k": OP4_SQL,
     "op9_ngram_join": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,
+    "op11_merkle_manifest": OP11_SQL,
 }
