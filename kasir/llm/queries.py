@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from kasir.llm.bpe_tree import op7_bpe_tree
+from kasir.llm.centroids import OP12_SQL, op12_centroids
 from kasir.llm.exact_dedup import OP10_SQL, op10_exact_dedup
+from kasir.llm.graph_index import op13_graph_neighbours
 from kasir.llm.language import op6_language
 from kasir.llm.line_dedup import OP3_SQL, op3_line_dedup
 from kasir.llm.merkle import OP11_SQL, op11_merkle_manifest
@@ -26,6 +28,8 @@ QUERIES = {
     "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_centroids": op12_centroids,
+    "op13_graph_neighbours": op13_graph_neighbours,
 }
 
 ORACLES = {
@@ -34,4 +38,5 @@ ORACLES = {
     "op9_ngram_join": OP9_SQL,
     "op10_exact_dedup": OP10_SQL,
     "op11_merkle_manifest": OP11_SQL,
+    "op12_centroids": OP12_SQL,
 }
