@@ -108,6 +108,12 @@ class Config:
     # the published daily marts; the two must agree for later jobs to skip
     # the shuffle. None = spark.sql.shuffle.partitions.
     store_partitions: int | None = None
+    # Joins of the raw feeds to their dimensions: None = by the planner's
+    # sizes; a number of bytes = measured, broadcast up to it, and beyond it
+    # with heavy hitters split.
+    split_dimensions_above: int | None = None
+    # Previous values over ranges, for series too long for one task.
+    ranged_previous: bool = False
 
     def with_(self, **kw) -> "Config":
         for k in ("cohort_open_from", "same_year_from", "legacy_menu_until", "as_of"):

@@ -39,14 +39,25 @@ def _c(c: str | Column) -> Column:
     return F.col(f"`{c}`") if isinstance(c, str) else c
 
 
+def is_bad_number(c: str | Column) -> Column:
+    """A non-empty cell that is not a number (never NULL)."""
+    raw = F.nullif(_c(c), F.lit(""))
+    # The cast alone also takes type suffixes such as 1.5d or 2f.
+    return F.coalesce(raw.isNotNull() & (raw.try_cast("double").isNull() | ~raw.rlike(NUMBER_RE)), F.lit(False))
+
+
+def lenient_double(c: str | Column) -> Column:
+    """Parse as double; a bad cell and NaN are NULL."""
+    x = F.nullif(_c(c), F.lit("")).try_cast("double")
+    return F.when(~is_bad_number(c) & ~F.isnan(x), x)
+
+
 def strict_double(c: str | Column, name: str = "value") -> Column:
     """Parse as double; a non-empty cell that does not parse fails the job.
     NaN is treated as missing."""
     raw = F.nullif(_c(c), F.lit(""))
     x = raw.try_cast("double")
-    # The cast alone also takes type suffixes such as 1.5d or 2f.
-    checked = F.when(raw.isNotNull() & (x.isNull() | ~raw.rlike(NUMBER_RE)),
-                     F.raise_error(F.concat(F.lit(f"column {name!r}: not a number: "), raw))
+    checked = F.when(is_bad_number(c), F.raise_error(F.concat(F.lit(f"column {name!r}: not a number: "), raw))
                      .cast("double")).otherwise(x)
     return F.when(F.isnan(checked), F.lit(None).cast("double")).otherwise(checked)
 
@@ -57,6 +68,41 @@ def lenient_date(c: str | Column, formats: Sequence[str] = DATE_FORMATS) -> Colu
     return F.to_date(F.coalesce(*parsed))
 
 
+# The layouts one of which a whole column follows, and the shape of
+# a cell by which the first one is recognised. A first number above 12 cannot be
+# a month, so it is the day.
+_D, _T = r"\d{1,2}", r"\d{1,2}:\d{2}"
+_DAY_FIRST = r"(?:1[3-9]|[23]\d)"
+COLUMN_LAYOUTS: tuple[tuple[str, str], ...] = tuple(
+    (f"^{date}{clock}$", f"{layout}{shown}")
+    for date, layout in ((r"\d{4}-\d{1,2}-\d{1,2}", "yyyy-M-d"), (r"\d{4}/\d{1,2}/\d{1,2}", "yyyy/M/d"),
+                         (rf"{_DAY_FIRST}/{_D}/\d{{4}}", "d/M/yyyy"), (rf"{_D}/{_D}/\d{{4}}", "M/d/yyyy"),
+                         (rf"{_DAY_FIRST}-{_D}-\d{{4}}", "d-M-yyyy"), (rf"{_D}-{_D}-\d{{4}}", "M-d-yyyy"),
+                         (rf"{_D}-[A-Za-z]{{3}}-\d{{4}}", "d-MMM-yyyy"), (rf"{_D} [A-Za-z]{{3}} \d{{4}}", "d MMM yyyy"),
+                         (r"\d{8}", "yyyyMMdd"))
+    for clock, shown in (("", ""), (rf" {_T}:\d{{2}}", " H:mm:ss"), (rf" {_T}", " H:mm"),
+                         (rf"T{_T}:\d{{2}}", "'T'H:mm:ss")))
+
+
+def guessed_layout(c: str | Column) -> Column:
+    """The layout that a cell shows, NULL when it is none of them."""
+    s = _c(c)
+    out = F.lit(None).cast("string")
+    for shape, layout in reversed(COLUMN_LAYOUTS):
+        out = F.when(s.rlike(shape) & F.try_to_timestamp(s, F.lit(layout)).isNotNull(), F.lit(layout)).otherwise(out)
+    return out
+
+
+def layout_date(c: str | Column, layout: str | Column) -> Column:
+    """Date of a cell that follows ``layout``; any other cell is NULL. Without
+    a layout each cell is parsed by itself."""
+    s, fmt = _c(c), _c(layout)
+    follows = F.coalesce(*[F.when(fmt == F.lit(y), s.rlike(shape.replace(_DAY_FIRST, _D)))
+                           for shape, y in COLUMN_LAYOUTS])
+    return F.when(fmt.isNull(), lenient_date(c)).otherwise(
+        F.when(follows, F.to_date(F.try_to_timestamp(s, fmt))))
+
+
 def lenient_time(c: str | Column) -> Column:
     return F.date_format(F.try_to_timestamp(F.trim(_c(c)), F.lit("H:m:s")), "HH:mm:ss")
 
@@ -65,6 +111,66 @@ def lenient_timestamp(c: str | Column) -> Column:
     return _c(c).try_cast("timestamp_ntz")
 
 
+# Units of a duration and their nanoseconds. Case is folded, but a
+# single M is a month, which has no fixed length.
+UNITS: tuple[tuple[str, int], ...] = (
+    ("nanoseconds|nanosecond|nanos|nano|ns|n", 1),
+    ("microseconds|microsecond|micros|micro|us|\u00b5s|u", 1_000),
+    ("milliseconds|millisecond|millis|milli|ms|l", 1_000_000),
+    ("seconds|second|sec|s", NS_PER_SEC),
+    ("minutes|minute|min|m|t", 60 * NS_PER_SEC),
+    ("hours|hour|hr|h", 3600 * NS_PER_SEC),
+    ("days|day|d", NS_PER_DAY),
+    ("w", 7 * NS_PER_DAY),
+)
+_UNIT = "|".join(u for u, _ in UNITS)
+UNIT_TOKEN = rf"([+-]?)\s*(\d+(?:\.\d*)?)\s*(?!M(?![A-Za-z]))((?i:{_UNIT}))(?![A-Za-z\u00b5])"
+UNITS_RE = rf"^\s*(?:{UNIT_TOKEN}\s*)+$"
+# P, days, T and parts of a day.
+ISO_RE = r"^(-?)P(?:(\d+)W)?(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)(?:\.(\d{1,9}))?S)?)?$"
+
+
+def _times(number: Column, unit: int) -> Column:
+    """A decimal text times nanoseconds, cut to whole ones; NULL out of range."""
+    x = F.try_multiply(number.try_cast("decimal(28,9)"), F.lit(unit).cast("decimal(18,0)"))
+    return F.when(F.abs(x) < F.lit(2 ** 63 - 1), x).try_cast("long")
+
+
+def unit_nanos(s: Column) -> Column:
+    """``5 min``, ``2h30m``, ``1.5 hours``: the sum of number-and-unit tokens. A
+    minus sign holds for all that follows; commas count for nothing."""
+    s = F.replace(s, F.lit(","), F.lit(""))
+    signs, numbers, units = (F.regexp_extract_all(s, F.lit(UNIT_TOKEN), F.lit(i)) for i in (1, 2, 3))
+
+    def one(i: Column) -> Column:
+        n, u = F.get(numbers, i), F.lower(F.get(units, i))
+        out = F.lit(None).cast("long")
+        for names, ns in UNITS:
+            out = F.when(u.isin(names.split("|")), _times(n, ns)).otherwise(out)
+        return out
+
+    tokens = F.transform(F.sequence(F.lit(0), F.size(units) - 1), one)
+    total = F.aggregate(tokens, F.lit(0).cast("long"), F.try_add)
+    # Only the first token may carry a sign.
+    later = F.exists(F.slice(signs, 2, F.size(signs)), lambda x: x != F.lit(""))
+    return F.when(s.rlike(UNITS_RE) & ~later, F.when(F.get(signs, F.lit(0)) == F.lit("-"), -total).otherwise(total))
+
+
+def iso_nanos(s: Column) -> Column:
+    """``P1DT2H``, ``PT5M``, ``PT1.5S``."""
+    def g(i: int) -> Column:
+        return F.nullif(F.regexp_extract(s, ISO_RE, i), F.lit(""))
+
+    parts = [F.when(g(i).isNull(), F.lit(0).cast("long")).otherwise(
+        F.try_multiply(g(i).try_cast("long"), F.lit(unit).cast("long")))
+        for i, unit in ((2, 7 * NS_PER_DAY), (3, NS_PER_DAY), (4, 3600 * NS_PER_SEC), (5, 60 * NS_PER_SEC), (6, NS_PER_SEC))]
+    total = F.coalesce(F.rpad(g(7), 9, "0").try_cast("long"), F.lit(0).cast("long"))
+    for p in parts:
+        total = F.try_add(total, p)
+    given = F.coalesce(*[g(i) for i in range(2, 7)]).isNotNull()
+    return F.when(s.rlike(ISO_RE) & given, F.when(F.regexp_extract(s, ISO_RE, 1) == F.lit("-"), -total).otherwise(total))
+
+
 def duration_nanos(c: str | Column) -> Column:
     """Signed nanoseconds of a duration string, NULL when it does not parse.
     One regex pass rewrites a match into '|'-separated groups."""
@@ -88,7 +194,7 @@ def duration_nanos(c: str | Column) -> Column:
     bare = F.regexp_extract(s, BARE_INT_RE, 1)
     return (F.when(s.rlike(DURATION_RE) & (has_days | has_time), signed)
             .when(bare != F.lit(""), bare.try_cast("long"))
-            .otherwise(F.lit(None).cast("long")))
+            .otherwise(F.coalesce(iso_nanos(s), unit_nanos(s))))
 
 
 def clock_text(nanos: Column) -> Column:

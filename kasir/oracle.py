@@ -699,3 +699,72 @@ SELECT "No", "Bill Number", TRY_CAST("Sales Date In" AS TIMESTAMP) AS "Sales Dat
   {_duration('Kitchen Process')} AS "Kitchen Process", {_duration('Checker Process')} AS "Checker Process",
   {_duration('Total Process')} AS "Total Process", "Kitchen Qty", "Checker Qty", Branch
 FROM fx_service_export""", ("fx_service_export",))
+
+# --- mechanisms for scale -------------------------------------------------------------
+
+cte("chk_skew_join", f"""
+SELECT Date, RESTO, Order_Type, COUNT(DISTINCT bill) AS total_tc, CAST(SUM(net) AS {NET}) AS total_sales_net
+FROM (SELECT CAST(l_shipdate AS DATE) AS Date, s.NEW_CODE_STORE AS RESTO,
+        {_map(_label("(l_orderkey + l_linenumber)", fx.VISIT_PURPOSES), VISIT_CHANNELS, UNKNOWN)} AS Order_Type,
+        CAST(l_orderkey AS VARCHAR) AS bill, {_money4("l_extendedprice", "l_orderkey")} AS net
+      FROM lineitem LEFT JOIN fx_store s ON s.CODE_GIS =
+        CASE WHEN l_orderkey % 3 = 0 THEN '1' WHEN l_orderkey % 10 = 1 THEN NULL ELSE CAST(l_suppkey AS VARCHAR) END) x
+GROUP BY 1, 2, 3""", ("fx_store",))
+
+cte("chk_previous_by_ranges", f"""
+SELECT Date, RESTO, Order_Type, total_tc, LAG(total_tc) OVER w AS previous_tc,
+  LAG(total_sales_net) OVER w AS previous_sales_net
+FROM (SELECT Date, CASE WHEN total_tc % 2 = 0 THEN RESTO END AS RESTO, Order_Type, total_tc, total_sales_net
+      FROM combined) x
+WINDOW w AS (PARTITION BY RESTO, Order_Type ORDER BY {_lagorder('Date', ['total_sales_net', 'total_tc'])})""",
+    ("combined",))
+
+# Three lines stand above an export's first row; no cell of it holds a line break.
+_FILE = "PARTITION BY l_suppkey, l_orderkey % 2"
+_FILE_ORDER = "l_orderkey, l_linenumber, l_partkey, l_shipdate, l_extendedprice, l_discount"
+cte("chk_bad_cells", f"""
+SELECT branch, part, line, "column", "value", n_in_file FROM (
+  SELECT *, row_number() OVER (PARTITION BY branch, part ORDER BY line, "column") AS nth,
+         COUNT(*) OVER (PARTITION BY branch, part) AS n_in_file
+  FROM (
+    SELECT branch, part, line, 'Qty' AS "column", 'x' || CAST(l_linenumber AS VARCHAR) AS "value"
+    FROM numbered WHERE l_orderkey % 31 = 0
+    UNION ALL
+    SELECT branch, part, line, 'Tax Total', '1,5 "n.a."' FROM numbered WHERE l_orderkey % 37 = 0) cells) x
+WHERE nth <= 20""", ("numbered",))
+cte("numbered", f"""
+SELECT l_suppkey AS branch, l_orderkey % 2 AS part, l_orderkey, l_linenumber,
+  3 + row_number() OVER ({_FILE} ORDER BY {_FILE_ORDER}) AS line
+FROM lineitem""")
+
+cte("chk_batch_shape", "SELECT COUNT(*) AS n_rows, CAST(9 AS BIGINT) AS n_columns, CAST(SUM(m) AS BIGINT) AS n_missing, "
+    "MAX(m) > 0 AS has_missing FROM (SELECT "
+    + " + ".join(f'CASE WHEN "{c}" IS NULL THEN 1 ELSE 0 END' for c in _REPORT_COLS)
+    + " AS m FROM chk_typed_report) x", ("chk_typed_report",))
+
+_STYLE = """CASE WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 5 = 0 THEN 3 ELSE l_suppkey % 3 END"""
+cte("chk_column_dates", f"""
+SELECT "No", Branch, "Menu Name", CASE WHEN style = layout THEN day END AS "Sales Date", Total FROM (
+  SELECT CAST(l_linenumber AS VARCHAR) AS "No", CAST(l_suppkey AS VARCHAR) AS Branch,
+    'MENU ' || CAST(l_partkey % 97 AS VARCHAR) AS "Menu Name", CAST(l_shipdate AS DATE) AS day, {_STYLE} AS style,
+    first_value({_STYLE} IGNORE NULLS) OVER ({_FILE} ORDER BY {_FILE_ORDER}
+      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS layout,
+    CASE WHEN l_orderkey % 29 = 0 THEN NULL ELSE {_m(f"{_P} + {_P} * {_TX}")} END AS Total
+  FROM lineitem) x""")
+
+cte("chk_unit_durations", f"""
+SELECT l_orderkey, l_linenumber, raw_duration,
+  CASE WHEN ms IS NULL THEN NULL ELSE CASE WHEN ms < 0 THEN '+' ELSE '' END
+    || {_p2("tod // 3600000")} || ':' || {_p2("tod // 60000 % 60")} || ':' || {_p2("tod // 1000 % 60")}
+    || CASE WHEN tod % 1000 = 0 THEN '' ELSE '.' || lpad(CAST(tod % 1000 AS VARCHAR), 3, '0') || '000' END END AS clock,
+  CAST(ms AS DOUBLE) / 1000 AS seconds
+FROM (SELECT *, ((ms % 86400000) + 86400000) % 86400000 AS tod FROM (
+  SELECT l_orderkey, l_linenumber,
+    CASE l_orderkey % 9 WHEN 0 THEN n || ' min' WHEN 1 THEN ln || 'h' || n || 'm' WHEN 2 THEN n || '.5 hours'
+      WHEN 3 THEN 'PT' || n || 'M' || ln || 'S' WHEN 4 THEN '-' || n || ' Seconds' WHEN 5 THEN ln || ' days, ' || n || ' ms'
+      WHEN 6 THEN n || ' M' WHEN 7 THEN 'P1DT' || ln || 'H' ELSE n || ' blinks' END AS raw_duration,
+    CAST(CASE l_orderkey % 9 WHEN 0 THEN m * 60000 WHEN 1 THEN l_linenumber * 3600000 + m * 60000
+      WHEN 2 THEN m * 3600000 + 1800000 WHEN 3 THEN m * 60000 + l_linenumber * 1000 WHEN 4 THEN -m * 1000
+      WHEN 5 THEN l_linenumber * 86400000 + m WHEN 7 THEN 86400000 + l_linenumber * 3600000 END AS BIGINT) AS ms
+  FROM (SELECT l_orderkey, l_linenumber, l_partkey % 90 AS m, CAST(l_partkey % 90 AS VARCHAR) AS n,
+          CAST(l_linenumber AS VARCHAR) AS ln FROM lineitem)))""")

@@ -4,18 +4,26 @@ columns and load it into its table, all or nothing.
 Only the named columns are typed; every other column passes through as a
 string. A missing named column fails at analysis time, before any job runs;
 a non-numeric value in a numeric column fails the single write job, whose
-output is committed only when every task succeeds.
+output is committed only when every task succeeds. ``bad_cells`` lists all such
+values first: one pass types the batch, collects the cells that do not parse and
+stages the rows; they are committed only if there is no such cell.
+
+Dates are parsed cell by cell, or, with ``date_layout="column"``, by one layout
+per file and column: the one that the column's first value shows. A cell of
+another layout is then NULL.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kasir.functions import casts
+from kasir.operators.loads import new_load
 from kasir.operators.sinks import write
+from kasir.session import staged
 from kasir.sources.reports import ReportSpec, first_rows, read_report, spec
 
 
@@ -50,6 +58,22 @@ def cast_date(df: DataFrame, cols: Sequence[str], formats: Sequence[str] = casts
     return _retype(df, {c: casts.lenient_date(c, formats) for c in cols})
 
 
+def column_layouts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(_file, _layouts): per file the layout that the first non-NULL value of
+    each column shows, in file order. One row per file."""
+    return df.groupBy("_file").agg(F.array(*[
+        casts.guessed_layout(F.min_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), F.col("_row"))))
+        for c in cols]).alias("_layouts"))
+
+
+def cast_date_by_column(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """IN3 by column: rows with ``_file`` and ``_row`` (see ``read_report``)."""
+    _require(df, cols, "date")
+    at = df.join(column_layouts(df, cols), "_file", "left")
+    return _retype(at, {c: casts.layout_date(c, F.get("_layouts", F.lit(i))) for i, c in enumerate(cols)}) \
+        .select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def cast_time(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """IN4: lenient H:M:S time of day, kept as 'HH:mm:ss' text."""
     _require(df, cols, "time")
@@ -77,32 +101,32 @@ def clean_durations(df: DataFrame, cols: Sequence[str], seconds: bool = False) -
     return _retype(df, out).drop(*tmp.values())
 
 
-def cleanse(df: DataFrame, kind: str | ReportSpec,
-            formats: Sequence[str] = casts.DATE_FORMATS) -> DataFrame:
+DATE_LAYOUTS = ("cell", "column")
+
+
+def cleanse(df: DataFrame, kind: str | ReportSpec, formats: Sequence[str] = casts.DATE_FORMATS,
+            date_layout: str = "cell", strict: bool = True) -> DataFrame:
     """Type one report kind; unnamed columns pass through as strings.
-    ``formats`` are the date layouts tried after ISO."""
+    ``formats`` are the date layouts tried after ISO. With ``date_layout``
+    "column" the rows must carry ``_file`` and ``_row``. Without ``strict`` a
+    bad number is NULL."""
     sp = spec(kind) if isinstance(kind, str) else kind
+    if date_layout not in DATE_LAYOUTS:
+        raise ValueError(f"unknown date layout {date_layout!r}; use one of {DATE_LAYOUTS}")
     _require(df, sp.typed, sp.kind)
     if sp.required_key:
         df = drop_blank(df, sp.required_key)
-    if sp.kind == "sales":
-        df = cast_strict(df, sp.numeric)
-        df = cast_date(df, sp.dates, formats)
-        df = cast_time(df, sp.times)
-    elif sp.kind == "menu":
-        df = cast_date(df, sp.dates, formats)
-        df = cast_strict(df, sp.numeric)
-    else:
-        df = cast_timestamp(df, sp.timestamps)
-        df = clean_durations(df, sp.durations)
-        df = cast_strict(df, sp.numeric)
-    return df
+    df = clean_durations(df, sp.durations) if sp.durations else df
+    df = cast_strict(df, sp.numeric) if strict else _retype(df, {c: casts.lenient_double(c) for c in sp.numeric})
+    df = cast_date(df, sp.dates, formats) if date_layout == "cell" else cast_date_by_column(df, sp.dates)
+    return cast_timestamp(cast_time(df, sp.times), sp.timestamps)
 
 
-def prepare(spark: SparkSession, paths: str | Sequence[str], kind: str,
-            formats: Sequence[str] = casts.DATE_FORMATS) -> DataFrame:
+def prepare(spark: SparkSession, paths: str | Sequence[str], kind: str, formats: Sequence[str] = casts.DATE_FORMATS,
+            date_layout: str = "cell") -> DataFrame:
     """Read, stack and type all files of one kind (nothing is written)."""
-    return cleanse(read_report(spark, paths, kind), kind, formats)
+    by_column = date_layout == "column"
+    return cleanse(read_report(spark, paths, kind, position=by_column), kind, formats, date_layout).drop("_file", "_row")
 
 
 def preview_files(spark: SparkSession, paths: str | Sequence[str], kind: str, n: int = 5,
@@ -112,18 +136,94 @@ def preview_files(spark: SparkSession, paths: str | Sequence[str], kind: str, n:
     return first_rows(typed, n)
 
 
+def batch_shape(df: DataFrame) -> DataFrame:
+    """IN9: rows and columns of a batch, and whether any cell is missing: what
+    the upload screen showed. One pass; each column's NULLs are a sum."""
+    missing = sum((F.col(f"`{c}`").isNull().cast("int") for c in df.columns), F.lit(0))
+    return df.agg(F.count("*").alias("n_rows"), F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
+                  F.coalesce(F.sum(missing.cast("bigint")), F.lit(0)).alias("n_missing"),
+                  F.coalesce(F.max(missing > 0), F.lit(False)).alias("has_missing"))
+
+
+MOST_BAD = 1000                 # bad cells listed per file
+
+
+def checked(spark: SparkSession, paths: str | Sequence[str], kind: str, formats: Sequence[str] = casts.DATE_FORMATS,
+            date_layout: str = "cell") -> tuple[DataFrame, int]:
+    """The typed rows of a batch, staged, with ``_file``, ``_row`` and ``_bad``
+    (the numeric cells that are no numbers), and how many there are in all."""
+    sp = spec(kind)
+    raw = read_report(spark, paths, kind, position=True)
+    _require(raw, sp.typed, sp.kind)
+    bad = F.filter(F.array(*[
+        F.when(casts.is_bad_number(c), F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")))
+        for c in sp.numeric]), lambda x: x.isNotNull())
+    seen = Observation()
+    typed = cleanse(raw.withColumn("_bad", bad), kind, formats, date_layout, strict=False)
+    rows = staged(typed.observe(seen, F.sum(F.size("_bad")).alias("n")), "checked-batch")
+    return rows, seen.get["n"] or 0
+
+
+def listed(rows: DataFrame, most: int = MOST_BAD) -> DataFrame:
+    """(file, line, column, value, n_in_file): the bad cells of a checked
+    batch, the first ``most`` of each file and the number of all."""
+    cells = rows.select("_file", "_row", F.posexplode("_bad").alias("_nth", "_cell"))
+    counts = cells.groupBy("_file").agg(F.count("*").alias("n_in_file"))
+    w = Window.partitionBy("_file").orderBy("_row", "_nth")
+    first = cells.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= most)
+    return first.join(counts, "_file").select(
+        F.col("_file").alias("file"), (F.col("_row") + 1).alias("line"), "_cell.column", "_cell.value", "n_in_file")
+
+
+def bad_cells(spark: SparkSession, paths: str | Sequence[str], kind: str, most: int = MOST_BAD) -> DataFrame:
+    """Every cell of the files that would fail the load."""
+    return listed(checked(spark, paths, kind)[0], most)
+
+
+class BadCells(ValueError):
+    """A batch was refused. ``cells`` lists why (see ``listed``)."""
+
+    def __init__(self, count: int, cells: DataFrame):
+        super().__init__(f"{count} cells are not numbers; nothing was written")
+        self.count, self.cells = count, cells
+
+
 def ingest(spark: SparkSession, paths: str | Sequence[str], kind: str, mode: str = "append",
-           table: str | None = None, formats: Sequence[str] = casts.DATE_FORMATS) -> dict:
+           table: str | None = None, formats: Sequence[str] = casts.DATE_FORMATS, date_layout: str = "cell",
+           check: bool = False, once: bool = False) -> dict:
     """Load report files into the kind's table in one write job.
 
     Returns the batch summary the upload screen showed: shape and whether any
     NULL is present (a warning only; it never blocks the load). The NULL
     counts are observed on the write itself.
+
+    ``check``: collect all bad cells first and raise ``BadCells`` if there are
+    any. ``once``: leave out files whose content the table has loaded before
+    (append only; see ``operators.loads``).
     """
-    df = prepare(spark, paths, kind, formats)
+    target = table or spec(kind).table
+    if once and mode.lower() != "append":
+        raise ValueError("once goes with append only")
+    load = new_load(spark, target, paths) if once else None
+    if once and load is None:
+        return {"rows": 0, "columns": 0, "null_columns": []}
+
+    def rows(files: str | Sequence[str]) -> DataFrame:
+        if not check:
+            return prepare(spark, files, kind, formats, date_layout)
+        got, n = checked(spark, files, kind, formats, date_layout)
+        if n:
+            raise BadCells(n, listed(got))
+        return got.drop("_file", "_row", "_bad")
+
+    df = rows(load.paths if load else paths)
     seen = Observation()
     counts = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{i}") for i, c in enumerate(df.columns)]
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), table or spec(kind).table, mode)
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
+    if load:
+        load.save(df)
+    else:
+        write(df, target, mode)
     got = seen.get
-    return {"rows": got["rows"], "columns": len(df.columns),
+    return {"rows": got["rows"], "columns": len(counts),
             "null_columns": sorted(c for i, c in enumerate(df.columns) if got[f"nulls_{i}"])}

@@ -19,8 +19,8 @@ from pyspark.sql.types import DecimalType
 
 from kasir.config import DEFAULT, STORE_ATTRS, Config
 from kasir.functions.expr import channel_group, map_labels
-from kasir.operators.dims import join_dim
-from kasir.operators.previous import with_previous
+from kasir.operators.dims import join_dim, join_key
+from kasir.operators.previous import with_previous, with_previous_ranged
 
 GROUP = "Order_Type_Group"
 CHANNEL = "Order_Type"
@@ -36,7 +36,7 @@ def modern_daily(bills: DataFrame, store: DataFrame, cfg: Config = DEFAULT) -> D
         F.col("Net Sales").cast(cfg.money_type).alias("net"),
     )
     st = store.select(F.col("CODE_GIS"), F.col("NEW_CODE_STORE").alias("RESTO"))
-    j = join_dim(b, st, b["Branch"] == st["CODE_GIS"], "left")
+    j = join_key(b, st, "Branch", "CODE_GIS", "left", cfg.split_dimensions_above)
     # COUNT(DISTINCT bill) is planned as two aggregations (per key + bill,
     # then per key), so a store-day holding a large share of all bills is
     # still spread over many tasks by bill number.
@@ -124,17 +124,30 @@ def with_store(df: DataFrame, store: DataFrame, cfg: Config = DEFAULT,
     return join_dim(df, st, df["RESTO"] == st["_store_key"], how).drop("_store_key")
 
 
+def previous(cfg: Config):
+    return with_previous_ranged if cfg.ranged_previous else with_previous
+
+
+def daily_base(rows: DataFrame) -> DataFrame:
+    """The columns of Q02 before its previous values."""
+    return rows.select("Date", "RESTO", CHANNEL, GROUP, "total_sales_net", "total_tc", *STORE_ATTRS)
+
+
+# Q02's series, its order within a day, and what LAG takes over.
+DAILY_SERIES = ("RESTO", CHANNEL)
+DAILY_TIES = ("total_sales_net", "total_tc", GROUP, *STORE_ATTRS)
+
+
+def daily_values(cfg: Config) -> dict[str, F.Column]:
+    return {"previous_sales_net": F.col("total_sales_net").cast("double") / F.lit(float(cfg.daily_channel_lag_divisor)),
+            "previous_tc": F.col("total_tc")}
+
+
 def daily_channel(combined: DataFrame, store: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Q02 (daily1): every combined row with store attributes and the previous
     row of its (RESTO, channel) series."""
-    j = with_store(by_store(combined, cfg), store, cfg)
-    base = j.select("Date", "RESTO", CHANNEL, GROUP, "total_sales_net", "total_tc", *STORE_ATTRS)
-    out = with_previous(
-        base, ["RESTO", CHANNEL], "Date",
-        {"previous_sales_net": F.col("total_sales_net").cast("double")
-            / F.lit(float(cfg.daily_channel_lag_divisor)),
-         "previous_tc": F.col("total_tc")},
-        tiebreak=["total_sales_net", "total_tc", GROUP, *STORE_ATTRS])
+    base = daily_base(with_store(by_store(combined, cfg), store, cfg))
+    out = previous(cfg)(base, DAILY_SERIES, "Date", daily_values(cfg), tiebreak=DAILY_TIES)
     return out.select("Date", "RESTO", CHANNEL, GROUP, "total_sales_net", "total_tc",
                       "previous_sales_net", "previous_tc", *STORE_ATTRS)
 
@@ -163,7 +176,7 @@ def _grouped_with_store(combined: DataFrame, store: DataFrame, keys: Sequence[st
 def daily_group(combined: DataFrame, store: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Q03 (daily2): per (Date, RESTO, channel group)."""
     g = _grouped_with_store(combined, store, ["Date", "RESTO", GROUP], cfg)
-    out = with_previous(
+    out = previous(cfg)(
         g, ["RESTO", GROUP], "Date",
         {"previous_sales_net": F.col("total_sales_net"), "previous_tc": F.col("total_tc")},
         tiebreak=["total_sales_net", "total_tc", *STORE_ATTRS])
@@ -174,7 +187,7 @@ def daily_group(combined: DataFrame, store: DataFrame, cfg: Config = DEFAULT) ->
 def daily_store(combined: DataFrame, store: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Q04 (daily3): per (Date, RESTO)."""
     g = _grouped_with_store(combined, store, ["Date", "RESTO"], cfg)
-    out = with_previous(
+    out = previous(cfg)(
         g, ["RESTO"], "Date",
         {"previous_sales_net": F.col("total_sales_net"), "previous_tc": F.col("total_tc")},
         tiebreak=["total_sales_net", "total_tc", *STORE_ATTRS])

@@ -4,6 +4,7 @@ the driver's tables, and has a DuckDB twin in ``kasir.oracle``.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 from functools import cached_property, reduce
@@ -16,9 +17,9 @@ from kasir.config import MENU_STORE_ATTRS, SAME_YEAR_ATTRS, STORE_ATTRS
 from kasir.functions.expr import date_lit, days_since, map_labels, sunday_week, year_bucket
 from kasir.operators.dims import check_unique
 from kasir.operators import sinks
-from kasir.operators.previous import with_previous
+from kasir.operators.previous import with_previous, with_previous_ranged
 from kasir.operators.quality import null_profile, unmatched_keys
-from kasir.plans import cohorts, ingest, menu, monthly, pipeline, sales, tracker
+from kasir.plans import bill_state, cohorts, ingest, menu, monthly, months, pipeline, sales, tracker
 from kasir.plans.sales import reported
 from kasir.sources import fixtures as fx
 from kasir.sources.reports import read_report
@@ -27,12 +28,12 @@ CFG = fx.FIXTURE_CONFIG
 
 
 class _Stages:
-    """Plans built once per (session, folder, config) and reused."""
+    """Plans built once per (application, folder, config) and reused."""
 
     _cache: dict = {}
 
     def __new__(cls, spark: SparkSession, sf_dir: str, cfg=CFG):
-        key = (cls.__name__, id(spark), sf_dir, cfg)
+        key = (cls.__name__, spark.sparkContext.applicationId, sf_dir, cfg)
         if key not in cls._cache:
             cls._cache[key] = super().__new__(cls)
         return cls._cache[key]
@@ -525,4 +526,121 @@ def q_lag_tiebreak(spark, sf):
     return out.select("Date", "RESTO", "Order_Type", "total_tc", "previous_tc")
 
 
+# --- mechanisms for scale: the same results by another way --------------------------
+
+# Splits the heavy hitters of every dimension, however small.
+SPLIT = CFG.with_(split_dimensions_above=0)
+
+
+@single("skew_join", ["Date", "RESTO", "Order_Type", "total_tc", "total_sales_net"], {"total_sales_net"})
+def q_skew_join(spark, sf):
+    """J01 + A01 with the heavy-hitter split: a third of all bill lines on one
+    branch, a tenth on none."""
+    return sales.modern_daily(fx.hot_bills(spark, sf), fx.store(spark, sf), SPLIT)
+
+
+@single("skew_join_menu", _MENU, cte="combined_menu")
+def q_skew_join_menu(spark, sf):
+    """J15-J17 with the heavy-hitter split."""
+    i = fx.menu_inputs(spark, sf)
+    return menu.combine_menu(i.productmix, i.menu_report, i.lookup_legacy, i.lookup_modern, i.store, SPLIT)
+
+
+@single("previous_by_ranges", ["Date", "RESTO", "Order_Type", "total_tc", "previous_tc", "previous_sales_net"],
+        {"previous_sales_net"})
+def q_previous_by_ranges(spark, sf):
+    """W1 over ranges: half of the rows of all stores moved to the NULL store."""
+    c = Sales(spark, sf).combined.select("Date", "RESTO", "Order_Type", "total_tc", "total_sales_net")
+    hot = c.withColumn("RESTO", F.when(F.col("total_tc") % 2 == 0, F.col("RESTO")))
+    out = with_previous_ranged(hot, ["RESTO", "Order_Type"], "Date",
+                               {"previous_tc": F.col("total_tc"), "previous_sales_net": F.col("total_sales_net")},
+                               tiebreak=["total_sales_net", "total_tc"])
+    return out.select("Date", "RESTO", "Order_Type", "total_tc", "previous_tc", "previous_sales_net")
+
+
+@single("daily_by_ranges", _D1, _DM, cte="daily1")
+def q_daily_by_ranges(spark, sf):
+    """Q02 with previous values found over ranges."""
+    s = Sales(spark, sf)
+    return sales.daily_channel(s.combined, s.i.store, CFG.with_(ranged_previous=True))
+
+
+LATE_MONTH = "1997-03-01"
+
+
+@single("month_republish", _D1, _DM, cte="daily1")
+def q_month_republish(spark, sf):
+    """SK1 + SO2 + W1 by month: all months published while one is incomplete,
+    then that month alone; the daily mart equals a full rebuild."""
+    names = {k: _table_name(f"months_{k}") for k in ("combined", "tails", "daily1")}
+    months.publish_months(spark, fx.partial_inputs(spark, sf, LATE_MONTH), names, None, CFG)
+    months.publish_months(spark, fx.sales_inputs(spark, sf), names, [dt.date.fromisoformat(LATE_MONTH)], CFG)
+    return spark.table(names["daily1"]).select(*_D1)
+
+
+@single("bill_count_merged", ["Date", "RESTO", "Order_Type", "total_tc", "total_sales_net"], {"total_sales_net"},
+        cte="modern_daily")
+def q_bill_count_merged(spark, sf):
+    """A01, mergeable: three loads merged one after the other; the lines of a
+    bill are spread over them."""
+    state = bill_state.empty(spark, CFG)
+    for load in fx.bill_increments(spark, sf, 3):
+        state = bill_state.update(state, load, CFG)
+    return bill_state.counts(state, fx.store(spark, sf), CFG)
+
+
+@single("load_once", cte="chk_read_menu_report")
+def q_load_once(spark, sf):
+    """SK2 + IN12: half of the export files loaded, then all, then all again;
+    each file counts once."""
+    files, t = fx.sales_report_files(spark, sf, "menu"), _table_name("once")
+    for paths in (files.replace("export_part=*", "export_part=0"), files, files):
+        ingest.ingest(spark, paths, "menu", table=t, once=True)
+    return spark.table(t)
+
+
+@single("bad_cells")
+def q_bad_cells(spark, sf):
+    """IN2 + IN12: every cell that would fail the load, by file and line."""
+    got = ingest.bad_cells(spark, fx.sales_report_files(spark, sf, "menu_bad"), "menu", most=20)
+    at = lambda k: F.regexp_extract("file", f"{k}=([0-9]+)", 1).cast("bigint")
+    return got.select(at("export_branch").alias("branch"), at("export_part").alias("part"), "line", "column",
+                      "value", "n_in_file")
+
+
+@single("all_or_nothing", cte="chk_read_menu_report")
+def q_all_or_nothing(spark, sf):
+    """IN12: a good batch, then one with bad cells, which leaves no row."""
+    t = _table_name("whole")
+    ingest.ingest(spark, fx.sales_report_files(spark, sf, "menu"), "menu", table=t)
+    for check in (True, False):
+        try:
+            ingest.ingest(spark, fx.sales_report_files(spark, sf, "menu_bad"), "menu", table=t, check=check)
+        except Exception as e:
+            if "not a number" not in str(e) and "not numbers" not in str(e):
+                raise
+    return spark.table(t)
+
+
+@single("batch_shape")
+def q_batch_shape(spark, sf):
+    """IN9: rows, columns and missing cells of a typed batch."""
+    return ingest.batch_shape(_typed_report(spark, sf))
+
+
+@single("column_dates")
+def q_column_dates(spark, sf):
+    """IN3 by column: each file's first date decides its layout."""
+    read = ingest.prepare(spark, fx.sales_report_files(spark, sf, "menu_layouts"), "menu", date_layout="column")
+    return read.select("No", "Branch", "Menu Name", "Sales Date", "Total")
+
+
+@single("unit_durations")
+def q_unit_durations(spark, sf):
+    """IN6 with units: total seconds and clock text."""
+    d = fx.unit_durations(spark, sf)
+    both = d.select("*", F.col("raw_duration").alias("clock"), F.col("raw_duration").alias("seconds"))
+    return ingest.clean_durations(ingest.clean_durations(both, ["clock"]), ["seconds"], seconds=True)
+
+
 __all__ = ["QUERIES", "ORACLES", "PIPELINES", "Sales", "Menu"]

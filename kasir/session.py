@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC dates, AQE re-planning (coalescing small
 # shuffle partitions, splitting skewed join partitions), no web UI.
@@ -56,3 +57,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="kasir-ckpt-", dir=os.environ.get("KASIR_SCRATCH"))
         sc.setCheckpointDir(d)
     return d
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This application's folder below the shared one: whatever a job stages is
+    there, so ``release_staged`` can find it."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/kasir-{spark.sparkContext.applicationId}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back. Cuts the
+    lineage, lets several consumers read one result, and tells the planner the
+    result's bytes."""
+    spark = df.sparkSession
+    path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_staged(spark: SparkSession) -> None:
+    """Delete all that this application has staged. Call it when no frame of
+    the run is needed any more: frames read their staged tables lazily."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

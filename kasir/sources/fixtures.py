@@ -20,10 +20,13 @@ Mapping (also in FIXTURES.md):
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kasir.config import DEFAULT, Config
+from kasir.session import run_folder, staged
 from kasir.sources.tables import MenuInputs, SalesInputs
 
 # The labels the two feeds carry, with one unknown label each.
@@ -76,6 +79,12 @@ def _money4(c: Column, key: Column) -> Column:
 
 
 def store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store dimension, staged once: a derived one has no bytes that the
+    planner knows, only a product of its inputs' sizes."""
+    return _memo("store", spark, sf_dir, lambda: staged(_store(spark, sf_dir), "store"))
+
+
+def _store(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = _t(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -114,6 +123,40 @@ def bills(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bills`` with a third of all lines on one branch and a tenth on none."""
+    li = _t(spark, sf_dir, "lineitem")
+    ok = F.col("l_orderkey")
+    branch = (F.when(ok % 3 == 0, F.lit("1")).when(ok % 10 == 1, F.lit(None).cast("string"))
+              .otherwise(_s(F.col("l_suppkey"))))
+    return li.select(
+        F.col("l_shipdate").cast("date").alias("Sales Date"), branch.alias("Branch"),
+        _label(ok + F.col("l_linenumber"), VISIT_PURPOSES).alias("Visit Purpose"),
+        _s(ok).alias("Bill Number"), _money4(F.col("l_extendedprice"), ok).alias("Net Sales"))
+
+
+def bill_increments(spark: SparkSession, sf_dir: str, n: int) -> list[DataFrame]:
+    """``bills`` in n loads; the lines of one bill arrive in several of them."""
+    li = _t(spark, sf_dir, "lineitem")
+    own = bills(spark, sf_dir).columns
+    lined = li.select(
+        F.col("l_shipdate").cast("date").alias("Sales Date"), _s(F.col("l_suppkey")).alias("Branch"),
+        _label(F.col("l_orderkey") + F.col("l_linenumber"), VISIT_PURPOSES).alias("Visit Purpose"),
+        _s(F.col("l_orderkey")).alias("Bill Number"),
+        _money4(F.col("l_extendedprice"), F.col("l_orderkey")).alias("Net Sales"), "l_linenumber")
+    return [lined.where(F.col("l_linenumber") % n == k).select(*own) for k in range(n)]
+
+
+def partial_inputs(spark: SparkSession, sf_dir: str, month: str) -> SalesInputs:
+    """``sales_inputs`` before the rest of one month has arrived: its bills with
+    an even number and its legacy rows are missing."""
+    i = sales_inputs(spark, sf_dir)
+    late = lambda c: F.coalesce(F.trunc(F.col(f"`{c}`"), "month") == F.lit(month).cast("date"), F.lit(False))
+    return SalesInputs(i.bills.where(~(late("Sales Date") & (F.col("Bill Number").cast("bigint") % 2 == 0))),
+                       i.sales_value.where(~late("Date")), i.sales_tc.where(~late("Date")),
+                       i.store, i.targets, i.adjustments)
+
+
 def _legacy_keys(o: DataFrame) -> list[Column]:
     return [
         F.col("o_orderdate").cast("date").alias("Date"),
@@ -207,13 +250,13 @@ def lookup_modern(spark: SparkSession, sf_dir: str) -> DataFrame:
         "category", "product_cleaned_2")
 
 
-# Fixture plans are immutable and lazy; one set per (session, folder) is
+# Fixture plans are immutable and lazy; one set per (application, folder) is
 # reused by every query (each execution still reads the parquet files).
 _MEMO: dict[tuple, object] = {}
 
 
 def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
-    key = (kind, id(spark), sf_dir)
+    key = (kind, spark.sparkContext.applicationId, sf_dir)
     if key not in _MEMO:
         _MEMO[key] = build()
     return _MEMO[key]
@@ -390,13 +433,49 @@ def service_report_columns(li: DataFrame) -> list[tuple[str, Column]]:
     return list(cols.items())
 
 
-REPORT_COLUMNS = {"sales": sales_report_columns, "menu": menu_report_columns,
+def bad_menu_columns(li: DataFrame) -> list[tuple[str, Column]]:
+    """The Menu export with cells that are no numbers."""
+    ok = F.col("l_orderkey")
+    bad = {"Qty": F.when(ok % 31 == 0, F.concat(F.lit("x"), _s(F.col("l_linenumber")))),
+           "Tax Total": F.when(ok % 37 == 0, F.lit("1,5 \"n.a.\""))}
+    return [(n, F.coalesce(bad[n], v) if n in bad else v) for n, v in menu_report_columns(li)]
+
+
+def layout_menu_columns(li: DataFrame) -> list[tuple[str, Column]]:
+    """The Menu export with dates in another layout per branch, and a fifth of
+    them in the month-first one everywhere; every branch starts as it likes."""
+    day, sk, ok = F.col("l_shipdate").cast("date"), F.col("l_suppkey"), F.col("l_orderkey")
+    text = (F.when(ok % 7 == 0, F.lit(None).cast("string"))
+            .when(ok % 5 == 0, F.date_format(day, "MM/dd/yyyy"))
+            .when(sk % 3 == 0, F.date_format(day, "d-MMM-yyyy"))
+            .when(sk % 3 == 1, F.date_format(day, "yyyy-MM-dd HH:mm:ss")).otherwise(_s(day)))
+    return [(n, text if n == "Sales Date" else v) for n, v in menu_report_columns(li)]
+
+
+REPORT_COLUMNS = {"menu_bad": bad_menu_columns, "menu_layouts": layout_menu_columns,
+                  "sales": sales_report_columns, "menu": menu_report_columns,
                   "service_time": service_report_columns}
 
 
 EXPORT_PARTS = 2                # files per branch
 
 
+def unit_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Durations written with units, ISO ones, and ones that are none."""
+    ok, pk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
+    n = _s(pk % 90)
+    text = (F.when(ok % 9 == 0, F.concat(n, F.lit(" min")))
+            .when(ok % 9 == 1, F.concat(_s(ln), F.lit("h"), n, F.lit("m")))
+            .when(ok % 9 == 2, F.concat(n, F.lit(".5 hours")))
+            .when(ok % 9 == 3, F.concat(F.lit("PT"), n, F.lit("M"), _s(ln), F.lit("S")))
+            .when(ok % 9 == 4, F.concat(F.lit("-"), n, F.lit(" Seconds")))
+            .when(ok % 9 == 5, F.concat(_s(ln), F.lit(" days, "), n, F.lit(" ms")))
+            .when(ok % 9 == 6, F.concat(n, F.lit(" M")))
+            .when(ok % 9 == 7, F.concat(F.lit("P1DT"), _s(ln), F.lit("H")))
+            .otherwise(F.concat(n, F.lit(" blinks"))))
+    return _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", text.alias("raw_duration"))
+
+
 def write_sales_reports(spark: SparkSession, sf_dir: str, out_dir: str, kind: str = "sales") -> str:
     """Write two CSV exports per branch under ``out_dir``: a title line, a
     branch line, the header row, then the rows. Rows are clustered by branch
@@ -436,12 +515,8 @@ def write_sales_reports(spark: SparkSession, sf_dir: str, out_dir: str, kind: st
 def sales_report_files(spark: SparkSession, sf_dir: str, kind: str = "sales") -> str:
     """The per-branch exports of one report kind for ``sf_dir`` (a path pattern), written
     once per session under the session's checkpoint folder."""
-    import uuid
-
-    from kasir.session import checkpoint_dir
-
     def build() -> str:
-        out = f"{checkpoint_dir(spark).rstrip('/')}/report-exports/{kind}-{uuid.uuid4().hex}"
+        out = f"{run_folder(spark)}/report-exports/{kind}-{uuid.uuid4().hex}"
         return f"{write_sales_reports(spark, sf_dir, out, kind)}/export_branch=*/export_part=*/*.csv"
 
     return _memo(f"report-files-{kind}", spark, sf_dir, build)

@@ -38,3 +38,15 @@ def duck(sf_dir: str):
 
 def rows_of(df):
     return [tuple(r) for r in df.collect()]
+
+
+_FRAMES: dict = {}
+
+
+def query_frame(spark, name):
+    """A registered query's result over the small tables, built once: some
+    queries load or publish tables while they are built."""
+    if name not in _FRAMES:
+        from kasir.queries import QUERIES
+        _FRAMES[name] = QUERIES[name](spark, SF_SMALL)
+    return _FRAMES[name]

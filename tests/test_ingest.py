@@ -144,16 +144,52 @@ def test_no_cell_is_lost(spark, scratch):
     assert (b["Other"], b["Name"], b["Last"], b["Unnamed: 8"]) == ("o", "n", None, None)
 
 
-def test_raw_rows_are_not_sorted(spark, scratch):
+def test_files_are_scanned_once(spark, scratch):
+    """Everything after the scan reads the staged lines and rows."""
     d = tempfile.mkdtemp(dir=scratch)
     _write(os.path.join(d, "a.csv"), _menu_header() + "\n2025-01-02,1,2,3,4,5,6\n")
-    raw = reports.raw_rows(spark, d)
-    plan = reports.file_headers(raw, reports.REPORTS["menu"].typed)._jdf.queryExecution().executedPlan().toString()
-    for sort in [x for x in plan.split("\n") if "Sort [" in x]:
-        assert "_file" in sort
-    assert "filter" in plan.lower()
-    one = reports.read_report(spark, d, "menu")._jdf.queryExecution().executedPlan().toString()
-    assert one.count("FileScan csv") == 1
+    for df in (reports.raw_lines(spark, d), reports.raw_rows(spark, d), reports.read_report(spark, d, "menu")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan text" not in plan and "FileScan csv" not in plan and "FileScan parquet" in plan
+
+
+ODD_CELLS = ['plain', '"quoted"', '"com,ma"', '"two ""words"""', '"line\nbreak"', '"a\n\n""\n,b"', '""', '', '"cr\r\nlf"',
+             '"' + "long, " * 200 + '\n"', " spaced ", '"é\n日本"']
+
+
+@pytest.mark.parametrize("split", ["40b", "333b", "128m"])
+def test_records_across_splits(spark, scratch, split):
+    """A file cut anywhere, inside quoted line breaks too, gives the records and
+    line numbers that a sequential reader gives."""
+    import csv
+    import random
+    rng = random.Random(3)
+    d = tempfile.mkdtemp(dir=scratch)
+    rows = [[rng.choice(ODD_CELLS) for _ in range(rng.randint(1, 6))] for _ in range(120)]
+    text = ("\ufeff" + "\n".join(",".join(r) for r in rows[:60]) + "\n\n  \n"
+            + "\r\n".join(",".join(r) for r in rows[60:]) + "\r\n")
+    with open(os.path.join(d, "a.csv"), "w", encoding="utf-8", newline="") as f:
+        f.write(text)
+    import io
+    # A line of white space is blank; one of an empty quoted cell is not.
+    want = [[x or None for x in r] for r in csv.reader(io.StringIO(text.lstrip("\ufeff"), newline=""))
+            if r and not (len(r) == 1 and r[0].isspace())]
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        spark.conf.set(keys[0], split)
+        spark.conf.set(keys[1], "1b")
+        got = reports.raw_rows(spark, d).orderBy("_row").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    blank = lambda cells: [x or None for x in cells]
+    assert [blank(r["_cells"]) for r in got] == want
+    lines = text.split("\n")
+    for r in got:
+        first = next((x for x in r["_cells"] if x), None)
+        if first:
+            assert first.split("\n")[0].replace('"', "")[:5] in lines[r["_row"]].replace('""', '"').replace('"', "")
 
 
 def test_preview_is_the_first_rows_of_each_file(spark, scratch):
@@ -229,8 +265,8 @@ def test_a_failed_write_leaves_the_old_rows(spark, scratch):
             act()
     for t in tables.values():
         assert spark.table(t).count() == 3, t
-    left = [r["tableName"] for r in spark.sql("SHOW TABLES IN default").collect()]
-    assert not [t for t in left if "__new_" in t or "__old_" in t]
+    for t in tables.values():
+        assert len(sinks.versions(spark, t)) == 1
     d = tempfile.mkdtemp(dir=scratch)
     _write(os.path.join(d, "a.csv"), SALES_HEADER + "\n" + _sales_line("B2", "2025-01-01", "1:1:1", "1;5") + "\n")
     with pytest.raises(Exception, match="not a number"):

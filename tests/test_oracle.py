@@ -5,7 +5,7 @@ import math
 
 import pytest
 
-from conftest import SF_SMALL, duck
+from conftest import SF_SMALL, duck, query_frame
 
 import __spark_entry__ as entry
 
@@ -35,7 +35,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
-    df = QUERIES[name](spark, SF_SMALL)
+    df = query_frame(spark, name)
     got = [tuple(r) for r in df.collect()]
     res = con.execute(ORACLES[name])
     ocols = [d[0] for d in res.description]

@@ -1,16 +1,16 @@
 """Plan shape and whole-pipeline properties."""
 
 import os
+import re
 import tempfile
 from decimal import Decimal
 
 import pytest
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, query_frame
 
-import __spark_entry__ as entry
 from kasir.plans import monthly, pipeline
-from kasir.queries import CFG, Sales
+from kasir.queries import CFG, QUERIES, Menu, Sales
 from kasir.sources import fixtures as fx
 
 
@@ -22,17 +22,27 @@ def _exchanges(df) -> int:
     return _plan(df).count("Exchange hashpartitioning") + _plan(df).count("Exchange RoundRobin")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_udf_in_any_plan(spark, name):
-    p = _plan(entry.queries()[name](spark, SF_SMALL))
+    p = _plan(query_frame(spark, name))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
+def test_raw_facts_are_not_shuffled_for_a_small_dimension(spark):
+    """The store joins are map-side from the start: the first exchange over
+    bill and menu lines is the aggregate's own."""
+    for df in (Sales(spark, SF_SMALL).combined, Menu(spark, SF_SMALL).combined):
+        initial = _plan(df).split("== Initial Plan ==")[-1]
+        assert "SortMergeJoin [Branch" not in initial and "SortMergeJoin [_key" not in initial
+        assert not re.search(r"Exchange hashpartitioning\((Branch|_key|l_suppkey)#", initial)
+        assert "BroadcastHashJoin [Branch" in initial
+
+
 def test_dimension_joins_follow_sizes(spark):
     """Spark broadcasts a dimension that turns out small, never one above the
     threshold; nothing deals facts out anew to spread them."""
     def ran():
-        df = entry.queries()["combine_sales"](spark, SF_SMALL)
+        df = QUERIES["combine_sales"](spark, SF_SMALL)
         df.collect()
         return _plan(df)
 
@@ -64,8 +74,9 @@ def test_monthly_adds_no_exchange_over_daily(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    p = _plan(entry.queries()["menu_cutover"](spark, SF_SMALL))
-    assert "LessThanOrEqual(o_orderdate,1998-12-31)" in p
+    p = _plan(query_frame(spark, "menu_cutover"))
+    scan = next(x for x in p.split("\n") if "FileScan" in x and "o_orderdate" in x)
+    assert re.search(r"PushedFilters: \[.*LessThan(OrEqual)?\(o_orderdate,", scan)
 
 
 def test_net_is_conserved_across_grains(spark):
