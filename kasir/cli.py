@@ -22,7 +22,7 @@ if __package__ in (None, ""):          # run as a script: make the package impor
 from pyspark.sql import SparkSession  # noqa: E402
 
 from kasir.config import DEFAULT  # noqa: E402
-from kasir.session import ensure_job_conf  # noqa: E402
+from kasir.session import ensure_job_conf, release_staged  # noqa: E402
 
 
 def _tables(pairs: list[str]) -> dict[str, str]:
@@ -49,14 +49,23 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     p.add_argument("--mode", choices=["append", "overwrite"], default="append")
     p.add_argument("--target", default=None, help="table to load (default: the kind's table)")
     p.add_argument("--date-format", action="append", default=[], help="date layout tried after ISO, e.g. d/M/yyyy")
+    p.add_argument("--date-layout", choices=["cell", "column"], default="cell", help="parse dates cell by cell, or by "
+                   "the layout that a column's first value shows in each file")
+    p.add_argument("--check", action="store_true", help="list every bad cell before anything is written")
+    p.add_argument("--once", action="store_true", help="leave out files whose content was loaded before")
     a = ap.parse_args(argv)
 
+    own = spark is None
     spark = spark or SparkSession.builder.appName(f"kasir-{a.cmd}").getOrCreate()
     ensure_job_conf(spark)
     if a.cmd == "ingest":
-        from kasir.plans.ingest import ingest
+        from kasir.plans.ingest import BadCells, ingest
         from kasir.functions.casts import DATE_FORMATS
-        result = ingest(spark, a.paths, a.kind, a.mode, a.target, tuple(a.date_format) or DATE_FORMATS)
+        try:
+            result = ingest(spark, a.paths, a.kind, a.mode, a.target, tuple(a.date_format) or DATE_FORMATS,
+                            a.date_layout, a.check, a.once)
+        except BadCells as e:
+            result = {"rows": 0, "bad_cells": e.count, "first": [r.asDict() for r in e.cells.limit(100).collect()]}
     else:
         from kasir.plans import pipeline
         from kasir.sources.tables import load_menu, load_sales
@@ -65,6 +74,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             result = pipeline.run_sales(spark, load_sales(spark, _tables(a.table)), cfg)
         else:
             result = pipeline.run_menu(spark, load_menu(spark, _tables(a.table)), cfg)
+    if own:
+        release_staged(spark)
     print(json.dumps(result, default=str))
     return result
 

@@ -147,5 +147,11 @@ def test_cli_menu_batch_and_ingest(spark, scratch):
     with open(csv, "w") as f:
         f.write("Menu Recap\nSales Date,Branch,Menu Name,Qty,Subtotal,Service Charge,Tax Total,VAT Total,Total\n"
                 "2025-01-02,7,MIE,2,10.00,0,1.00,0,11.00\n")
-    res = cli.main(["ingest", "menu", csv, "--target", "default.cli_menu_t"], spark)
+    res = cli.main(["ingest", "menu", csv, "--target", "default.cli_menu_t", "--once", "--check"], spark)
+    again = cli.main(["ingest", "menu", csv, "--target", "default.cli_menu_t", "--once"], spark)
+    assert again["rows"] == 0
+    with open(csv, "a") as f:
+        f.write("2025-01-02,7,MIE,two,10.00,0,1.00,0,11.00\n")
+    bad = cli.main(["ingest", "menu", csv, "--target", "default.cli_menu_t", "--once", "--check"], spark)
+    assert bad["bad_cells"] == 1 and bad["first"][0]["value"] == "two"
     assert res["rows"] == 1 and spark.table("default.cli_menu_t").count() == 1
