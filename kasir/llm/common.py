@@ -15,10 +15,16 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kasir.session import checkpoint_dir
+from kasir.session import run_folder
 
-# Rows per Arrow batch handed to Python: texts can be long, so few rows.
+# Rows and bytes per Arrow batch handed to Python: texts can be long, so few.
 ARROW_ROWS = 1000
+ARROW_BYTES = "8m"
+# Rows per batch where the work is on the batch's distinct words: bytes rule.
+TEXT_ROWS = 10_000
+# Staged tables carry whole texts: a row group this size keeps a writing task's
+# buffer small.
+ROW_GROUP = 16 << 20
 
 _shipped: set[str] = set()
 
@@ -27,6 +33,7 @@ def prepare(spark: SparkSession, arrow_rows: int = ARROW_ROWS) -> None:
     """Session settings the operators rely on; ships this package to the
     Python workers once per application."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(arrow_rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
@@ -44,8 +51,9 @@ def prepare(spark: SparkSession, arrow_rows: int = ARROW_ROWS) -> None:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder name under the run's shared folder, which
+    ``session.release_staged`` deletes."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -53,7 +61,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     lineage and lets several consumers read one result."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", str(ROW_GROUP)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

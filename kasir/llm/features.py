@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kasir.llm.common import slots
+
 CHUNK = 1 << 20                 # bytes hashed at once
 
 # Multipliers of the three positions of an n-gram (odd, well mixed).
@@ -80,13 +82,28 @@ def fold(id_col: str, folds: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds)), F.lit(0))
 
 
-def sample_by_class(rows: DataFrame, class_col: str, id_col: str, most: int) -> tuple[DataFrame, dict]:
-    """Rows picked by a hash of the id so that about ``most`` rows come out,
-    evenly by class, and the count of each class among all rows."""
+def row_hash(*cols: str) -> Column:
+    return F.xxhash64(F.lit("sample"), *cols)
+
+
+def sample_by_class(rows: DataFrame, class_col: str, hash_col: str, most: int) -> tuple[DataFrame, dict]:
+    """(class, hash) of at most ``most`` distinct rows, and the count of each
+    class among all rows. Every class gets the same quota (one row at least, so
+    with more than ``most`` classes there are as many rows as classes), filled
+    by the smallest hashes. The hash is of all that a row is drawn by, id and
+    text: neither a repeated id nor a repeated row counts more than once."""
     counts = {r[0]: r[1] for r in rows.groupBy(class_col).count().collect()}
-    each = most / max(len(counts), 1)
-    share = F.lit(0.0)
-    for k, n in counts.items():
-        share = F.when(F.col(class_col) == F.lit(k), F.lit(min(1.0, each / n))).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.lit("sample"), id_col), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.where(draw < share), counts
+    quota = max(1, most // max(len(counts), 1))
+    n = slots(rows.sparkSession)
+    picked = rows.select(class_col, hash_col).distinct().withColumn("salt", F.pmod(F.col(hash_col), F.lit(n)))
+    for key in ([class_col, "salt"], [class_col]):      # a class may hold a third of all rows
+        w = Window.partitionBy(*key).orderBy(hash_col)
+        picked = picked.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= quota).drop("nth")
+    return picked.drop("salt"), counts
+
+
+def drawn(rows: DataFrame, picked: DataFrame, class_col: str, hash_col: str, text_col: str) -> DataFrame:
+    """(class, text) of the picked rows, each once. ``picked`` is bounded (see
+    ``sample_by_class``), so it is sent to every task."""
+    hits = rows.join(F.broadcast(picked), [class_col, hash_col])
+    return hits.groupBy(class_col, hash_col).agg(F.first(text_col).alias(text_col)).select(class_col, text_col)

@@ -9,13 +9,17 @@ loss is within ``MARGIN`` of the best.
 
 Up to six languages get the exhaustive code (all distinct splits); more get
 random columns, as many as keep the codewords well apart. The classifiers are
-fitted on a sample of about ``SAMPLE`` labelled rows, evenly by language, drawn
-by a hash of the id; every document is predicted from its whole text.
+fitted on a sample of at most ``SAMPLE`` distinct labelled rows, evenly by
+language, drawn by a hash of id and text (of one row a language, if there are
+more languages than that); every document is predicted from its whole text, which
+goes to Python once and does not come back.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0.
 Rows with a null label train nothing. With one known language every document
 with a letter gets it (score 1); with none, every document is ``und``. Null and
-repeated ids are predicted row by row. An empty table gives no rows.
+repeated ids are predicted row by row; a repeated row trains once. Texts of any
+length are read whole, a megabyte at a time. Columns of ``docs`` named as the
+results are replaced, all others pass through. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,9 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import ArrowUDFType
 
 from kasir.llm.common import name_clash_free
-from kasir.llm.features import fold, language_features, sample_by_class
+from kasir.llm.features import drawn, fold, language_features, row_hash, sample_by_class
 
 SIZE = 8192             # n-gram buckets
 SAMPLE = 2400           # labelled rows fitted on
@@ -89,8 +94,10 @@ class LanguageModel:
 def fit(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text",
         size: int = SIZE, most: int = SAMPLE) -> LanguageModel:
     """Fit on a bounded sample of the rows of ``docs`` with a label."""
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    picked, _ = sample_by_class(known.select(id_col, lang_col, text_col), lang_col, id_col, most)
+    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(lang_col).cast("string").alias("lang"), row_hash(id_col, text_col).alias("h"),
+        F.col(text_col).cast("string").alias("text"))
+    picked, _ = sample_by_class(known, "lang", "h", most)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -100,8 +107,8 @@ def fit(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_co
                 "x": pa.array([language_features(t, size).astype(np.float16).tobytes() for t in texts],
                               pa.binary())})
 
-    rows = picked.select(F.col(lang_col).cast("string"), text_col).mapInArrow(
-        featured, "lang string, x binary").collect()
+    # At most ``most`` rows, or one per language.
+    rows = drawn(known, picked, "lang", "h", "text").mapInArrow(featured, "lang string, x binary").collect()
     languages = sorted({r["lang"] for r in rows})
     if len(languages) < 2:
         return LanguageModel(languages, None, None, None, None, size)
@@ -117,25 +124,29 @@ def fit(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_co
     return LanguageModel(languages, code, w, b, (trust / trust.mean()).astype(np.float32), size)
 
 
+PREDICTION = "lang string, score double, ambiguous boolean"
+
+
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", out: str = "lang_pred") -> DataFrame:
-    """``docs`` plus ``out``, ``score`` and ``ambiguous``."""
-    own = docs.drop(out, "score", "ambiguous")
-    source = name_clash_free(own, "__text")
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields]
-                       + [f"`{out}` string", "score double", "ambiguous boolean"])
-    names = list(own.columns)
-    n = len(names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``docs`` plus ``out``, ``score`` and ``ambiguous``. Only the texts go to
+    Python, and only the predictions come back."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for b in batches:
-            got = [model.predict(t.as_py()) for t in b.column(n)]
+            got = [model.predict(t.as_py()) for t in b]
             langs, scores, unsure = zip(*got) if got else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(i) for i in range(n)), pa.array(langs, pa.string()),
-                 pa.array(scores, pa.float64()), pa.array(unsure, pa.bool_())],
-                names=[*names, out, "score", "ambiguous"])
-
-    return own.withColumn(source, F.col(text_col).cast("string")).mapInArrow(run, schema)
+            yield pa.StructArray.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(unsure, pa.bool_())],
+                names=["lang", "score", "ambiguous"])
+
+    # Not deterministic for the optimizer: a filter on the result must not run it again.
+    udf = F.arrow_udf(run, PREDICTION, ArrowUDFType.SCALAR_ITER).asNondeterministic()
+    got = name_clash_free(docs, "prediction")
+    added = (out, "score", "ambiguous")
+    own = [c for c in docs.columns if c.lower() not in {a.lower() for a in added}]
+    marked = docs.withColumn(got, udf(F.col(text_col).cast("string")))
+    return marked.select(*[F.col(f"`{c}`") for c in own], F.col(f"{got}.lang").alias(out),
+                         F.col(f"{got}.score").alias("score"), F.col(f"{got}.ambiguous").alias("ambiguous"))
 
 
 def held_out(id_col: str = "doc_id"):

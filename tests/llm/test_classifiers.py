@@ -105,8 +105,57 @@ def test_too_few_labels_and_empty_tables(llm, docs, no_docs):
     assert language.predict(no_docs, language.fit(one.withColumn("lang", F.lit("en")))).count() == 0
 
 
+def sampled(llm, rows, most):
+    h = features.row_hash("doc_id", "text").alias("h")
+    df = llm.createDataFrame(rows, "y string, doc_id bigint, text string").select("y", h, "text").repartition(6)
+    picked, counts = features.sample_by_class(df, "y", "h", most)
+    return features.drawn(df, picked, "y", "h", "text").collect(), counts
+
+
 def test_sample_is_bounded_and_even(llm):
-    rows = llm.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 20 == 0, 0).otherwise(1).alias("y"))
-    picked, counts = features.sample_by_class(rows, "y", "doc_id", 1000)
-    got = {r.y: r["count"] for r in picked.groupBy("y").count().collect()}
-    assert counts == {0: 1000, 1: 19_000} and all(350 < n < 650 for n in got.values())
+    rows = [("a" if i % 20 == 0 else "b", i, f"t{i}") for i in range(8000)]
+    got, counts = sampled(llm, rows, 1000)
+    assert counts == {"a": 400, "b": 7600}
+    assert {k: sum(r.y == k for r in got) for k in "ab"} == {"a": 400, "b": 500}
+
+
+def test_sample_of_one_id(llm):
+    """One id, or one row, on a third of all rows neither fills nor empties it."""
+    rows = ([("en", 7, f"t{i}") for i in range(3000)] + [("fr", i, f"u{i}") for i in range(990)]
+            + [("de", None, f"v{i}") for i in range(3000)] + [("it", 8, "same")] * 3000)
+    got, _ = sampled(llm, rows, 400)
+    assert {k: sum(r.y == k for r in got) for k in ("en", "fr", "de", "it")} == {"en": 100, "fr": 100, "de": 100, "it": 1}
+
+
+def test_sample_of_many_classes(llm):
+    rows = [(f"l{i % 1000}", i, f"t{i}") for i in range(5000)]
+    got, _ = sampled(llm, rows, 2400)
+    assert len(got) == 2000 and len({r.y for r in got}) == 1000
+    got, _ = sampled(llm, rows, 300)
+    assert len(got) == 1000 and len({r.y for r in got}) == 1000
+
+
+def test_fitting_against_plain_gradients():
+    """The fitted weights lie where the penalised loss is flat: its gradient,
+    worked out row by row, all but vanishes."""
+    rng = np.random.default_rng(3)
+    x = np.stack([features.unit(rng.integers(1, 9, 4)) * rng.choice([-1, 1], 4) for _ in range(200)]).astype(np.float32)
+    y = np.where(4 * x @ np.array([[1.0], [-2], [0.5], [0]]) + rng.normal(size=(200, 1)) > 0, 1, -1).astype(np.float32)
+    w, b = language.fit_linear(x, y, np.ones(200))
+    m = (y * (x @ w + b))[:, 0]
+    g = sum(-y[i, 0] * x[i] / (1 + np.exp(m[i])) for i in range(200)) / 200 + language.PENALTY * w[:, 0]
+    assert np.abs(g).max() < 5e-3
+    good, bad = rng.integers(0, 200, (2, 500))
+    good, bad = np.where(x[good, 0] > x[bad, 0], good, bad), np.where(x[good, 0] > x[bad, 0], bad, good)
+    v = quality.fit_pairs(x + rng.normal(size=x.shape).astype(np.float32), good, bad)
+    assert v[0] > 0 and v[0] > np.abs(v[1:]).max()
+
+
+def test_clashing_names_pass_through(llm):
+    rows = [(i, t, "p", 0.5, 7) for i, t in enumerate(["the cat", "le chat", None])]
+    df = llm.createDataFrame(rows, "doc_id bigint, text string, prediction string, score double, worth int")
+    known = llm.createDataFrame([(i, t, k, n) for i, (t, k, n) in enumerate(
+        [("the cat is here", "en", 1), ("le chat est ici", "fr", 0)] * 9)], "doc_id bigint, text string, lang string, quality int")
+    for out in (language.predict(df, language.fit(known)), quality.score(df, quality.fit(known))):
+        got = out.collect()
+        assert [(r.prediction, r.worth) for r in got] == [("p", 7)] * 3 and out.columns.count("score") == 1
