@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kasir.llm import language, quality
-from kasir.llm.common import prepare, staged, table, text_or_empty
+from kasir.llm.common import TEXT_ROWS, prepare, staged, table, text_or_empty
 from kasir.llm.line_dedup import dedup_lines
 from kasir.llm.ngram_join import ngram_components, text_digest
 from kasir.llm.packing import pack_documents
@@ -70,7 +70,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of at most 2048 tokens."""
     import public_tokenizers
-    prepare(spark)
+    prepare(spark, TEXT_ROWS)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
 
 
