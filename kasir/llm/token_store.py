@@ -14,14 +14,18 @@ those reports is the commit. A retried or speculative task leaves at most a file
 that no manifest names.
 
 Defined results: a null text is empty and holds only the end id. A null id sorts
-first and is read back as null. Repeated ids are separate entries, ordered by
-text. Extra columns are ignored. An empty table gives an empty manifest.
+first and is read back as null. Repeated ids are separate entries, ordered by a
+hash of the text, and rows equal in both by their place in the input: an id that a
+third of all rows share spreads over files. A text of any length is one frame;
+frames are read some megabytes at a time. Extra columns are ignored. An empty
+table gives an empty manifest.
 """
 
 from __future__ import annotations
 
 import struct
 import uuid
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +43,7 @@ SEEK_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
 LEVEL = 3
+READ_BYTES = 8 << 20            # ids sent back at once
 MANIFEST = ("part int, file string, first_id bigint, last_id bigint, "
             "n_docs bigint, n_tokens bigint, n_bytes bigint")
 ENTRY = "doc_id bigint, start bigint, ids binary"
@@ -138,6 +143,27 @@ class open_part:
             hit |= self.null
         return np.flatnonzero(hit).tolist()
 
+    def entries(self, places, base: int) -> Iterator[pa.RecordBatch]:
+        """The documents at ``places`` as batches of a bounded size."""
+        at: list[int] = []
+        ids: list[bytes] = []
+        held = 0
+        for i in places:
+            at.append(i)
+            ids.append(self.document(i))
+            held += len(ids[-1])
+            if held > READ_BYTES:
+                yield self._batch(at, ids, base)
+                at, ids, held = [], [], 0
+        if at:
+            yield self._batch(at, ids, base)
+
+    def _batch(self, at: list[int], ids: list[bytes], base: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({
+            "doc_id": pa.array([self.doc_id(i) for i in at], pa.int64()),
+            "start": pa.array([base + int(self.starts[i]) for i in at], pa.int64()),
+            "ids": pa.array(ids, pa.binary())})
+
     def close(self) -> None:
         self.file.close()
 
@@ -150,10 +176,13 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0, folder: str |
     spark = docs.sparkSession
     folder = folder or shared_path(spark, "tokens")
     end = struct.pack("<I", end_id)
-    # The range's bounds come from a sample of ids, so the texts are sorted
+    # The range's bounds come from a sample of keys, so the texts are sorted
     # before they are encoded, not after.
-    rows = (docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-            .repartitionByRange(parts or slots(spark), "id").sortWithinPartitions("id", "text"))
+    text = text_or_empty(text_col)
+    key = ("id", "h", "row")
+    rows = (docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("h"),
+                        F.monotonically_increasing_id().alias("row"))
+            .repartitionByRange(parts or slots(spark), *key).sortWithinPartitions(*key).select("id", "text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -161,10 +190,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0, folder: str |
         path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.zst"
         enc, out = encoder(tokenizer, added_tokens), None
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            out = out or (PartWriter(path) if ids else None)
-            for doc, text in zip(ids, texts):
-                out.add(doc, enc.encode(text) + end)
+            out = out or (PartWriter(path) if len(b) else None)
+            for doc, data in zip(b.column(0).to_pylist(), enc.encode_all(b.column(1))):
+                out.add(doc, data + end)
         if out is not None:
             size = out.close()
             yield pa.RecordBatch.from_pydict({
@@ -190,12 +218,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
         for b in batches:
             for path, base in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 part = open_part(path)
-                for lo in range(0, len(part), 500):
-                    span = range(lo, min(lo + 500, len(part)))
-                    yield pa.RecordBatch.from_pydict({
-                        "doc_id": pa.array([part.doc_id(i) for i in span], pa.int64()),
-                        "start": pa.array([base + int(part.starts[i]) for i in span], pa.int64()),
-                        "ids": pa.array([part.document(i) for i in span], pa.binary())})
+                yield from part.entries(range(len(part)), base)
                 part.close()
 
     return with_bases(manifest).select("file", "base").repartition(n).mapInArrow(read, ENTRY)
@@ -203,13 +226,26 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
 
 def find_tokens(manifest: DataFrame, wanted: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Only the documents whose id is in ``wanted``: each id goes to the files
-    whose range holds it, and only its frames are decompressed. The manifest
-    has one row per file, a bound set by the writer's ``parts``."""
-    files = with_bases(manifest).select("file", "base", "first_id", "last_id")
+    whose range holds it, found by bisection of the manifest, and only its frames
+    are decompressed. The manifest has one row per file, a bound set by the
+    writer's ``parts``."""
+    files = sorted(with_bases(manifest).collect(), key=lambda r: r["part"])
+    below = -(1 << 63) - 1              # where a null id sorts
+    order = lambda i: below if i is None else i
+    first, last = [order(r["first_id"]) for r in files], [order(r["last_id"]) for r in files]
+    places = [(r["file"], r["base"]) for r in files]
+
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(*places[p], w) for w in b.column(0).to_pylist()
+                    for p in range(bisect_left(last, order(w)), bisect_right(first, order(w)))]
+            yield pa.RecordBatch.from_pydict({
+                "file": pa.array([r[0] for r in rows], pa.string()),
+                "base": pa.array([r[1] for r in rows], pa.int64()),
+                "want": pa.array([r[2] for r in rows], pa.int64())})
+
     keys = wanted.select(F.col(id_col).cast("long").alias("want")).distinct()
-    inside = ((F.col("want") >= F.coalesce("first_id", "want")) & (F.col("want") <= F.col("last_id"))
-              | F.col("want").isNull() & F.col("first_id").isNull())
-    asked = keys.join(files, inside).select("file", "base", "want")
+    asked = keys.mapInArrow(locate, "file string, base bigint, want bigint")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -218,11 +254,7 @@ def find_tokens(manifest: DataFrame, wanted: DataFrame, id_col: str = "doc_id")
                 by_file.setdefault((f, base), []).append(w)
             for (f, base), want in by_file.items():
                 part = open_part(f)
-                at = part.find(want)
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array([part.doc_id(i) for i in at], pa.int64()),
-                    "start": pa.array([base + int(part.starts[i]) for i in at], pa.int64()),
-                    "ids": pa.array([part.document(i) for i in at], pa.binary())})
+                yield from part.entries(part.find(want), base)
                 part.close()
 
     return asked.repartition("file").sortWithinPartitions("file").mapInArrow(read, ENTRY)
@@ -230,8 +262,8 @@ def find_tokens(manifest: DataFrame, wanted: DataFrame, id_col: str = "doc_id")
 
 def op1_token_files(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    from kasir.llm.common import prepare, table
-    prepare(spark)
+    from kasir.llm.common import TEXT_ROWS, prepare, table
+    prepare(spark, TEXT_ROWS)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     manifest = write_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
     entries = read_tokens(manifest)

@@ -37,7 +37,7 @@ def random_texts(n, seed=1):
 
 def test_pieces_encode_like_the_library(lib):
     texts = random_texts(3000) + ["", " ", "x" * 400, "don't we'll"]
-    got = pieces.PieceEncoder(JSON, cache_pieces=500, cache_matches=300).encode_all(texts)
+    got = pieces.PieceEncoder(JSON, cut_bytes=3000, chunk=20).encode_all(texts)
     assert got == [le(lib(t)) for t in texts]
 
 
@@ -46,7 +46,7 @@ def test_token_files_round_trip(llm, docs, lib):
     got = sorted(((r.doc_id, r.start, bytes(r.ids)) for r in token_store.read_tokens(manifest).collect()),
                  key=lambda r: r[1])
     rows = sorted(docs.select("doc_id", "text").collect(),
-                  key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text or ""))
+                  key=lambda r: (r.doc_id is not None, r.doc_id or 0))
     at, want = 0, []
     for r in rows:
         ids = lib(r.text or "") + [0]
@@ -125,6 +125,34 @@ def test_packed_sequences_hold_the_ids(llm, docs):
     assert sum(len(r.ids) for r in packing.sequences(rows).collect()) == total
 
 
+def test_clashing_piece_columns_pass_through(llm):
+    rows = [(i, 0, 0, 1 + i % 5, "s", 7, "b", 9, "o") for i in range(20)]
+    df = llm.createDataFrame(rows, "doc_id bigint, piece int, start bigint, length bigint, salt string, local int, "
+                                   "base string, rank int, offset string")
+    got = packing.pack(df, 10).collect()
+    assert {(r.salt, r.local, r.base, r["rank"]) for r in got} == {("s", 7, "b", 9)} and len(got) == 20
+    check_packing(got, 10)
+
+
+def test_one_id_spreads_over_files(llm, lib):
+    """Rows of one id, equal ones too, do not end up in one file."""
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"text {i}" if i % 2 else "same") for i in range(600)]
+    manifest = token_store.write_tokens(llm.createDataFrame(rows, "doc_id bigint, text string"), JSON, parts=6)
+    sizes = [r.n_docs for r in manifest.collect()]
+    assert sum(sizes) == 600 and max(sizes) <= 200
+    for wanted, n in ((None, 200), (5, 201)):
+        got = token_store.find_tokens(manifest, llm.createDataFrame([(wanted,)], "doc_id bigint"))
+        assert got.count() == n
+
+
+def test_long_texts_are_read_in_batches(llm, lib, monkeypatch):
+    monkeypatch.setattr(token_store, "READ_BYTES", 1000)
+    rows = [(i, f"word{i} " * 300) for i in range(12)]
+    manifest = token_store.write_tokens(llm.createDataFrame(rows, "doc_id bigint, text string"), JSON, parts=2)
+    got = {r.doc_id: bytes(r.ids) for r in token_store.read_tokens(manifest).collect()}
+    assert got == {i: le(lib(t) + [0]) for i, t in rows}
+
+
 def test_packing_an_empty_table(llm, no_docs):
     assert packing.pack_documents(no_docs, JSON).count() == 0
 
@@ -202,7 +230,7 @@ def test_literals_of_added_tokens_as_in_the_plain_library(llm, tmp_path):
     ids = lambda s: plain.encode(s, add_special_tokens=False).ids
     assert ids("a <|endoftext|> b") == [64, 220, 50256, 275]
     texts = random_texts(2000, seed=9) + ["<|endoftext|>" * 3, "a <|endoftext|> b", " <|endoftext|>", "<|endoftext|"]
-    got = pieces.PieceEncoder(JSON, cache_pieces=500, cache_matches=300, added_tokens=True).encode_all(texts)
+    got = pieces.PieceEncoder(JSON, True, cut_bytes=3000, chunk=20).encode_all(texts)
     assert got == [le(ids(t)) for t in texts]
     rows = list(enumerate(texts[-300:]))
     df = llm.createDataFrame(rows, "doc_id bigint, text string")
