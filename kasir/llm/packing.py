@@ -15,8 +15,10 @@ length selects the step, the sequence and the offset. Ranks are counted under
 third of all pieces share is spread over many tasks.
 
 Defined results: a null text is empty and packs as its end id. Ids may be null
-or repeat; each row is packed on its own. Extra columns are ignored. An empty
-table gives no rows.
+or repeat; each row is packed on its own. A text of any length is cut into pieces;
+ids go back to Spark some megabytes at a time. ``token_pieces`` ignores extra
+columns; ``pack`` passes them through, whatever their names, but for
+``sequence_id`` and ``offset``, which it replaces. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kasir.llm.common import slots, staged, text_or_empty
+from kasir.llm.common import name_clash_free, slots, staged, text_or_empty
 from kasir.llm.pieces import encoder
 
 CAPACITY = 2048
@@ -52,11 +54,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, added_tokens)
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             out: list[tuple] = []
             held = 0
-            for doc, text in zip(ids, texts):
-                data = enc.encode(text) + end
+            for doc, data in zip(b.column(0).to_pylist(), enc.encode_all(b.column(1))):
+                data += end
                 first = len(data) % width or width
                 spans = [(0, first), *((s, s + width) for s in range(first, len(data), width))]
                 out += [(doc, k, s // 4, (e - s) // 4, data[s:e]) for k, (s, e) in enumerate(spans)]
@@ -150,31 +151,32 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     length, first, per, sequence, offset = placements(plan(histogram, capacity), capacity)
     key = (length << RANK_BITS) + first
 
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(n)))
-    sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    local = Window.partitionBy("length", "salt").orderBy("doc_id", "piece")
-    ranked = (salted.withColumn("local", F.row_number().over(local))
-              .join(bases, ["length", "salt"])
-              .withColumn("rank", F.col("base") + F.col("local") - 1))
-    kept = [f for f in pieces.schema.fields]
+    salt, local, base, rank = (name_clash_free(pieces, c) for c in ("salt", "local", "base", "rank"))
+    salted = pieces.withColumn(salt, F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(n)))
+    sizes = salted.groupBy("length", salt).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("length").orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("length", salt, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(base))
+    within = Window.partitionBy("length", salt).orderBy("doc_id", "piece")
+    ranked = (salted.withColumn(local, F.row_number().over(within))
+              .join(bases, ["length", salt])
+              .withColumn(rank, F.col(base) + F.col(local) - 1))
+    kept = [f for f in pieces.schema.fields if f.name.lower() not in ("sequence_id", "offset")]
     out_type = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
                          + ["sequence_id bigint", "offset bigint"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rank = np.asarray(b.column("rank"))
+            nth_of_length = np.asarray(b.column(rank))
             own = np.asarray(b.column("length"))
-            at = np.searchsorted(key, (own << RANK_BITS) + rank, side="right") - 1
-            nth = rank - first[at]
+            at = np.searchsorted(key, (own << RANK_BITS) + nth_of_length, side="right") - 1
+            nth = nth_of_length - first[at]
             seq = sequence[at] + nth // per[at]
             off = offset[at] + nth % per[at] * own
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(f.name) for f in kept), pa.array(seq), pa.array(off)],
                 names=[*(f.name for f in kept), "sequence_id", "offset"])
 
-    return ranked.select(*[f.name for f in kept], "rank").mapInArrow(place, out_type)
+    return ranked.select(*[F.col(f"`{f.name}`") for f in kept], rank).mapInArrow(place, out_type)
 
 
 def sequences(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -195,7 +197,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, en
 
 def op5_packing(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    from kasir.llm.common import prepare, table
-    prepare(spark)
+    from kasir.llm.common import TEXT_ROWS, prepare, table
+    prepare(spark, TEXT_ROWS)
     docs = table(spark, sf_dir, "documents")
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
