@@ -21,7 +21,10 @@ null id sorts after all others; each text without an id is a document of its own
 and those are ordered by a text fingerprint. Rows repeated with the same id and
 text are one document and all get its bitmap; rows with one id and different
 texts are versions of one document, told apart by the fingerprint: they share
-the id's place in the order and keep a line that only they hold. Extra columns pass through. An empty table gives no rows.
+the id's place in the order and keep a line that only they hold. A text of any
+length is split whole, in one row. Columns ``n_lines`` and ``n_dropped`` of the
+input are replaced; all others pass through, whatever their names. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kasir.llm.common import slots, text_or_empty
+from kasir.llm.common import name_clash_free, slots, text_or_empty
 
 # The white space a key loses, and the letters it folds.
 EDGE = " \t\n\x0b\f\r"
@@ -101,19 +104,19 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id",
     """``docs`` with ``text_col`` reduced to its kept lines, plus ``n_lines``
     (before) and ``n_dropped``. Documents without a bitmap keep all lines."""
     text = text_or_empty(text_col)
-    marks = bitmaps.select(F.col("doc").alias("__doc"), F.col("fp").alias("__fp"),
-                           F.col("n_dropped").alias("__dropped"), F.col("kept").alias("__kept"))
-    joined = docs.join(marks, F.col(id_col).eqNullSafe(F.col("__doc"))
-                       & (F.xxhash64(text) == F.col("__fp")), "left")
+    doc, fp, gone, runs = (name_clash_free(docs, n) for n in ("doc", "fp", "dropped", "kept"))
+    marks = bitmaps.select(F.col("doc").alias(doc), F.col("fp").alias(fp), F.col("n_dropped").alias(gone),
+                           F.col("kept").alias(runs))
+    joined = docs.join(marks, F.col(f"`{id_col}`").eqNullSafe(F.col(doc)) & (F.xxhash64(text) == F.col(fp)), "left")
     lines = F.split(text, "\n", -1)
     size = F.size(lines)
-    kept = F.flatten(F.transform("__kept", lambda r: F.slice(
+    kept = F.flatten(F.transform(runs, lambda r: F.slice(
         lines, r["start"] + 1, F.coalesce(r["length"], size - r["start"]))))
-    out = F.when(F.col("__kept").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    out = F.when(F.col(runs).isNull(), text).otherwise(F.array_join(kept, "\n"))
     own = [c for c in docs.columns if c.lower() not in (text_col.lower(), "n_lines", "n_dropped")]
     return joined.select(*[F.col(f"`{c}`") for c in own], out.alias(text_col),
                          size.cast("long").alias("n_lines"),
-                         F.coalesce("__dropped", F.lit(0)).cast("long").alias("n_dropped"))
+                         F.coalesce(gone, F.lit(0)).cast("long").alias("n_dropped"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
