@@ -2,8 +2,9 @@
 
 Vectors become integer rows and are stacked into blocks; query vectors likewise.
 Every query block meets every vector block once per round, through an equi-join
-on the vector block's group, and all scores of the pair are one matrix product.
-Round 1 counts, per query, how many candidates fall into each bin of the range
+on the vector block's group, and all scores of the pair are one matrix product. A
+task adds up the histograms of the pairs it sees before they leave it. Round 1
+counts, per query, how many candidates fall into each bin of the range
 the norms allow. The bins' global sums locate the bin of the k-th largest score;
 the next round splits that bin alone, and so on until each query's bin holds a
 single score or few enough rows lie at or above its lower edge. The last round
@@ -19,7 +20,8 @@ Defined results: vectors that are null, or hold a null or a non-finite
 component, take no part; nor do null ids. Vectors are compared only with those
 of the same length. A repeated id is a separate candidate, except that rows with
 the query's own id are never its candidates. Fewer than k candidates: all are
-returned. Extra columns are ignored; an empty table gives no rows.
+returned. Extra columns are ignored, whatever their names; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ SCALE = 1024
 BINS = 512             # bins per query and round
 BLOCK = 1024           # rows per vector block, at most
 QUERY_BLOCK = 256      # rows per query block, at most
+HELD = 32              # query blocks whose histograms a task adds up at once
 SLACK = 64             # rows above the edge, beyond k, that end the rounds
 EXACT_FLOAT = 1 << 53
 EXACT_INT = 1 << 61
@@ -113,7 +116,18 @@ def _pairs(batches: Iterator[pa.RecordBatch]):
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Histogram rows (query block, index, bin, n) of the open bins."""
+    """Histogram rows (query block, index, bin, n) of the open bins, added up
+    over the task's pairs; sums of at most ``HELD`` query blocks are held."""
+    held: dict[int, np.ndarray] = {}
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for block, n in held.items():
+            i, b = np.nonzero(n)
+            yield pa.RecordBatch.from_pydict({
+                "qblock": pa.array(np.full(len(i), block), pa.int64()), "i": pa.array(i, pa.int32()),
+                "bin": pa.array(b, pa.int32()), "n": pa.array(n[i, b], pa.int64())})
+        held.clear()
+
     for q, _, s, own in _pairs(batches):
         lo, width, hi = (_ids(q[k])[:, None] for k in ("lo", "width", "hi"))
         at = (s - lo) // width
@@ -121,10 +135,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at[own | (s < lo) | (s >= hi) | (at >= BINS)] = BINS
         flat = (np.arange(len(s))[:, None] * (BINS + 1) + at).ravel()
         n = np.bincount(flat, minlength=len(s) * (BINS + 1)).reshape(len(s), BINS + 1)[:, :BINS]
-        i, b = np.nonzero(n)
-        yield pa.RecordBatch.from_pydict({
-            "qblock": pa.array(np.full(len(i), q["block"]), pa.int64()), "i": pa.array(i, pa.int32()),
-            "bin": pa.array(b, pa.int32()), "n": pa.array(n[i, b], pa.int64())})
+        if q["block"] not in held and len(held) == HELD:
+            yield from rows()
+        held[q["block"]] = held[q["block"]] + n if q["block"] in held else n
+    yield from rows()
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,10 +196,12 @@ def top_k(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
     vectors = integer_vectors(df, id_col, vec_col, scale)
     asked = integer_vectors(df.where(is_query), id_col, vec_col, scale)
     n_blocks, n_asked = -(-df.count() // BLOCK), -(-asked.count() // QUERY_BLOCK)
-    blocks = staged(stack(vectors.repartition(max(n_blocks, 1)), BLOCK), "vector-blocks")
+    # Blocks are cut within tasks, so there are no more tasks than slots.
+    deal = lambda n: max(1, min(n, groups))
+    blocks = staged(stack(vectors.repartition(deal(n_blocks)), BLOCK), "vector-blocks")
     blocks = blocks.withColumn("g", F.pmod(F.xxhash64("ids"), F.lit(groups)))
     # Cauchy-Schwarz: no score lies beyond the product of the largest norms.
-    qblocks = staged(stack(asked.repartition(max(n_asked, 1)), QUERY_BLOCK), "query-blocks")
+    qblocks = staged(stack(asked.repartition(deal(n_asked)), QUERY_BLOCK), "query-blocks")
     qblocks = staged(qblocks.withColumn("block", F.monotonically_increasing_id()), "query-numbers")
     norms = blocks.groupBy("dim").agg(F.max("norm").alias("far"))
 
