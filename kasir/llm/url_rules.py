@@ -5,19 +5,21 @@ A URL becomes the set of all its parts: top-level domain, domain, host, first
 label, every other host label, every path segment (the first two by position as
 well), extension, every query key and the set of keys. Only tokens frequent over
 all labelled URLs can be in a rule. Tokens found in exactly the same labelled
-URLs are one item for FP-growth, so a long URL does not multiply its parts; the
-rules are spelled out for each of the tokens. Those that imply a verdict with
-enough support and confidence become rules, unless a more general rule ranks at
-least as high, since that one decides then. A rule is filed in an inverted index
-under its rarest token. Distinct token sets look up their tokens there,
-candidates are verified in whole, and the best rule (confidence, support, size,
-then its tokens) gives the verdict. Texts of URLs never meet more than their own
-candidates.
+URLs are one item for FP-growth, so a long URL does not multiply its parts; in a
+rule they are alternatives: any of them stands for the item. Those item sets that
+imply a verdict with enough support and confidence become rules, unless a more
+general rule ranks at least as high, since that one decides then. A rule is filed
+in an inverted index under each token of its rarest item. Distinct token sets look
+up their tokens there, candidates are verified in whole, and the best rule
+(confidence, support, size, then its items) gives the verdict. Texts of URLs never
+meet more than their own candidates.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path
 and no tokens, and gets the default verdict. Null, repeated ids and repeated
 URLs are judged row by row. Labels that are null take no part. Without labelled
-URLs or mined rules the default verdict holds. An empty table gives no rows.
+URLs or mined rules the default verdict holds. Of a URL of any length all parts
+are tokens. Columns named as the results are replaced, all others pass through,
+whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kasir.llm.common import slots, staged
+from kasir.llm.common import name_clash_free, slots, staged
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -87,11 +89,14 @@ def stated_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -
 
 def mine_rules(labelled: DataFrame, url_col: str = "url", label_col: str = "label",
                min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(key, items, verdict, confidence, support) from labelled URLs. ``key``
-    is the rule's rarest token, under which the index holds it."""
+    """(key, items, of, verdict, confidence, support) from labelled URLs.
+    ``items`` names the rule's items by their first tokens, ``of`` lists each
+    one's alternatives; there is a row per token of the rarest item, ``key``,
+    under which the index holds the rule."""
     from pyspark.ml.fpm import FPGrowth
     spark = labelled.sparkSession
-    out = "key string, items array<string>, verdict string, confidence double, support double"
+    out = ("key string, items array<string>, of array<array<string>>, verdict string, "
+           "confidence double, support double")
     label = F.col(label_col).cast("string")
     baskets = labelled.where(label.isNotNull()).select(
         F.monotonically_increasing_id().alias("row"), url_tokens(F.col(url_col)).alias("tokens"),
@@ -123,17 +128,13 @@ def mine_rules(labelled: DataFrame, url_col: str = "url", label_col: str = "labe
                      F.substring(F.element_at("consequent", 1), len(VERDICT_ITEM) + 1, 1 << 20).alias("verdict"),
                      "confidence", "support"))
     rules = leading(staged(rules, "url-all-rules"))
-    # Back to tokens: one rule per choice of a token for each item.
+    # Back to tokens: an item's tokens are alternatives, the rarest item first.
     member = rules.select("*", F.explode("items").alias("item")).join(classes, "item")
     spelled = (member.groupBy("items", "verdict", "confidence", "support")
-               .agg(F.sort_array(F.collect_list(F.struct("freq", "item", "tokens"))).alias("of")))
-    choices = F.aggregate(
-        F.col("of"), F.array(F.array().cast("array<string>")),
-        lambda acc, c: F.flatten(F.transform(acc, lambda head: F.transform(
-            c["tokens"], lambda t: F.concat(head, F.array(t))))))
-    rarest = spelled.select(F.explode(choices).alias("picked"), "verdict", "confidence", "support")
-    return staged(rarest.select(F.element_at("picked", 1).alias("key"), F.array_sort("picked").alias("items"),
-                                "verdict", "confidence", "support"), "url-rules")
+               .agg(F.transform(F.sort_array(F.collect_list(F.struct("freq", "item", "tokens"))),
+                                lambda c: c["tokens"]).alias("of")))
+    return staged(spelled.select(F.explode(F.element_at("of", 1)).alias("key"), "items", "of", "verdict",
+                                 "confidence", "support"), "url-rules")
 
 
 def leading(rules: DataFrame) -> DataFrame:
@@ -152,15 +153,17 @@ def leading(rules: DataFrame) -> DataFrame:
 def judge_mined(pages: DataFrame, rules: DataFrame, url_col: str, out_col: str,
                 default: str = "allow") -> DataFrame:
     """``pages`` plus ``out_col``: the best mined rule's verdict."""
-    tokened = pages.withColumn("__tokens", url_tokens(F.col(url_col)))
-    sets = tokened.select("__tokens").distinct()
-    looked = (sets.select("__tokens", F.explode("__tokens").alias("key")).join(rules, "key")
-              .where(F.size(F.array_except("items", "__tokens")) == 0))
-    best = (looked.groupBy("__tokens")
+    tokens, found = name_clash_free(pages, "tokens"), name_clash_free(pages, "found")
+    tokened = pages.withColumn(tokens, url_tokens(F.col(f"`{url_col}`")))
+    sets = tokened.select(F.col(tokens).alias("set")).distinct()
+    looked = (sets.select("set", F.explode("set").alias("key")).join(rules, "key")
+              .where(F.forall("of", lambda tokens: F.arrays_overlap(tokens, F.col("set")))))
+    best = (looked.groupBy("set")
             .agg(F.max(F.struct("confidence", "support", F.size("items").alias("n"), "items", "verdict"))
-                 ["verdict"].alias("__verdict")))
-    return (tokened.join(best, "__tokens", "left")
-            .withColumn(out_col, F.coalesce("__verdict", F.lit(default))).drop("__tokens", "__verdict"))
+                 ["verdict"].alias(found))).withColumnRenamed("set", tokens)
+    own = [c for c in pages.columns if c.lower() != out_col.lower()]
+    return tokened.join(best, tokens, "left").select(
+        *[F.col(f"`{c}`") for c in own], F.coalesce(found, F.lit(default)).alias(out_col))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str = "url",
@@ -168,16 +171,16 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str = "u
           min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``pages`` plus host, path, rule, verdict. The URLs that a stated rule
     decides are the labels from which the method learns the others."""
-    url = F.col(url_col)
-    own = pages.drop("host", "path", "rule", "verdict")
-    host, path = host_of(url), path_of(url)
+    url = F.col(f"`{url_col}`")
+    own = pages.drop(*[c for c in pages.columns if c.lower() in ("host", "path", "rule", "verdict")])
+    stated, learned = name_clash_free(own, "stated"), name_clash_free(own, "learned")
     rule, verdict = stated_rule(F.col("host"), F.col("path"), rules)
-    cut = (own.withColumn("host", host).withColumn("path", path)
-           .withColumn("rule", rule).withColumn("__stated", verdict))
-    mined = mine_rules(cut.where("__stated is not null").select(url_col, "__stated"),
-                       url_col, "__stated", min_support, min_confidence)
-    out = judge_mined(cut, mined, url_col, "__mined", default)
-    return out.withColumn("verdict", F.coalesce("__stated", "__mined")).drop("__stated", "__mined")
+    cut = (own.withColumn("host", host_of(url)).withColumn("path", path_of(url))
+           .withColumn("rule", rule).withColumn(stated, verdict))
+    mined = mine_rules(cut.where(F.col(stated).isNotNull()).select(url_col, stated),
+                       url_col, stated, min_support, min_confidence)
+    out = judge_mined(cut, mined, url_col, learned, default)
+    return out.withColumn("verdict", F.coalesce(stated, learned)).drop(stated, learned)
 
 
 # The stated rules of op8_url_rules.
