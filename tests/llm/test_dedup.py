@@ -82,6 +82,13 @@ def test_texts_without_an_id_are_documents_of_their_own(llm):
     assert (None, "x") in got
 
 
+def test_clashing_line_columns_pass_through(llm):
+    rows = [(1, "a shared line\nx", "d", "k"), (2, "y\na shared line", "d", "k")]
+    df = llm.createDataFrame(rows, "doc_id bigint, text string, doc string, kept string")
+    got = sorted((r.doc_id, r.text, r.doc, r.kept) for r in line_dedup.dedup_lines(df).collect())
+    assert got == [(1, "a shared line\nx", "d", "k"), (2, "y", "d", "k")]
+
+
 def test_bitmap_is_the_runs_of_kept_lines(llm):
     rows = [(1, "line number one\nline number two"), (2, "a\nline number one\nb\nline number two\nc")]
     got = line_dedup.keep_bitmaps(llm.createDataFrame(rows, "doc_id bigint, text string")).collect()
@@ -134,6 +141,26 @@ def test_state_outlives_a_run(llm, tmp_path):
     assert rows_of(exact_dedup.dedup_folder(llm, path, home=home)) == by_id(exact(one + two))
 
 
+def test_batches_meet_the_state(llm, tmp_path):
+    """Files taken one at a time: groups span micro-batches, the last of which
+    brings nothing new; the state is read, not an image of it."""
+    rows = [(i, f"text {i % 7}") for i in range(40)] + [(100, None), (101, "")]
+    path = str(tmp_path / "files")
+    llm.createDataFrame(rows, "doc_id bigint, text string").repartition(6).write.parquet(path)
+    home = str(tmp_path / "home")
+    assert rows_of(exact_dedup.dedup_folder(llm, path, home=home, files_per_batch=1)) == by_id(exact(rows))
+    commits = [p for p in (tmp_path / "home" / "checkpoint" / "commits").iterdir() if p.name.isdigit()]
+    assert len(commits) >= 6
+
+
+def test_a_hot_text_is_spread(llm, tmp_path, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "SALT_ROWS", 5)
+    rows = [(i, "hot" if i % 3 == 0 else f"t{i % 50}") for i in range(300)]
+    path = str(tmp_path / "hot")
+    llm.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(path)
+    assert rows_of(exact_dedup.dedup_folder(llm, path)) == by_id(exact(rows))
+
+
 def test_digest_hits_are_checked_byte_for_byte(llm, tmp_path, monkeypatch):
     real = exact_dedup.located
 
