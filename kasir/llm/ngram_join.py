@@ -16,6 +16,7 @@ so a large group of near copies costs a few comparisons per member. Candidates a
 verified on whole sets. Group pairs that share a posting, have compatible sizes
 and lie in different components after that are compared in full, so no link that
 changes a component is missed; links inside a known component are not needed.
+Long postings are compared in blocks, a task holding a few of them at a time.
 
 Shingles are compared by 64-bit hashes, whole sets by 128-bit digests.
 
@@ -27,6 +28,7 @@ null. Extra columns are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +49,7 @@ SKETCH_BITS = 22                # size of the table of common shingles
 HUBS = 3                        # per posting and size step
 FEW = 8                         # shorter postings have one hub
 LONG = 64                       # postings from here on make each open pair once
+BLOCK = 256                     # groups of a long posting that meet in a task at once
 COUNTED = 1 << 21               # shingles counted at once in a task
 
 
@@ -255,6 +258,39 @@ def enough_shared(pairs: DataFrame, percent: int) -> DataFrame:
     return counted.where(can_be_similar(F.col("shared"), percent)).drop("shared")
 
 
+def block_sides(long: DataFrame, own: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the pairs to judge within long postings (token, n, g, p,
+    q), dealt to cells (token, k, i, j) of about ``BLOCK`` groups a side.
+
+    ``p`` and ``q`` are the least and greatest component in a group. The groups
+    wholly in a posting's most frequent component, ``major``, need not meet one
+    another, so they are on the second side alone: where one component fills a
+    posting, the pairs grow with its length and not with the square. ``k`` is
+    the size step of the second side; only sizes of neighbouring steps can be
+    similar (the steps are a trifle wider than the similarity allows)."""
+    step = F.floor(F.log(F.col("n").cast("double")) / math.log(100.0 / percent * (1 + 1e-6)))
+    most = (long.where("p = q").groupBy("token", "p").agg(F.count("*").alias("m"))
+            .groupBy("token").agg(F.max_by("p", F.struct("m", "p")).alias("top")))
+    rows = (long.join(most, "token", "left").withColumn("k", step)
+            .withColumn("major", F.coalesce(F.expr("p = q and p = top"), F.lit(False)))
+            .select("token", "k", "n", "g", "p", "q", "major"))
+    rows = staged(rows, "long-postings")
+    near = rows.where("not major").withColumn("k", F.explode(F.array(*[F.col("k") + d for d in (-1, 0, 1)])))
+    blocks = [side.groupBy("token", "k").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+              for side, name in ((near, "rows1"), (rows, "rows2"))]
+    cells = blocks[0].join(blocks[1], ["token", "k"])
+
+    def dealt(side: DataFrame, nr: int) -> DataFrame:
+        here, there = ("i", "j") if nr == 1 else ("j", "i")
+        return (side.join(cells, ["token", "k"]).join(own, ["n", "g"])
+                .withColumn(here, F.pmod(F.hash("n", "g"), F.col(f"rows{nr}")))
+                .withColumn(there, F.explode(F.sequence(F.lit(0), F.col(f"rows{3 - nr}") - 1)))
+                .select("token", "k", "i", "j",
+                        *[F.col(c).alias(f"{c}{nr}") for c in ("n", "g", "p", "q", "major", "hot", "cold")]))
+
+    return dealt(near, 1), dealt(rows, 2)
+
+
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      words: int = WORDS, percent: int = PERCENT, with_rows: bool = False) -> DataFrame:
     """(doc, n, c, component) per row of ``docs``. ``with_rows`` adds ``part``,
@@ -307,25 +343,23 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     apart = (F.expr("g1 < g2 or (g1 = g2 and n1 < n2)") & compatible("n1", "n2", percent)
              & F.expr("p1 <> q1 or p2 <> q2 or p1 <> p2"))
 
-    def sides(rows: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
-        return tuple(rows.select("token", *[F.col(c).alias(f"{c}{i}") for c in ("n", "g", "p", "q", *more)])
-                     for i in (1, 2))
-
     # Short postings: a row per pair and shared shingle, then counted.
-    x, y = sides(open_.where(F.col("held") < LONG))
+    few = open_.where(F.col("held") < LONG)
+    x, y = (few.select("token", *[F.col(c).alias(f"{c}{i}") for c in ("n", "g", "p", "q")]) for i in (1, 2))
     short = enough_shared(x.join(y, (x["token"] == y["token"]) & apart).select("n1", "g1", "n2", "g2"), percent)
     # Long postings: a pair is made once, in that of its smallest long-posted
     # shingle, and counted on the spot over all shingles that it shares. Pairs
     # that share one are judged here, whatever the short postings say.
-    long = open_.where(F.col("held") >= LONG)
     own = open_.groupBy("n", "g").agg(
         F.array_sort(F.collect_list(F.when(F.col("held") >= LONG, F.col("token")))).alias("hot"),
         F.collect_list(F.when(F.col("held") < LONG, F.col("token"))).alias("cold"))
-    x, y = sides(long.join(own, ["n", "g"]), "hot", "cold")
+    x, y = block_sides(open_.where(F.col("held") >= LONG), own, percent)
     hot = F.array_intersect("hot1", "hot2")
     shared = F.size(hot) + F.size(F.array_intersect("cold1", "cold2"))
-    once = (F.get(hot, F.lit(0)) == x["token"]) & can_be_similar(shared, percent)
-    rest = short.unionByName(x.join(y, (x["token"] == y["token"]) & apart & once).select("n1", "g1", "n2", "g2"))
+    met = (F.expr("(major2 or g1 < g2 or (g1 = g2 and n1 < n2)) and (p1 <> q1 or p2 <> q2 or p1 <> p2)")
+           & compatible("n1", "n2", percent)
+           & (F.get(hot, F.lit(0)) == F.col("token")) & can_be_similar(shared, percent))
+    rest = short.unionByName(x.join(y, ["token", "k", "i", "j"]).where(met).select("n1", "g1", "n2", "g2"))
     # Groups whose own members fell apart are compared with themselves as well.
     within = (parts.where("p <> q").select(F.col("n").alias("n1"), F.col("g").alias("g1"),
                                         F.col("n").alias("n2"), F.col("g").alias("g2")))

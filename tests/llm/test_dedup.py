@@ -244,11 +244,40 @@ def test_near_copies_in_random_documents(llm, seed, vocabulary, common, monkeypa
     monkeypatch.setattr(ngram_join, "COMMON", 4)
     monkeypatch.setattr(ngram_join, "FEW", 3)
     monkeypatch.setattr(ngram_join, "LONG", 5)
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
     rows = corpus(seed, 260, vocabulary, common)
     got = ngram_join.ngram_components(llm.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
     assert near_rows(got) == by_id(near(rows))
 
 
+def test_blocks_of_long_postings_miss_no_pair(llm, monkeypatch):
+    """Every pair of one posting that may link is in some cell; groups of the
+    most frequent component meet only others; cells stay small."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 10)
+    rng = random.Random(4)
+    rows = []
+    for g in range(600):
+        p = "big" if g % 3 else f"p{rng.randrange(40)}"
+        q = max(p, "q") if g % 17 == 0 else p
+        rows += [(t, rng.choice([1, 4, 5, 79, 80, 99, 100, 125]), g, p, q) for t in ((1, 2) if g % 2 else (1,))]
+    long = llm.createDataFrame(rows, "token bigint, n bigint, g bigint, p string, q string")
+    own = long.groupBy("n", "g").agg(F.sort_array(F.collect_list("token")).alias("hot"),
+                                     F.array().cast("array<bigint>").alias("cold"))
+    x, y = ngram_join.block_sides(long, own, 80)
+    cells = x.join(y, ["token", "k", "i", "j"]).select("token", "n1", "g1", "p1", "q1", "n2", "g2", "p2", "q2")
+    met, seen = set(), 0
+    for r in cells.collect():
+        assert not (r.p1 == r.q1 == r.p2 == r.q2 == "big")
+        met.add((r.token, frozenset([(r.n1, r.g1), (r.n2, r.g2)])))
+        seen += 1
+    want = {(a[0], frozenset([a[1:3], b[1:3]])) for a in rows for b in rows
+            if a[0] == b[0] and a[2] < b[2] and 100 * min(a[1], b[1]) >= 80 * max(a[1], b[1])
+            and not a[3] == a[4] == b[3] == b[4] == "big"}
+    assert want <= met and seen < 2 * 600 * 600
+    per_cell = y.groupBy("token", "k", "i", "j").count().agg(F.max("count")).first()[0]
+    assert per_cell < 40
+
+
 def test_near_copies_in_an_empty_table(llm, no_docs):
     assert ngram_join.ngram_components(no_docs).count() == 0
 
