@@ -368,3 +368,26 @@ def test_release_comes_last(spark):
     release_staged(spark)
     assert not os.path.exists(folder.removeprefix("file:"))
     assert fx.store(spark, SF_SMALL).count() > 0
+
+
+def test_queries_bound_what_a_task_reads(spark):
+    """Also where the session comes with Spark's own sizes."""
+    from conftest import SF_SMALL
+    from kasir.queries import QUERIES
+    from kasir.session import JOB_CONF
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes",
+             "spark.sql.codegen.hugeMethodLimit")
+    for k in names:
+        spark.conf.unset(k)
+    QUERIES["map_visit_purpose"](spark, SF_SMALL)
+    assert {k: spark.conf.get(k) for k in names} == {k: JOB_CONF[k] for k in names}
+
+
+def test_a_folder_stands_for_all_files_below_it(spark, tmp_path):
+    from kasir.operators.loads import file_digests
+    from kasir.sources.reports import raw_lines
+    for at, text in (("north", "a\nb\n"), ("south/deep", "c\n")):
+        (tmp_path / at).mkdir(parents=True)
+        (tmp_path / at / "x.csv").write_text(text)
+    assert sorted(r["_line"] for r in raw_lines(spark, str(tmp_path)).collect()) == ["a", "b", "c"]
+    assert sorted(r["bytes"] for r in file_digests(spark, str(tmp_path)).collect()) == [2, 4]
