@@ -4,9 +4,10 @@ Counting distinct bills again over all history costs a shuffle of every bill lin
 ever loaded. The state keeps, instead:
 
 * ``bills``: a dictionary, each bill number with a dense id;
-* ``bits``: per (day, branch, channel) the set of its bills, as bitmaps of the ids
-  by bucket (32,768 ids each). New bills get their ids in the order of day,
-  branch and channel, so a key's bills share a bucket or two;
+* ``bits``: per (day, branch, channel) the set of its bills, as bits of the ids
+  by bucket (64 ids each, one integer). New bills get their ids in the order of
+  day, branch and channel, so a key's bills share buckets; a key with one bill
+  costs one integer, not a whole bitmap;
 * ``sums``: net sales per (day, branch, channel).
 
 An update touches the new lines only, shuffled by bill and by key; bitmaps are
@@ -32,7 +33,7 @@ from kasir.session import staged
 KEY = ("Date", "Branch", CHANNEL)
 _KEY_TYPE = f"Date date, Branch string, {CHANNEL} string"
 DICTIONARY = "bill string, id bigint"
-BITS = f"{_KEY_TYPE}, bucket bigint, bits binary"
+BITS = f"{_KEY_TYPE}, bucket bigint, bits bigint"
 PARTS = ("bills", "bits", "sums")
 
 
@@ -87,9 +88,8 @@ def update(state: BillState, bills: DataFrame, cfg: Config = DEFAULT) -> BillSta
     dictionary = staged(state.bills.unionByName(_numbered(new, base)), "bill-dictionary")
 
     own = (known.join(dictionary, "bill")
-           .groupBy(*KEY, F.bitmap_bucket_number("id").alias("bucket"))
-           .agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits")))
-    bits = state.bits.unionByName(own).groupBy(*KEY, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+           .select(*KEY, F.shiftright("id", 6).alias("bucket"), F.expr("shiftleft(1L, cast(id & 63 as int))").alias("bits")))
+    bits = state.bits.unionByName(own).groupBy(*KEY, "bucket").agg(F.bit_or("bits").alias("bits"))
     sums = (state.sums.unionByName(lines.groupBy(*KEY).agg(F.sum("net").cast(cfg.net_type).alias("net")))
             .groupBy(*KEY).agg(F.sum("net").cast(cfg.net_type).alias("net")))
     return BillState(dictionary, staged(bits, "bill-bits"), staged(sums, "bill-sums"))
@@ -104,7 +104,8 @@ def counts(state: BillState, stores: DataFrame, cfg: Config = DEFAULT) -> DataFr
     def placed(df: DataFrame) -> DataFrame:
         return join_key(df, st, "Branch", "CODE_GIS", "left", cfg.split_dimensions_above)
 
-    merged = placed(state.bits).groupBy(*out, "bucket").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("tc"))
+    merged = placed(state.bits).groupBy(*out, "bucket").agg(
+        F.bit_count(F.bit_or("bits")).cast("bigint").alias("tc"))
     zero = F.lit(0).cast("bigint")
     rows = merged.select(*out, "tc", F.lit(None).cast(cfg.net_type).alias("net")).unionAll(
         placed(state.sums).select(*out, zero, "net"))

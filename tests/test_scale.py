@@ -391,3 +391,18 @@ def test_a_folder_stands_for_all_files_below_it(spark, tmp_path):
         (tmp_path / at / "x.csv").write_text(text)
     assert sorted(r["_line"] for r in raw_lines(spark, str(tmp_path)).collect()) == ["a", "b", "c"]
     assert sorted(r["bytes"] for r in file_digests(spark, str(tmp_path)).collect()) == [2, 4]
+
+
+def test_a_key_with_few_bills_keeps_few_bytes(spark):
+    """Sets of bills are integers of 64 ids each, also with the last bit set."""
+    from kasir.plans import bill_state
+    rows = [(dt.date(2024, 1, 1), "1", "01.DINE IN", str(i), 1.0) for i in range(200)]
+    load = lambda part: spark.createDataFrame(
+        part, "`Sales Date` date, Branch string, `Visit Purpose` string, `Bill Number` string, `Net Sales` double")
+    state = bill_state.empty(spark)
+    for part in (rows[:150], rows[100:]):
+        state = bill_state.update(state, load(part))
+    assert dict(state.bits.dtypes)["bits"] == "bigint"
+    assert state.bits.count() <= 5
+    stores = spark.createDataFrame([("1", "S")], "CODE_GIS string, NEW_CODE_STORE string")
+    assert [r["total_tc"] for r in bill_state.counts(state, stores).collect()] == [200]
