@@ -159,3 +159,54 @@ def test_clashing_names_pass_through(llm):
     for out in (language.predict(df, language.fit(known)), quality.score(df, quality.fit(known))):
         got = out.collect()
         assert [(r.prediction, r.worth) for r in got] == [("p", 7)] * 3 and out.columns.count("score") == 1
+
+
+def noisy(n):
+    """(doc_id, text, quality): a label that the text tells in part."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(n):
+        y = int(rng.random() < 0.7)
+        words = ["".join(rng.choice(list("abcXYZ019.,!"), rng.integers(2, 9))) for _ in range(12)]
+        rows.append((i, " ".join(words + ["plain words here"] * int(rng.integers(0, 4) + y)), y))
+    return rows
+
+
+def test_quality_cut_is_the_quantile_of_all_labelled_rows(llm):
+    """More rows than one block: as many are scored below the cut as have label 0."""
+    rows = noisy(6500)
+    df = llm.createDataFrame(rows, "doc_id bigint, text string, quality int").repartition(5)
+    marked = quality.score(df, quality.fit(df)).collect()
+    zeros = sum(y == 0 for *_, y in rows)
+    assert abs(sum(r.predicted == 0 for r in marked) - zeros) <= 1
+    again = quality.score(df, quality.fit(df.repartition(2))).collect()
+    assert {r.doc_id: r.score for r in again} == {r.doc_id: r.score for r in marked}
+
+
+def test_all_labelled_rows_are_dealt(llm, monkeypatch):
+    """Every row is in a block, and both classes are in every block."""
+    monkeypatch.setattr(quality, "BLOCK", 100)
+    monkeypatch.setattr(quality, "LEAST", 5)
+    hashes = np.random.default_rng(4).integers(-2 ** 63, 2 ** 63 - 1, 4000)
+    rows = [(int(i % 500 > 0), int(h)) for i, h in enumerate(hashes)]
+    df = llm.createDataFrame(rows, "y int, h bigint")
+    got = quality.dealt(df, {0: 8, 1: 3992}).collect()
+    assert {(r.y, r.h) for r in got} == set(rows)
+    assert {r.block for r in got} == set(range(40))
+    for k in range(40):
+        assert {r.y for r in got if r.block == k} == {0, 1}
+    assert len([r for r in got if r.y == 1]) == 3992 and len(got) <= 3992 + 8 * 40
+
+
+@pytest.mark.parametrize("few", [0, 50])
+def test_worth_at_a_rank(llm, monkeypatch, few):
+    monkeypatch.setattr(quality, "FEW", few)
+    monkeypatch.setattr(quality, "BINS", 16)
+    rng = np.random.default_rng(2)
+    worth = np.concatenate([rng.normal(size=500), np.full(40, 0.25), [1e6, -1e-300, 0.0]])
+    rows = [(float(v), int(n)) for v, n in zip(worth, rng.integers(1, 4, len(worth)))]
+    whole = sorted(v for v, n in rows for _ in range(n))
+    df = llm.createDataFrame(rows, "worth double, n bigint")
+    for k in (1, 2, 400, len(whole) // 2, len(whole)):
+        assert quality.at_rank(df, k) == whole[k - 1]
+    assert quality.at_rank(llm.createDataFrame([(3.0, 2)], "worth double, n bigint"), 2) == 3.0
