@@ -26,7 +26,9 @@ gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -175,14 +177,12 @@ def at_rank(rows: DataFrame, rank: int) -> float:
 
 
 def spread(rows: DataFrame) -> float:
-    """Standard deviation of the worths if both classes had equally many rows.
-    Decimal sums do not depend on the order of rows."""
-    got = rows.groupBy("y").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("worth").cast("decimal(24,12)")).alias("s"),
-        F.sum((F.col("worth") * F.col("worth")).cast("decimal(24,12)")).alias("q")).collect()
-    means = np.array([float(r["s"]) / r["n"] for r in got])
-    squares = np.array([float(r["q"]) / r["n"] for r in got])
-    return float(np.sqrt(max(squares.mean() - means.mean() ** 2, 0)))
+    """Standard deviation of the worths. Decimal sums do not depend on the order
+    of rows."""
+    n, total, squares = rows.agg(
+        F.count(F.lit(1)), F.sum(F.col("worth").cast("decimal(24,12)")),
+        F.sum((F.col("worth") * F.col("worth")).cast("decimal(24,12)"))).first()
+    return float(np.sqrt(max(float(squares) / n - (float(total) / n) ** 2, 0)))
 
 
 def fit(docs: DataFrame, labels: DataFrame | None = None, label_col: str = "quality",
@@ -201,8 +201,13 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, label_col: str = "qual
             yield pa.array([float(e["x"] @ w[e["at"]]) for e in found], pa.float64())
 
     worth = F.arrow_udf(run, "double", ArrowUDFType.SCALAR_ITER)
-    worths = staged(rows.select("y", "n", worth("x").alias("worth")), "quality-worths")
-    below = at_rank(worths, next(r["n"] for r in classes if r["y"] == 0))
+    # A class weighs as many rows as it has with repeats; whole numbers keep the rank exact.
+    (n0, all0), (n1, all1) = [(r["rows"], r["n"]) for r in sorted(classes, key=lambda r: r["y"])]
+    shared = math.gcd(all0 * n1, all1 * n0)
+    weigh = [F.lit(Decimal(k // shared)).cast("decimal(38,0)") for k in (all0 * n1, all1 * n0)]
+    worths = staged(rows.select(worth("x").alias("worth"), F.when(F.col("y") == 0, weigh[0]).otherwise(weigh[1])
+                                .alias("n")), "quality-worths")
+    below = at_rank(worths, -(-all0 * n0 * n1 // shared))
     above = worths.where(F.col("worth") > below).agg(F.min("worth")).first()[0]
     cut = below if above is None else (below + above) / 2
     return QualityModel(w, cut, 2.0 / max(spread(worths), 1e-6), size)
