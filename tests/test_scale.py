@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from kasir.config import STORE_ATTRS
 from kasir.functions import casts
 from kasir.operators import dims, loads, sinks
 from kasir.operators.previous import with_previous, with_previous_ranged
@@ -406,3 +407,57 @@ def test_a_key_with_few_bills_keeps_few_bytes(spark):
     assert state.bits.count() <= 5
     stores = spark.createDataFrame([("1", "S")], "CODE_GIS string, NEW_CODE_STORE string")
     assert [r["total_tc"] for r in bill_state.counts(state, stores).collect()] == [200]
+
+
+# --- partitions that follow the input -------------------------------------------------
+
+
+@pytest.mark.parametrize("name", ["monthly_store", "month_average", "distinct_daily", "days_open"])
+def test_tasks_stay_small_with_few_shuffle_partitions(spark, name):
+    """A session's two shuffle partitions do not become two tasks, however large
+    the input: the marts' tasks follow the advisory size."""
+    from kasir.functions.expr import days_since
+    from kasir.plans import cohorts, monthly
+    from kasir.session import ensure_job_conf
+    at = F.col("id")
+    combined = spark.range(60_000).select(
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (at % 300).cast("int")).alias("Date"),
+        F.concat(F.lit("S"), F.floor(at / 300).cast("string")).alias("RESTO"),
+        F.lit("OFFLINE").alias("Order_Type"), F.lit("OFFLINE").alias("Order_Type_Group"),
+        (at % 7).alias("total_tc"), (at % 1009).cast(CFG.net_type).alias("total_sales_net"))
+    store = spark.range(200).select(
+        F.concat(F.lit("S"), at.cast("string")).alias("NEW_CODE_STORE"), F.lit(dt.date(2024, 1, 5)).alias("OPEN_STORE"),
+        *[F.lit("x").alias(c) for c in STORE_ATTRS[1:]])
+    build = {
+        "monthly_store": lambda: monthly.monthly_store(sales.daily_store(combined, store, CFG), CFG),
+        "month_average": lambda: monthly.month_average(sales.daily_group(combined, store, CFG), monthly.GRAINS["group"]),
+        "distinct_daily": lambda: cohorts.distinct_daily(sales.daily_store(combined, store, CFG), CFG),
+        "days_open": lambda: sales.daily_store(combined, store, CFG).select("RESTO", days_since("Date", "OPEN_STORE"))}
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k", "spark.sql.shuffle.partitions": "2"}
+    before = {k: spark.conf.get(k, None) for k in sizes}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        ensure_job_conf(spark)
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        rows = [r["count"] for r in build[name]().groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    whole = 60_000 if name in ("distinct_daily", "days_open") else 200 * 10
+    assert sum(rows) == whole and max(rows) < whole / 4
+
+
+def test_initial_partitions_follow_the_session(spark):
+    from kasir.session import INITIAL_KEY, INITIAL_PARTITIONS, initial_partitions
+    keys = ("spark.sql.shuffle.partitions", INITIAL_KEY)
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for parts, own, least in ((8, None, 1000), (12, None, 1008), (3000, None, 3000), (8, "5000", 5000)):
+            spark.conf.set(keys[0], str(parts))
+            spark.conf.unset(INITIAL_KEY) if own is None else spark.conf.set(INITIAL_KEY, own)
+            assert initial_partitions(spark) == least >= INITIAL_PARTITIONS
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
