@@ -44,6 +44,7 @@ BLOCK = 2000            # labelled rows fitted together
 LEAST = 200             # rows of the rarer class in a block
 STEPS = 300
 RATE = 10.0
+POWERS = 20             # rounds that find the curvature
 PENALTY = 1e-4
 CUT = 0.7
 GROUPS = 64             # sums of weights that reach the driver
@@ -66,20 +67,39 @@ class QualityModel:
         return float(1 / (1 + np.exp(-z)))
 
 
-def fit_pairs(x: np.ndarray, good: np.ndarray, bad: np.ndarray) -> np.ndarray:
-    """Weights from pairs of row numbers (preferred, rejected)."""
+def steepest(x: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """The loss's largest curvature, about, by power iteration."""
+    v = np.ones(x.shape[1], dtype=np.float32)
+    for _ in range(POWERS):
+        s = x @ (v / max(np.linalg.norm(v), 1e-30)).astype(np.float32)
+        d = (s[good] - s[bad]) / len(good)
+        v = x.T @ (np.bincount(good, d, len(x)) - np.bincount(bad, d, len(x))).astype(np.float32)
+    return float(np.linalg.norm(v)) / 4 + PENALTY
+
+
+def descend(x: np.ndarray, good: np.ndarray, bad: np.ndarray, rate: float) -> np.ndarray:
     w = np.zeros(x.shape[1], dtype=np.float32)
     ahead = w
     for t in range(STEPS):
         s = x @ ahead
         g = -1 / (1 + np.exp(np.clip(s[good] - s[bad], -30, 30))) / len(good)
         per_row = np.bincount(good, g, len(x)) - np.bincount(bad, g, len(x))
-        new = ahead - RATE * (x.T @ per_row.astype(np.float32) + PENALTY * ahead)
+        new = ahead - rate * (x.T @ per_row.astype(np.float32) + PENALTY * ahead)
         ahead = new + t / (t + 3) * (new - w)
         w = new
     return w
 
 
+def fit_pairs(x: np.ndarray, good: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """Weights from pairs of row numbers (preferred, rejected). Steps that ran
+    away, to a loss above that of no weights, are taken again at a safe rate."""
+    w = descend(x, good, bad, RATE)
+    s = (x @ w).astype(float)
+    if np.logaddexp(0, s[bad] - s[good]).mean() > np.log(2) + 1e-6:
+        w = descend(x, good, bad, min(RATE, 1 / steepest(x, good, bad)))
+    return w
+
+
 def packed(text: str, size: int) -> bytes:
     x = quality_features(text, size)
     at = np.flatnonzero(x)
