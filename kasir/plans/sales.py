@@ -21,6 +21,7 @@ from kasir.config import DEFAULT, STORE_ATTRS, Config
 from kasir.functions.expr import channel_group, map_labels
 from kasir.operators.dims import join_dim, join_key
 from kasir.operators.previous import with_previous, with_previous_ranged
+from kasir.session import initial_partitions
 
 GROUP = "Order_Type_Group"
 CHANNEL = "Order_Type"
@@ -98,18 +99,29 @@ def combine_sales(bills: DataFrame, value: DataFrame, tc: DataFrame, store: Data
         "total_tc", F.col("total_sales_net").cast(cfg.net_type).alias("total_sales_net"))
 
 
-def by_store(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
+def copies(store: DataFrame) -> int:
+    """Dimension rows per store, on average, rounded down."""
+    key = F.col("NEW_CODE_STORE")
+    rows, keys = store.agg(F.count(key), F.count_distinct(key)).first()
+    return rows // max(keys, 1)
+
+
+def by_store(df: DataFrame, store: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Hash-partition on RESTO. Every store-level job (daily and monthly
     marts, cohorts, tracker actuals) groups or windows by keys that start
     with RESTO, so one partitioning serves them all; it is also the bucketing
     of the published daily marts, and Spark drops this exchange when the
     input is already partitioned that way. Without ``store_partitions`` there
     are as many as the session starts a shuffle with (``initial_partitions``),
-    joined up to its advisory size. One store's rows are bounded
-    (days x channels), and so are the unmatched (NULL RESTO) rows, which the
-    combined feed has already summed per day and channel."""
+    joined up to its advisory size. Stores with several dimension rows each
+    multiply their rows after this exchange, which that size does not see: then
+    the partitions are not joined up. One store's rows are bounded
+    (days x channels x dimension rows), and so are the unmatched (NULL RESTO)
+    rows, which the combined feed has already summed per day and channel."""
     if cfg.store_partitions:
         return df.repartition(cfg.store_partitions, "RESTO")
+    if copies(store) > 1:
+        return df.repartition(initial_partitions(df.sparkSession), "RESTO")
     return df.repartition("RESTO")
 
 
@@ -148,7 +160,7 @@ def daily_values(cfg: Config) -> dict[str, F.Column]:
 def daily_channel(combined: DataFrame, store: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Q02 (daily1): every combined row with store attributes and the previous
     row of its (RESTO, channel) series."""
-    base = daily_base(with_store(by_store(combined, cfg), store, cfg))
+    base = daily_base(with_store(by_store(combined, store, cfg), store, cfg))
     out = previous(cfg)(base, DAILY_SERIES, "Date", daily_values(cfg), tiebreak=DAILY_TIES)
     return out.select("Date", "RESTO", CHANNEL, GROUP, "total_sales_net", "total_tc",
                       "previous_sales_net", "previous_tc", *STORE_ATTRS)
@@ -165,7 +177,7 @@ def _grouped_with_store(combined: DataFrame, store: DataFrame, keys: Sequence[st
     on RESTO, which every following aggregate and the LAG window reuse, so the
     whole mart costs one exchange.
     """
-    pre = (by_store(combined, cfg)
+    pre = (by_store(combined, store, cfg)
            .groupBy(*keys)
            .agg(F.sum("total_sales_net").alias("total_sales_net"),
                 F.sum("total_tc").alias("total_tc")))

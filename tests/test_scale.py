@@ -449,6 +449,35 @@ def test_tasks_stay_small_with_few_shuffle_partitions(spark, name):
     assert sum(rows) == whole and max(rows) < whole / 4
 
 
+@pytest.mark.parametrize("name", ["daily_store", "distinct_daily"])
+def test_stores_with_several_dimension_rows_do_not_fill_one_task(spark, name):
+    """Dimension rows multiply a store's rows after the exchange by store, whose
+    partitions are then not joined up by the bytes before that."""
+    from kasir.plans import cohorts
+    from kasir.session import ensure_job_conf
+    ensure_job_conf(spark)
+    at = F.col("id")
+    combined = spark.range(200 * 10).select(
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (at % 10).cast("int")).alias("Date"),
+        F.concat(F.lit("S"), F.floor(at / 10).cast("string")).alias("RESTO"),
+        F.lit("OFFLINE").alias("Order_Type"), F.lit("OFFLINE").alias("Order_Type_Group"),
+        (at % 7).alias("total_tc"), (at % 1009).cast(CFG.net_type).alias("total_sales_net"))
+    store = spark.range(200 * 40).select(
+        F.concat(F.lit("S"), (at % 200).cast("string")).alias("NEW_CODE_STORE"),
+        F.date_add(F.lit(dt.date(2023, 1, 1)), F.floor(at / 200).cast("int")).alias("OPEN_STORE"),
+        *[F.lit("x").alias(c) for c in STORE_ATTRS[1:]])
+    daily = sales.daily_store(combined, store, CFG)
+    out = daily if name == "daily_store" else cohorts.distinct_daily(daily, CFG.with_(cohort_open_from="2023-01-01"))
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "-1")
+        rows = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set(limit, before)
+    assert sum(rows) == 200 * 10 * 40 and max(rows) < sum(rows) / 10
+
+
 def test_initial_partitions_follow_the_session(spark):
     from kasir.session import INITIAL_KEY, INITIAL_PARTITIONS, initial_partitions
     keys = ("spark.sql.shuffle.partitions", INITIAL_KEY)
