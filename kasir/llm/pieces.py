@@ -10,7 +10,9 @@ puts the ids of all pieces together. Distinct pieces are encoded many at a time,
 joined by their spaces: a token that starts with a space starts a piece. A piece of
 letters and marks alone falls into its matches at sight, which the library's BPE
 model then encodes without the pattern. The pieces of the last batches, ``KNOWN``
-at most, are kept with their ids in a few arrays; so memory is bounded.
+at most, are kept with their ids in a few arrays; so memory is bounded. What a call
+freed goes back to the system: a Python worker outlives its tasks, and would hold
+its largest batch's memory beside all later work.
 
 Texts with other spaces (runs, or before white space or the end), and texts that
 hold the literal of an added token, such as ``<|endoftext|>``, go through the
@@ -21,6 +23,7 @@ otherwise it is ordinary text.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from collections.abc import Iterator
@@ -48,14 +51,14 @@ SYMBOLS = np.arange(256, dtype="<u2")
 SYMBOLS[[b for b in range(256) if b not in _SHOWN]] = 256 + np.arange(256 - len(_SHOWN))
 SYMBOLS[0] = 0
 # Pieces kept from batch to batch, and characters of the longest one kept.
-KNOWN = 400_000
+KNOWN = 100_000
 KNOWN_CHARS = 64
 # Texts cut at once, in bytes; characters of a chunk; pieces joined, and encoded
 # in one call; pieces put together at once.
-CUT_BYTES = 8 << 20
+CUT_BYTES = 2 << 20
 CHUNK = 1 << 20
 JOINED = 256
-CALLED = 1 << 15
+CALLED = 1 << 13
 WINDOW = 1 << 18
 
 _encoders: dict[tuple[str, bool], "PieceEncoder"] = {}
@@ -71,6 +74,14 @@ def chunks(text: str, size: int) -> Iterator[str]:
     yield text[at:]
 
 
+def release() -> None:
+    """Give freed memory back to the system (glibc keeps it otherwise)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def gathered(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The spans of ``data`` that start at ``begin``, one after the other."""
     ends = np.concatenate([[0], np.cumsum(length)])
@@ -165,7 +176,9 @@ class PieceEncoder:
         texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
         part = np.cumsum(np.asarray(pc.binary_length(texts)).astype(np.int64)) // self.cut_bytes
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)] if len(texts) else [0]
-        return [ids for lo, hi in zip(cuts, cuts[1:]) for ids in self._encode_some(texts.slice(lo, hi - lo))]
+        out = [ids for lo, hi in zip(cuts, cuts[1:]) for ids in self._encode_some(texts.slice(lo, hi - lo))]
+        release()
+        return out
 
     def _encode_some(self, texts: pa.Array) -> list[bytes]:
         odd = pc.or_(pc.match_substring_regex(texts, LOOSE), pc.equal(texts, ""))

@@ -1,7 +1,10 @@
 """Token files, packing and tree BPE against the libraries themselves."""
 
 import base64
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -35,6 +38,26 @@ def random_texts(n, seed=1):
     return ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(n)]
 
 
+def test_encoding_gives_its_memory_back():
+    """A worker does not hold a batch's memory beside the work that follows."""
+    code = """
+import gc
+from kasir.llm.pieces import PieceEncoder
+def held():
+    return int(open('/proc/self/statm').read().split()[1]) * 4 // 1024
+enc = PieceEncoder(%r)
+texts = [' '.join(f'w{i}x{j}' for j in range(60)) for i in range(10_000)]
+before = held()
+enc.encode_all(texts)
+gc.collect()
+print(held() - before)
+""" % JSON
+    root = os.path.dirname(os.path.dirname(os.path.dirname(pieces.__file__)))
+    got = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                         env={**os.environ, "PYTHONPATH": root})
+    assert int(got.stdout) < 60
+
+
 def test_pieces_encode_like_the_library(lib):
     texts = random_texts(3000) + ["", " ", "x" * 400, "don't we'll"]
     got = pieces.PieceEncoder(JSON, cut_bytes=3000, chunk=20).encode_all(texts)
