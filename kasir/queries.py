@@ -607,7 +607,7 @@ def q_load_once(spark, sf):
 @single("bad_cells")
 def q_bad_cells(spark, sf):
     """IN2 + IN12: every cell that would fail the load, by file and line."""
-    got = ingest.bad_cells(spark, fx.sales_report_files(spark, sf, "menu_bad"), "menu", most=20)
+    got = ingest.bad_cells(spark, fx.sales_report_files(spark, sf, "menu_bad"), "menu")
     at = lambda k: F.regexp_extract("file", f"{k}=([0-9]+)", 1).cast("bigint")
     return got.select(at("export_branch").alias("branch"), at("export_part").alias("part"), "line", "column",
                       "value", "n_in_file")
