@@ -123,3 +123,16 @@ def test_column_layouts_are_sent_to_the_rows(spark, scratch):
     _odd_files(d)
     plan = ingest.prepare(spark, d, "menu", date_layout="column")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_exports_without_a_branch_are_read(spark, scratch):
+    """Keys that are NULL have files of their own, which no reader passes over."""
+    from conftest import SF_SMALL
+    d = tempfile.mkdtemp(dir=scratch)
+    part = F.when(F.col("l_orderkey") % 7 == 0, F.lit(None)).otherwise(F.col("l_suppkey"))
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").limit(500)
+    li.withColumn("l_suppkey", part).coalesce(1).write.parquet(f"{d}/lineitem.parquet")
+    want = spark.read.parquet(f"{d}/lineitem.parquet").groupBy(F.col("l_suppkey").cast("string")).count()
+    got = ingest.prepare(spark, fx.sales_report_files(spark, d, "menu"), "menu").groupBy("Branch").count()
+    counts = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert counts(got) == counts(want) and any(k is None for k, _ in counts(got))
